@@ -44,12 +44,15 @@ def quarter_columns(path: Column) -> list[Column]:
     ]
 
 
-def list_archives(spark: SparkSession, landing: str) -> DataFrame:
-    """The landed archives of the covered quarters; missing ones are absent."""
+def list_archives(spark: SparkSession, landing: str | Sequence[str]) -> DataFrame:
+    """The landed archives of the covered quarters; missing ones are absent.
+
+    ``landing`` is a folder or a list of archives.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .load(landing)
+        .load(landing if isinstance(landing, str) else list(landing))
         .select("path", "length", *quarter_columns(F.col("path")))
     )
     return files.filter(
@@ -107,7 +110,9 @@ def _archive_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, byte
             yield path.as_py(), content.as_py()
 
 
-def archive_inventory(spark: SparkSession, landing: str, table: str) -> DataFrame:
+def archive_inventory(
+    spark: SparkSession, landing: str | Sequence[str], table: str
+) -> DataFrame:
     """Member, header, row count and status of each archive.
 
     Every member is read to its end, so a damaged archive is found here and
@@ -196,7 +201,10 @@ def learned_header(inventory: DataFrame) -> list[str]:
 
 
 def read_archives(
-    spark: SparkSession, landing: str, table: str, from_first: bool = False
+    spark: SparkSession,
+    landing: str | Sequence[str],
+    table: str,
+    from_first: bool = False,
 ) -> DataFrame:
     """One table out of all landed archives, every column a string.
 

@@ -116,11 +116,19 @@ def malformed(raw: Column, study: Column) -> Column:
 
 
 def parse_studies(pages: DataFrame) -> DataFrame:
-    """One row per study with ``raw``, typed ``study`` and ``rejected``."""
-    return (
-        pages.select(F.explode("studies").alias("raw"))
-        .withColumn("study", F.try_variant_get("raw", "$", STUDY))
-        .withColumn("rejected", malformed(F.col("raw"), F.col("study")))
+    """One row per study with ``raw``, typed ``study`` and ``rejected``.
+
+    A study is typed inside the explode, so that its many uses below refer to
+    one result instead of typing it again for each.
+    """
+    typed = F.transform(
+        "studies",
+        lambda raw: F.struct(
+            raw.alias("raw"), F.try_variant_get(raw, "$", STUDY).alias("study")
+        ),
+    )
+    return pages.select(F.inline(typed)).withColumn(
+        "rejected", malformed(F.col("raw"), F.col("study"))
     )
 
 
@@ -137,6 +145,12 @@ def rejected_studies(parsed: DataFrame) -> DataFrame:
     return parsed.filter("rejected").select(nct_id.alias("nct_id"), "raw")
 
 
+def rejected_pages(pages: DataFrame) -> DataFrame:
+    """The text of the pages that are not JSON."""
+    unread = F.col("_corrupt_record").isNotNull() & F.col("studies").isNull()
+    return pages.filter(unread).select("_corrupt_record")
+
+
 def read_census_matrix(spark: SparkSession, path: str) -> DataFrame:
     """JSON matrices ``[[header...], [row...], ...]`` to the county table."""
     return census_rows(spark.read.text(path, wholetext=True))

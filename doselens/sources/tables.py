@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -58,14 +58,18 @@ def template_union(frames: Sequence[DataFrame]) -> DataFrame:
     )
 
 
-def load_from_template(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def load_from_template(
+    spark: SparkSession, paths: Sequence[str], tolerant: bool = False
+) -> DataFrame:
     """Many Parquet files in the shape of the first, in one scan.
 
     The reader itself matches columns by name ignoring case, fills absent ones
     with null and skips extra ones. Use ``template_union`` where types differ.
+    ``tolerant`` skips damaged files, which ``load_status`` then reports (S12).
     """
     template = spark.read.parquet(paths[0]).schema
-    return spark.read.schema(template).parquet(*paths)
+    reader = spark.read.schema(template).option("ignoreCorruptFiles", tolerant)
+    return reader.parquet(*paths)
 
 
 def diagonal_union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -75,20 +79,36 @@ def diagonal_union(frames: Sequence[DataFrame]) -> DataFrame:
     )
 
 
-def load_status(rows: DataFrame, corrupt: str = "_corrupt_record") -> DataFrame:
-    """Per-file counts of a permissive text read.
+def _location(path: Column) -> Column:
+    """A path in one spelling, whatever number of slashes follows its scheme."""
+    return F.regexp_replace(path, "^([a-z0-9]+:)/+", "$1/")
+
+
+def load_status(
+    rows: DataFrame, listed: DataFrame | None = None, corrupt: str = "_corrupt_record"
+) -> DataFrame:
+    """Status and row counts of each file of a tolerant read.
 
-    ``rows`` has the corrupt-record column and the file's ``_metadata``. Rows
-    are counted in the map tasks, so one large file is not one task.
+    ``rows`` still has the file's ``_metadata``; where it has a corrupt-record
+    column, those rows count as not loaded. ``listed`` names the files by
+    ``path``, so that files which gave no row are reported too. Rows are
+    counted in the map tasks, so one large file is not one task.
     """
-    bad = F.col(corrupt).isNotNull()
-    counted = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+    bad = F.lit(False)
+    if corrupt in rows.columns:
+        # Naming every column makes the reader parse, and so judge, all of them.
+        fields = [F.col(name).cast("string") for name in rows.columns if name != corrupt]
+        bad = F.col(corrupt).isNotNull() & (F.length(F.concat_ws("", *fields)) >= 0)
+    counted = rows.groupBy(_location(F.col("_metadata.file_path")).alias("file")).agg(
         F.count("*").alias("rows_parsed"), F.count_if(~bad).alias("rows_loaded")
     )
+    if listed is not None:
+        files = listed.select(_location(F.col("path")).alias("file"))
+        counted = files.join(counted, "file", "left").na.fill(0)
     status = (
-        F.when(F.col("rows_loaded") == F.col("rows_parsed"), "LOADED")
-        .when(F.col("rows_loaded") > 0, "PARTIALLY_LOADED")
-        .otherwise("LOAD_FAILED")
+        F.when(F.col("rows_loaded") == 0, "LOAD_FAILED")
+        .when(F.col("rows_loaded") < F.col("rows_parsed"), "PARTIALLY_LOADED")
+        .otherwise("LOADED")
     )
     return counted.select("file", status.alias("status"), "rows_parsed", "rows_loaded")
 
@@ -115,6 +135,14 @@ def write_quarters(frame: DataFrame, path: str) -> None:
     )
 
 
+def read_quarters(spark: SparkSession, path: str) -> DataFrame:
+    """The quarters written by ``write_quarters``, with the columns of them all.
+
+    A filter on ``src_year`` or ``src_quarter`` reads only those partitions.
+    """
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def save_table(
     frame: DataFrame, name: str, schema: str = "marts", partition_by: Sequence[str] = ()
 ) -> DataFrame:
