@@ -124,7 +124,7 @@ def dose_amount(text: ColumnOrName) -> Column:
             text.rlike(DOSE_WITH_UNIT),
             try_decimal(first_match(text, DOSE_NUMBER)).cast(DOSE_TYPE),
         )
-        .when(text.rlike(DOSE_RANGE), middle.cast(DOSE_TYPE))
+        .when(text.contains("-") & text.rlike(DOSE_RANGE), middle.cast(DOSE_TYPE))
         .otherwise(try_decimal(text).cast(DOSE_TYPE))
     )
 

@@ -97,13 +97,19 @@ def dim_clinical_trials(stg_clinical_trials: DataFrame) -> DataFrame:
     return stg_clinical_trials.select(*DIM_TRIAL_COLUMNS)
 
 
+REPORT_KEYS = ["source_year", "gender", "active_ingredient_name", "brand_name"]
+
+
 def _age_report(counted: DataFrame, ordered: bool) -> DataFrame:
+    """O1: sorted by the youngest age (A7), which is then dropped.
+
+    The other keys break ties, so that the many rows of one age can be sorted
+    in several tasks.
+    """
     if ordered:
-        counted = counted.orderBy("youngest")
-    return counted.select(
-        "age_group", "report_count", *labelled({k: DRUG_LABELS[k] for k in (
-            "source_year", "gender", "active_ingredient_name", "brand_name")}),
-    )
+        counted = counted.orderBy("youngest", *REPORT_KEYS)
+    labels = {key: DRUG_LABELS[key] for key in REPORT_KEYS}
+    return counted.select("age_group", "report_count", *labelled(labels))
 
 
 def rpt_faers_age_distribution(dim: DataFrame, ordered: bool = False) -> DataFrame:
@@ -114,7 +120,7 @@ def rpt_faers_age_distribution(dim: DataFrame, ordered: bool = False) -> DataFra
     """
     counted = (
         known(dim, "age_in_years")
-        .groupBy(reports.age_group("age_in_years").alias("age_group"), *_keys())
+        .groupBy(reports.age_group("age_in_years").alias("age_group"), *REPORT_KEYS)
         .agg(
             F.count("*").alias("report_count"),
             F.min("age_in_years").alias("youngest"),
@@ -123,10 +129,6 @@ def rpt_faers_age_distribution(dim: DataFrame, ordered: bool = False) -> DataFra
     return _age_report(counted, ordered)
 
 
-def _keys() -> list[str]:
-    return ["source_year", "gender", "active_ingredient_name", "brand_name"]
-
-
 def rpt_faers_gender(dim: DataFrame, distinct_reports: bool = False) -> DataFrame:
     """Counts by gender, year, ingredient and brand.
 
@@ -136,7 +138,7 @@ def rpt_faers_gender(dim: DataFrame, distinct_reports: bool = False) -> DataFram
     measures = [F.count("*").alias("report_count")]
     if distinct_reports:
         measures.append(F.count_distinct("primary_id").alias("distinct_reports"))
-    counted = dim.groupBy(*_keys()).agg(*measures)
+    counted = dim.groupBy(*REPORT_KEYS).agg(*measures)
     extra = ["distinct_reports"] if distinct_reports else []
     return counted.select(*labelled(DRUG_LABELS), "report_count", *extra)
 
@@ -158,12 +160,11 @@ def _counted_chain(
     age = reports.in_range("age_in_years").cast("int")
     demo = clean_demo(demo_faers).select("primary_id", "gender", age.alias("age_in_years"))
     if with_age:
-        demo = known(demo, "age_in_years").withColumn(
-            "age_group", reports.age_group("age_in_years")
-        )
+        demo = known(demo, "age_in_years")
+        group = reports.age_group("age_in_years")
     else:
-        demo = demo.select("primary_id", "gender", F.lit(None).cast("int").alias("age_in_years"),
-                           F.lit(None).cast("string").alias("age_group"))
+        group = F.lit(None).cast("string")
+    demo = demo.withColumn("age_group", group)
     demo = demo.filter(F.col("primary_id").isNotNull())
     people = demo.groupBy("primary_id", "gender", "age_group").agg(
         F.count("*").alias("people"), F.min("age_in_years").alias("youngest")
@@ -189,7 +190,7 @@ def _counted_chain(
     )
     return (
         drugs_with_products(per_drug, products)
-        .groupBy("age_group", *_keys())
+        .groupBy("age_group", *REPORT_KEYS)
         .agg(
             F.sum(F.col("reports") * F.col("products")).alias("report_count"),
             F.min("youngest").alias("youngest"),

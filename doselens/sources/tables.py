@@ -15,6 +15,19 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """A scan with fewer tasks than cores, dealt out to all cores.
+
+    A file of one row group is read by one task, and cleaning text costs far
+    more than moving it. A scan that already fills the cores is left alone, so
+    no large table is ever shuffled for this.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    if frame.rdd.getNumPartitions() >= cores:
+        return frame
+    return frame.repartition(cores)
+
+
 def read_csv(spark: SparkSession, *paths: str, infer_types: bool = True) -> DataFrame:
     """Comma-separated text with a header and optional double quotes.
 

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from doselens.functions.census import POPULATION_COLUMNS
 from doselens.operators.flatten import flatten_studies
-from doselens.sources.tables import read_parquet
+from doselens.sources.tables import read_parquet, spread
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
+    return spread(read_parquet(spark, f"{sf_dir}/{name}.parquet"))
 
 
 def _by(remainder: Column, values: dict[int, object], otherwise: object = None) -> Column:
@@ -99,7 +99,6 @@ def drug_faers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def openfda_drugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``{meta, results}`` document per part, each with one result."""
     key, kind = F.col("p_partkey"), F.col("p_type")
-    none = F.lit(None).cast("string")
     ingredients = F.transform(
         F.split("p_name", " "),
         lambda word: F.struct(
