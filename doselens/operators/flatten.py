@@ -130,7 +130,7 @@ def flatten_studies(studies: DataFrame, study: str = "study") -> DataFrame:
 def result_rows(documents: DataFrame) -> DataFrame:
     """One row per result of ``{meta, results}`` documents."""
     return documents.select(
-        F.col("meta.last_updated").try_cast("timestamp_ntz").alias("last_updated"),
+        F.col("meta.last_updated").cast("timestamp_ntz").alias("last_updated"),
         F.explode("results").alias("result"),
     )
 

@@ -100,91 +100,55 @@ def dim_clinical_trials(stg_clinical_trials: DataFrame) -> DataFrame:
 REPORT_KEYS = ["source_year", "gender", "active_ingredient_name", "brand_name"]
 
 
-def _age_report(counted: DataFrame, ordered: bool) -> DataFrame:
-    """O1: sorted by the youngest age (A7), which is then dropped.
+def report_cells(dim: DataFrame) -> DataFrame:
+    """Row count and youngest age by age group and report keys.
 
-    The other keys break ties, so that the many rows of one age can be sorted
-    in several tasks.
+    Both drug reports are regroupings of the cells, so a build that wants both
+    aggregates the dimension once.
     """
-    if ordered:
-        counted = counted.orderBy("youngest", *REPORT_KEYS)
-    labels = {key: DRUG_LABELS[key] for key in REPORT_KEYS}
-    return counted.select("age_group", "report_count", *labelled(labels))
-
-
-def rpt_faers_age_distribution(dim: DataFrame, ordered: bool = False) -> DataFrame:
-    """M9: counts by age group, year, gender, ingredient and brand.
-
-    ``ordered`` sorts by the youngest age of each row (A7). A written table
-    keeps no order, so it is meant for reading.
-    """
-    counted = (
-        known(dim, "age_in_years")
-        .groupBy(reports.age_group("age_in_years").alias("age_group"), *REPORT_KEYS)
-        .agg(
-            F.count("*").alias("report_count"),
-            F.min("age_in_years").alias("youngest"),
-        )
-    )
-    return _age_report(counted, ordered)
+    return dim.groupBy(
+        reports.age_group("age_in_years").alias("age_group"), *REPORT_KEYS
+    ).agg(F.count("*").alias("report_count"), F.min("age_in_years").alias("youngest"))
 
 
-def rpt_faers_gender(dim: DataFrame, distinct_reports: bool = False) -> DataFrame:
-    """Counts by gender, year, ingredient and brand.
-
-    ``report_count`` counts rows of the dimension, not reports (Q9);
-    ``distinct_reports`` adds the number of different reports.
-    """
-    measures = [F.count("*").alias("report_count")]
-    if distinct_reports:
-        measures.append(F.count_distinct("primary_id").alias("distinct_reports"))
-    counted = dim.groupBy(*REPORT_KEYS).agg(*measures)
-    extra = ["distinct_reports"] if distinct_reports else []
-    return counted.select(*labelled(DRUG_LABELS), "report_count", *extra)
-
-
-def _counted_chain(
+def report_cells_counted(
     demo_faers: DataFrame,
     drug_faers: DataFrame,
     stg_openfda_drugs: DataFrame,
-    with_age: bool,
-    drug_key: Column | None,
+    known_ages: bool = False,
+    drug_key: Column | None = None,
 ) -> DataFrame:
-    """Row counts of the dimension by report keys, without building its rows.
+    """The same cells straight from the sources, without the dimension's rows.
 
     Every side is counted by its own keys before it is shuffled for a join, and
     the counts multiply in the joins. A report, drug or application that holds
     a large part of all rows therefore shrinks to its few key combinations
-    inside the map tasks.
+    inside the map tasks. ``known_ages`` leaves out reports without an age.
     """
     age = reports.in_range("age_in_years").cast("int")
     demo = clean_demo(demo_faers).select("primary_id", "gender", age.alias("age_in_years"))
-    if with_age:
+    if known_ages:
         demo = known(demo, "age_in_years")
-        group = reports.age_group("age_in_years")
-    else:
-        group = F.lit(None).cast("string")
-    demo = demo.withColumn("age_group", group)
-    demo = demo.filter(F.col("primary_id").isNotNull())
-    people = demo.groupBy("primary_id", "gender", "age_group").agg(
-        F.count("*").alias("people"), F.min("age_in_years").alias("youngest")
-    )
-    drug = clean_drug(drug_faers, drug_key).filter(
-        F.col("primary_id").isNotNull() & F.col("nda_number").isNotNull()
+    people = (
+        known(demo, "primary_id")
+        .groupBy("primary_id", "gender", reports.age_group("age_in_years").alias("age_group"))
+        .agg(F.count("*").alias("people"), F.min("age_in_years").alias("youngest"))
     )
-    uses = drug.groupBy("primary_id", "nda_number", "source_year").agg(
-        F.count("*").alias("uses")
+    uses = (
+        known(known(clean_drug(drug_faers, drug_key), "primary_id"), "nda_number")
+        .groupBy("primary_id", "nda_number", "source_year")
+        .agg(F.count("*").alias("uses"))
     )
     per_drug = (
         reports_with_drugs(people, uses)
         .groupBy("nda_number", "age_group", "source_year", "gender")
         .agg(
-            F.sum(F.col("people") * F.col("uses")).alias("reports"),
+            F.sum(F.col("people") * F.col("uses")).alias("rows"),
             F.min("youngest").alias("youngest"),
         )
     )
     products = (
-        stg_openfda_drugs.filter(F.col("application_number").isNotNull())
+        known(stg_openfda_drugs, "application_number")
         .groupBy("application_number", "active_ingredient_name", "brand_name")
         .agg(F.count("*").alias("products"))
     )
@@ -192,12 +156,54 @@ def _counted_chain(
         drugs_with_products(per_drug, products)
         .groupBy("age_group", *REPORT_KEYS)
         .agg(
-            F.sum(F.col("reports") * F.col("products")).alias("report_count"),
+            F.sum(F.col("rows") * F.col("products")).alias("report_count"),
             F.min("youngest").alias("youngest"),
         )
     )
 
 
+def age_report(cells: DataFrame, ordered: bool = False) -> DataFrame:
+    """M9 from cells that have an age group.
+
+    ``ordered`` sorts by the youngest age, which is then dropped (O1, A7). The
+    other keys break ties, so that the many rows of one age can be sorted in
+    several tasks.
+    """
+    if ordered:
+        cells = cells.orderBy("youngest", *REPORT_KEYS)
+    labels = {key: DRUG_LABELS[key] for key in REPORT_KEYS}
+    return cells.select("age_group", "report_count", *labelled(labels))
+
+
+def gender_report(cells: DataFrame) -> DataFrame:
+    """M10 from cells, summed over the age groups."""
+    counted = cells.groupBy(*REPORT_KEYS).agg(F.sum("report_count").alias("report_count"))
+    return counted.select(*labelled(DRUG_LABELS), "report_count")
+
+
+def rpt_faers_age_distribution(dim: DataFrame, ordered: bool = False) -> DataFrame:
+    """M9: counts by age group, year, gender, ingredient and brand.
+
+    ``ordered`` sorts by the youngest age of each row. A written table keeps no
+    order, so it is meant for reading.
+    """
+    return age_report(report_cells(known(dim, "age_in_years")), ordered)
+
+
+def rpt_faers_gender(dim: DataFrame, distinct_reports: bool = False) -> DataFrame:
+    """Counts by gender, year, ingredient and brand.
+
+    ``report_count`` counts rows of the dimension, not reports (Q9);
+    ``distinct_reports`` adds the number of different reports.
+    """
+    measures = [F.count("*").alias("report_count")]
+    if distinct_reports:
+        measures.append(F.count_distinct("primary_id").alias("distinct_reports"))
+    counted = dim.groupBy(*REPORT_KEYS).agg(*measures)
+    extra = ["distinct_reports"] if distinct_reports else []
+    return counted.select(*labelled(DRUG_LABELS), "report_count", *extra)
+
+
 def rpt_faers_age_distribution_counted(
     demo_faers: DataFrame,
     drug_faers: DataFrame,
@@ -205,9 +211,9 @@ def rpt_faers_age_distribution_counted(
     ordered: bool = False,
     drug_key: Column | None = None,
 ) -> DataFrame:
-    """M9 straight from the cleaned sources, when the dimension is not wanted."""
-    chain = _counted_chain(demo_faers, drug_faers, stg_openfda_drugs, True, drug_key)
-    return _age_report(chain, ordered)
+    """M9 straight from the sources, when the dimension is not wanted."""
+    cells = report_cells_counted(demo_faers, drug_faers, stg_openfda_drugs, True, drug_key)
+    return age_report(cells, ordered)
 
 
 def rpt_faers_gender_counted(
@@ -216,9 +222,10 @@ def rpt_faers_gender_counted(
     stg_openfda_drugs: DataFrame,
     drug_key: Column | None = None,
 ) -> DataFrame:
-    """M10 straight from the cleaned sources, when the dimension is not wanted."""
-    chain = _counted_chain(demo_faers, drug_faers, stg_openfda_drugs, False, drug_key)
-    return chain.select(*labelled(DRUG_LABELS), "report_count")
+    """M10 straight from the sources, when the dimension is not wanted."""
+    return gender_report(
+        report_cells_counted(demo_faers, drug_faers, stg_openfda_drugs, False, drug_key)
+    )
 
 
 def rpt_census_demographics(dim_fips_census: DataFrame) -> DataFrame:

@@ -41,12 +41,15 @@ def read_product_document(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_product_lines(spark: SparkSession, path: str, last_updated: str) -> DataFrame:
-    """S6 for one result per line, which Spark splits into many tasks.
+    """S6 for one result per line, which Spark splits into many tasks."""
+    return product_lines(spark.read.text(path), last_updated)
 
-    Gives the same columns as ``read_product_document``, one result per row.
-    """
-    lines = spark.read.text(path)
-    result = F.from_json("value", PRODUCT_RESULT)
+
+def product_lines(
+    lines: DataFrame, last_updated: str, column: str = "value"
+) -> DataFrame:
+    """Results as JSON text, in the columns of ``read_product_document``."""
+    result = F.from_json(column, PRODUCT_RESULT)
     return lines.select(
         F.struct(F.lit(last_updated).alias("last_updated")).alias("meta"),
         F.array(result).alias("results"),

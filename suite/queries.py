@@ -18,7 +18,7 @@ from doselens.operators import checks
 from doselens.operators.flatten import flatten_studies, result_rows
 from doselens.plans import marts, staging
 from doselens.plans import reports as report_plans
-from doselens.sources import documents, tables
+from doselens.sources import archives, documents, tables
 
 from . import bronze
 
@@ -130,6 +130,39 @@ def _ages(spark: SparkSession, sf: str) -> DataFrame:
 
 # Sources.
 
+def _text_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Each report as a line of its quarter's archive, some too long or too short."""
+    demo = bronze.demo_faers(spark, sf)
+    names = [n for n in demo.columns if n not in ("src_year", "src_quarter")]
+    cells = [F.coalesce(F.col(name), F.lit("")) for name in names]
+    number = F.col("primaryid").cast("bigint")
+    line = (
+        F.when(number % 7 == 0, F.concat_ws("$", *cells, F.lit("extra"), F.lit("")))
+        .when(number % 11 == 0, F.concat_ws("$", *cells[:-2]))
+        .otherwise(F.concat_ws("$", *cells))
+    )
+    path = F.concat(
+        F.lit("file:/landing/faers_ascii_"), F.col("src_year").cast("string"),
+        F.lit("q"), F.col("src_quarter").cast("string"), F.lit(".zip"),
+    )
+    lines = demo.select(path.alias("path"), line.alias("line"))
+    return archives.split_columns(lines, archives.SEPARATOR.join(names))
+
+
+def _product_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Each result as a line of JSON."""
+    results = bronze.openfda_drugs(spark, sf).select(F.explode("results").alias("result"))
+    lines = results.select(F.to_json("result").alias("value"))
+    return staging.stg_openfda_drugs(documents.product_lines(lines, "2026-05-01"))
+
+
+def _load_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Two files in the shape of the first, with the status of each."""
+    rows = tables.load_from_template(spark, [f"{sf}/orders.parquet", f"{sf}/lineitem.parquet"])
+    status = tables.load_status(rows)
+    return status.withColumn("file", F.substring_index("file", "/", -1))
+
+
 def _study_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Each study as a landed page with one study."""
     page = F.array(F.parse_json(F.to_json("study")))
@@ -302,12 +335,15 @@ def queries() -> dict[str, Query]:
             _population(s, d).select("male_pop", "female_pop", "total_pop", "state_abbreviation")
         ),
         "p40_sex_label": _lazily(lambda: _of_trials(trials.sex_label("sex").alias("sex_label"))),
+        "s01_text_lines": _text_lines,
+        "s06_product_lines": lambda s, d: shown(_product_lines(s, d)),
         "s07_study_pages": _read_studies,
         "s08_census_matrix": _census_matrix,
         "s09_parquet_scan": lambda s, d: tables.read_parquet(s, f"{d}/orders.parquet").select(
             "o_orderkey", "o_custkey", "o_orderstatus"
         ),
         "s11_template_load": _template_load,
+        "s12_load_status": _load_status,
         "s13_rejected_studies": _rejected_studies,
         "u01_diagonal_union": _diagonal_union,
         "j01_stg_faers": lambda s, d: shown(_stg_faers(s, d)),

@@ -87,7 +87,7 @@ def test_joins_beyond_the_broadcast_limit(spark, name):
 def test_hot_report_and_hot_application_are_split(spark, tmp_path):
     """A third of the drugs share a report and an application."""
     demo, drug, products = small_bronze(spark)
-    many = spark.range(0, 30000, 1, 16).withColumn("hot", F.col("id") % 3 == 0)
+    many = spark.range(0, 6000, 1, 16).withColumn("hot", F.col("id") % 3 == 0)
     wide = drug.limit(1).drop("caseid", "nda_num").crossJoin(
         many.select(
             F.when(F.col("hot"), "1").otherwise(F.col("id").cast("string")).alias("caseid"),
