@@ -72,9 +72,15 @@ def age_years(age: ColumnOrName, unit: ColumnOrName) -> Column:
 
 
 def in_range(value: ColumnOrName, bounds: tuple[int, int] = AGE_RANGE) -> Column:
-    """The value inside the bounds, else null."""
-    value = as_column(value)
-    return F.when(value.between(*bounds), value)
+    """The whole number inside the bounds, else null.
+
+    A lookup in the list of allowed numbers names the value once. Comparisons
+    would name it three times, and a filter that Spark moves below them would
+    carry as many copies of the whole age calculation.
+    """
+    low, high = bounds
+    allowed = F.sequence(F.lit(low), F.lit(high))
+    return F.get(allowed, as_column(value).try_cast("int") - F.lit(low))
 
 
 def gender(sex: ColumnOrName, gender_code: ColumnOrName) -> Column:

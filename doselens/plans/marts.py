@@ -125,8 +125,9 @@ def report_cells_counted(
     a large part of all rows therefore shrinks to its few key combinations
     inside the map tasks. ``known_ages`` leaves out reports without an age.
     """
-    age = reports.in_range("age_in_years").cast("int")
-    demo = clean_demo(demo_faers).select("primary_id", "gender", age.alias("age_in_years"))
+    demo = clean_demo(demo_faers).select(
+        "primary_id", "gender", reports.in_range("age_in_years").alias("age_in_years")
+    )
     if known_ages:
         demo = known(demo, "age_in_years")
     people = (

@@ -114,7 +114,7 @@ def stg_faers(
 ) -> DataFrame:
     """M1: one row per drug of a report."""
     demo = clean_demo(demo_faers, date_format).withColumn(
-        "age_in_years", reports.in_range("age_in_years").cast("int")
+        "age_in_years", reports.in_range("age_in_years")
     )
     drug = clean_drug(drug_faers, drug_key, date_format)
     return reports_with_drugs(demo, drug).select(*STG_FAERS_COLUMNS)
