@@ -1,11 +1,14 @@
 """Bronze-shaped views over the given tables.
 
 The given tables hold no drug data, so reports, products, counties and studies
-are derived from them row by row. Nothing is joined or filtered here.
+are derived from them row by row. Nothing is joined or filtered here. A frame is
+only a description, so each is described once per session and folder.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +37,7 @@ def _padded(value: Column, width: int) -> Column:
     return F.lpad(_text(value), width, "0")
 
 
+@lru_cache(maxsize=8)
 def demo_faers(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     key, customer, day = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
@@ -59,6 +63,7 @@ def demo_faers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=8)
 def drug_faers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem")
     part, line, day = F.col("l_partkey"), F.col("l_linenumber"), F.col("l_shipdate")
@@ -96,6 +101,7 @@ def drug_faers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=8)
 def openfda_drugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``{meta, results}`` document per part, each with one result."""
     key, kind = F.col("p_partkey"), F.col("p_type")
@@ -138,6 +144,7 @@ def openfda_drugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=8)
 def census_fips(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     counts = [
@@ -154,6 +161,7 @@ def census_fips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=8)
 def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested study per order, as a registry page holds it."""
     key, customer, day = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
@@ -267,5 +275,6 @@ def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=8)
 def clinical_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_studies(studies(spark, sf_dir))
