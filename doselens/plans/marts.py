@@ -242,32 +242,78 @@ def rpt_census_demographics(dim_fips_census: DataFrame) -> DataFrame:
     )
 
 
-def rpt_clinical_trials(dim_clinical_trials: DataFrame) -> DataFrame:
-    """Study counts and measures by nine keys.
+TRIAL_MEASURES = {"enrollment": "enrollment", "study_duration_days": "duration_days"}
+
+
+def _trial_keys(dim_clinical_trials: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The studies with the nine keys of the report in front, and the keys.
 
     Four keys are grouped as they are and labelled afterwards; sponsor class,
     country and age bucket are grouped by their label (Q5).
     """
-    def measures(column: str, name: str) -> list[Column]:
-        return [
-            F.avg(column).alias(f"avg_{name}"),
-            F.median(column).alias(f"median_{name}"),
-        ]
-
-    counted = dim_clinical_trials.groupBy(
+    keyed = dim_clinical_trials.select(
         *TRIAL_LABELS,
         F.coalesce("lead_sponsor_class", F.lit("OTHER")).alias("sponsor_class"),
         F.coalesce("first_location_country", F.lit("UNKNOWN")).alias("country"),
         "is_industry_sponsored",
         "has_drug_intervention",
         trials.eligibility_bucket("minimum_age_years").alias("eligibility_age_bucket"),
-    ).agg(
+        "location_count",
+        *[F.col(name).cast("bigint").alias(name) for name in TRIAL_MEASURES],
+    )
+    return keyed, keyed.columns[:9]
+
+
+def _trial_labels(counted: DataFrame) -> DataFrame:
+    return counted.select(
+        *labelled(TRIAL_LABELS), *[c for c in counted.columns if c not in TRIAL_LABELS]
+    )
+
+
+def trial_counts(dim_clinical_trials: DataFrame) -> DataFrame:
+    """A1, A5: the nine keys of M12 with the numbers of studies only."""
+    keyed, keys = _trial_keys(dim_clinical_trials)
+    counted = keyed.groupBy(*keys).agg(
         F.count("*").alias("study_count"),
-        F.sum("enrollment").alias("total_enrollment"),
-        *measures("enrollment", "enrollment"),
-        *measures("study_duration_days", "duration_days"),
-        F.sum("location_count").alias("total_locations"),
         F.count_if("has_drug_intervention").alias("drug_study_count"),
     )
-    others = [name for name in counted.columns if name not in TRIAL_LABELS]
-    return counted.select(*labelled(TRIAL_LABELS), *others)
+    return _trial_labels(counted)
+
+
+def rpt_clinical_trials(dim_clinical_trials: DataFrame) -> DataFrame:
+    """Study counts and measures by nine keys.
+
+    An exact median needs every different value of a group in one place. The
+    values are therefore counted first, spread over all tasks, so that a group
+    with a large part of all studies arrives as its different values only.
+    """
+    keyed, keys = _trial_keys(dim_clinical_trials)
+    values = (
+        keyed.unpivot([*keys, "location_count"], list(TRIAL_MEASURES), "measure", "value")
+        .groupBy(*keys, "measure", "value")
+        .agg(F.count("*").alias("studies"), F.sum("location_count").alias("locations"))
+    )
+    value, studies = F.col("value"), F.col("studies")
+
+    def of(measure: str, column: Column) -> Column:
+        return F.when(F.col("measure") == measure, column)
+
+    def average(measure: str) -> Column:
+        known_values = F.when(value.isNotNull(), studies)
+        return F.try_divide(
+            F.sum(of(measure, value * studies)), F.sum(of(measure, known_values))
+        )
+
+    each_study = next(iter(TRIAL_MEASURES))
+    counted = values.groupBy(*keys).agg(
+        F.sum(of(each_study, studies)).alias("study_count"),
+        F.sum(of("enrollment", value * studies)).alias("total_enrollment"),
+        *[average(m).alias(f"avg_{name}") for m, name in TRIAL_MEASURES.items()],
+        *[
+            F.percentile(of(m, value), 0.5, studies).alias(f"median_{name}")
+            for m, name in TRIAL_MEASURES.items()
+        ],
+        F.sum(of(each_study, F.col("locations"))).alias("total_locations"),
+    )
+    drug_studies = F.when(F.col("has_drug_intervention"), F.col("study_count")).otherwise(0)
+    return _trial_labels(counted.withColumn("drug_study_count", drug_studies))

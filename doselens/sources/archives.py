@@ -8,6 +8,7 @@ through the driver is one small row per archive (its header and row count).
 from __future__ import annotations
 
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -94,14 +95,34 @@ def choose_member(names: Sequence[str], table: str, skip_ignored: bool = True) -
 
 
 def _line_blocks(archive: zipfile.ZipFile, member: str) -> Iterator[list[str]]:
-    """Non-empty lines of a member, in blocks of bounded size."""
+    """The lines of a member, in blocks of bounded size."""
+    def decoded(lines: list[bytes]) -> list[str]:
+        return [line.removesuffix(b"\r").decode(ENCODING) for line in lines]
+
     with archive.open(member) as stream:
         rest = b""
         while chunk := stream.read(CHUNK_BYTES):
             *lines, rest = (rest + chunk).split(b"\n")
-            yield [line.rstrip(b"\r").decode(ENCODING) for line in lines if line.strip(b"\r")]
-        if rest.strip(b"\r"):
-            yield [rest.rstrip(b"\r").decode(ENCODING)]
+            yield decoded(lines)
+        if rest:
+            yield decoded([rest])
+
+
+def _table_blocks(
+    archive: zipfile.ZipFile, member: str
+) -> Iterator[tuple[str, list[str]]]:
+    """The header, which is the first line that is not blank, with the lines below it.
+
+    A blank line below the header is a row of nulls.
+    """
+    header = None
+    for block in _line_blocks(archive, member):
+        if header is None:
+            block = list(itertools.dropwhile(lambda line: not line, block))
+            if not block:
+                continue
+            header, *block = block
+        yield header, block
 
 
 def _archive_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes | None]]:
@@ -129,9 +150,8 @@ def archive_inventory(
                 with _open(path, content) as archive:
                     found["member"] = choose_member(archive.namelist(), table)
                     if found["member"] is not None:
-                        for block in _line_blocks(archive, found["member"]):
-                            if found["header"] is None and block:
-                                found["header"] = block.pop(0)
+                        for header, block in _table_blocks(archive, found["member"]):
+                            found["header"] = header
                             found["row_count"] += len(block)
                 found["status"] = "LOADED" if found["header"] is not None else "NO_MEMBER"
             except (zipfile.BadZipFile, zipfile.LargeZipFile, EOFError, ValueError,
@@ -156,11 +176,7 @@ def _lines(spark: SparkSession, paths: Sequence[str], table: str) -> DataFrame:
         for path, content in _archive_rows(batches):
             with _open(path, content) as archive:
                 member = choose_member(archive.namelist(), table)
-                header_seen = False
-                for block in _line_blocks(archive, member):
-                    if not header_seen and block:
-                        block.pop(0)
-                        header_seen = True
+                for _, block in _table_blocks(archive, member):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([path] * len(block), pa.string()), pa.array(block, pa.string())],
                         names=["path", "line"],
@@ -169,18 +185,28 @@ def _lines(spark: SparkSession, paths: Sequence[str], table: str) -> DataFrame:
     return _contents(spark, paths).mapInArrow(unzip, LINES)
 
 
+def column_names(header: str) -> list[str]:
+    """The names in a header line; a repeated name is numbered."""
+    names: list[str] = []
+    seen: dict[str, int] = {}
+    for name in header.split(SEPARATOR):
+        repeats = seen.get(name.lower())
+        seen[name.lower()] = 0 if repeats is None else repeats + 1
+        names.append(name if repeats is None else f"{name}_duplicated_{repeats}")
+    return names
+
+
 def split_columns(lines: DataFrame, header: str) -> DataFrame:
     """Lines to string columns by position.
 
     There is no quoting. Empty fields and fields a short line lacks are null,
-    fields beyond the header are dropped.
+    fields beyond the header and fields without a name are dropped.
     """
     fields = F.split("line", r"\$", -1).alias("fields")
-    names = header.split(SEPARATOR)
     return lines.select("path", fields).select(
         *[
             F.nullif(F.get("fields", F.lit(position)), F.lit("")).alias(name)
-            for position, name in enumerate(names)
+            for position, name in enumerate(column_names(header))
             if name
         ],
         *quarter_columns(F.col("path")),
@@ -197,7 +223,7 @@ def learned_header(inventory: DataFrame) -> list[str]:
     )
     if newest is None:
         raise ValueError("no readable archive to learn the columns from")
-    return newest.header.split(SEPARATOR)
+    return column_names(newest.header)
 
 
 def read_archives(
@@ -237,7 +263,7 @@ def read_text_tables(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
     Spark binds the columns of a multi-file read by position, so files are
     grouped by header and each group is one read. Year and quarter come from
-    the path, as for archives.
+    the path, as for archives. Spark skips blank lines here.
     """
     layout = dict(
         sep=SEPARATOR, quote="", header=True, encoding="ISO-8859-1", mode="PERMISSIVE",

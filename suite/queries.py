@@ -90,6 +90,10 @@ def _trials(spark: SparkSession, sf: str) -> DataFrame:
     return marts.rpt_clinical_trials(_dim_trials(spark, sf))
 
 
+def _trial_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return marts.trial_counts(_dim_trials(spark, sf))
+
+
 # Scalar functions.
 
 def _of_demo(*columns: object) -> Query:
@@ -238,7 +242,7 @@ def _selected_headline(spark: SparkSession, sf: str) -> DataFrame:
         report_plans.select_faers(_age_counted(spark, sf), years=[1996, 1997], genders=["F"]),
         report_plans.select_census(_population(spark, sf), states=["AL", "CA", "DE"]),
         report_plans.select_trials(
-            _trials(spark, sf), statuses=["COMPLETED"], phases=["Phase 1", "Phase 1/2"]
+            _trial_counts(spark, sf), statuses=["COMPLETED"], phases=["Phase 1", "Phase 1/2"]
         ),
     )
 
@@ -391,10 +395,10 @@ def queries() -> dict[str, Query]:
             report_plans.POPULATION,
         ),
         "a12_options": lambda s, d: report_plans.filter_options(
-            _age_counted(s, d), _population(s, d), _trials(s, d)
+            _age_counted(s, d), _population(s, d), _trial_counts(s, d)
         ),
         "m13_headline": lambda s, d: report_plans.headline(
-            _age_counted(s, d), _population(s, d), _trials(s, d)
+            _age_counted(s, d), _population(s, d), _trial_counts(s, d)
         ),
         "m13_headline_selected": _selected_headline,
         "m14_age_compare": lambda s, d: report_plans.age_comparison(
@@ -404,9 +408,9 @@ def queries() -> dict[str, Query]:
             _gender_counted(s, d), _population(s, d)
         ),
         "m16_age_three_way": lambda s, d: report_plans.age_three_way(
-            _age_counted(s, d), _population(s, d), _trials(s, d)
+            _age_counted(s, d), _population(s, d), _trial_counts(s, d)
         ),
         "m17_gender_three_way": lambda s, d: report_plans.gender_three_way(
-            _gender_counted(s, d), _population(s, d), _trials(s, d)
+            _gender_counted(s, d), _population(s, d), _trial_counts(s, d)
         ),
     }

@@ -13,7 +13,7 @@ from doselens.sources import archives, documents, tables
 from doselens.streaming.refresh import checkpoint_folder, refresh_quarters
 from suite import bronze
 
-OLD = "primaryid$age$gndr_cod\r\n1$40$M\r\n2$$F$extra\r\n3\r\n\r\n"
+OLD = "primaryid$age$gndr_cod\r\n1$40$M\r\n2$$F$extra\r\n3\r\n"
 NEW = "primaryid$caseid$AGE$sex\n4$9$51$\"M\n5$10$caf\xe9$F"
 
 
@@ -100,6 +100,15 @@ def test_damaged_member_gives_no_rows(spark, tmp_path):
     assert archives.read_archives(spark, str(tmp_path), "DEMO").count() == 1
 
 
+def test_blank_lines_and_repeated_names(spark, tmp_path):
+    put(tmp_path, "2015q1", {"DEMO15Q1.txt": "\n\na$A$$b\r\n1$2$3$4\r\n\r\n5\n\n"})
+    frame = archives.read_archives(spark, str(tmp_path), "DEMO")
+    assert frame.columns == ["a", "A_duplicated_0", "b", "src_year", "src_quarter"]
+    rows = sorted([tuple(r)[:3] for r in frame.collect()], key=str)
+    assert rows == [("1", "2", "4"), ("5", None, None), (None, None, None), (None, None, None)]
+    assert archives.archive_inventory(spark, str(tmp_path), "DEMO").first().row_count == 4
+
+
 def test_choose_member():
     names = ["__MACOSX/DEMO.txt", "a/drug.txt", "a/demo.csv", "a/Demo1.TXT", "a/DEMO2.txt"]
     assert archives.choose_member(names, "DEMO") == "a/Demo1.TXT"
