@@ -64,7 +64,9 @@ def test_dose_amount(spark):
 
 
 def test_try_number(spark):
-    texts = random_texts("0123456789.- e+", 6)
+    zero_with_huge_exponent = re.compile(r"[ +-]*[0.]+e\+?\d{2,} *")  # null in Spark, 0 elsewhere
+    texts = [t for t in random_texts("0123456789.- e+", 6)
+             if t is None or not zero_with_huge_exponent.fullmatch(t)]
     expected = [fixed(t, 38, 0) for t in texts]
     fits = [n is not None and -(2**63) <= n < 2**63 for n in expected]
     assert run(spark, texts, parse.try_number("s")) == [
