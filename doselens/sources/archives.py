@@ -1,15 +1,19 @@
 """Quarterly zip archives of ``$``-separated text.
 
 Python only unzips: a task streams the lines of an archive's member in bounded
-chunks, and splitting, naming and typing the columns is Spark SQL. What passes
-through the driver is one small row per archive (its header and row count).
+chunks into a table in the shared folder. That table is read like any other, so
+splitting, naming and typing the columns is Spark SQL in as many tasks as the
+lines need, and a lost executor does not unzip anything again. What passes
+through the driver is one small row per archive (its header and status).
 """
 
 from __future__ import annotations
 
 import io
 import itertools
+import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -17,7 +21,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import conform, diagonal_union
+from .tables import conform, diagonal_union, shared_folder
 
 # Archive naming, text layout, member selection and years covered.
 ARCHIVE_NAME = r"faers_ascii_(\d{4})[qQ](\d)"
@@ -32,9 +36,18 @@ CHUNK_BYTES = 8 << 20
 INLINE_BYTES = 256 << 20
 """Archives up to this size reach the task through Spark's own file reader."""
 
-INVENTORY = """path string, member string, header string, row_count bigint,
-    status string, error string"""
-LINES = "path string, line string"
+LINES_PER_FILE = 10_000_000
+DAMAGE = (
+    zipfile.BadZipFile, zlib.error, EOFError, ValueError, NotImplementedError, RuntimeError,
+)
+"""What unreadable archives raise; failures to reach one are left to Spark's retries."""
+
+UNZIPPED = """path string, line string, member string, header string,
+    row_count bigint, status string, error string"""
+STATUS = pa.schema([
+    ("member", pa.string()), ("header", pa.string()), ("row_count", pa.int64()),
+    ("status", pa.string()), ("error", pa.string()),
+])
 
 
 def quarter_columns(path: Column) -> list[Column]:
@@ -131,58 +144,65 @@ def _archive_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, byte
             yield path.as_py(), content.as_py()
 
 
-def archive_inventory(
-    spark: SparkSession, landing: str | Sequence[str], table: str
+def _line_rows(path: str, lines: list[str]) -> pa.RecordBatch:
+    unset = [pa.nulls(len(lines), field.type) for field in STATUS]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([path] * len(lines), pa.string()), pa.array(lines, pa.string()), *unset],
+        names=["path", "line", *STATUS.names],
+    )
+
+
+def _status_row(path: str, status: dict[str, object]) -> pa.RecordBatch:
+    columns = [pa.array([status.get(field.name)], field.type) for field in STATUS]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([path]), pa.nulls(1, pa.string()), *columns],
+        names=["path", "line", *STATUS.names],
+    )
+
+
+def unzip_archives(
+    spark: SparkSession,
+    landing: str | Sequence[str],
+    table: str,
+    work: str | None = None,
 ) -> DataFrame:
-    """Member, header, row count and status of each archive.
+    """The lines of all archives, and one status row for each.
 
-    Every member is read to its end, so a damaged archive is found here and
-    contributes no rows at all. Status is LOADED, NO_MEMBER or LOAD_FAILED.
+    The rows are written once to ``work``, or else below the shared checkpoint
+    folder. Damage may show up only at the end of a member, so the status row
+    comes last: LOADED, NO_MEMBER or LOAD_FAILED.
     """
     paths = [row.path for row in list_archives(spark, landing).select("path").collect()]
     if not paths:
-        return spark.createDataFrame([], f"{INVENTORY}, src_year int, src_quarter int")
+        raise ValueError(f"no archive in {landing}")
 
-    def inspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, content in _archive_rows(batches):
-            found = {"path": path, "member": None, "header": None, "row_count": 0, "error": None}
+            found: dict[str, object] = {"status": "NO_MEMBER", "row_count": 0}
             try:
                 with _open(path, content) as archive:
                     found["member"] = choose_member(archive.namelist(), table)
                     if found["member"] is not None:
-                        for header, block in _table_blocks(archive, found["member"]):
-                            found["header"] = header
-                            found["row_count"] += len(block)
-                found["status"] = "LOADED" if found["header"] is not None else "NO_MEMBER"
-            except (zipfile.BadZipFile, zipfile.LargeZipFile, EOFError, ValueError,
-                    NotImplementedError, zipfile.zlib.error) as problem:
+                        for header, lines in _table_blocks(archive, found["member"]):
+                            found.update(
+                                status="LOADED", header=header,
+                                row_count=found["row_count"] + len(lines),
+                            )
+                            yield _line_rows(path, lines)
+            except DAMAGE as problem:
                 found.update(status="LOAD_FAILED", row_count=0, error=str(problem))
-            yield pa.RecordBatch.from_pylist(
-                [found],
-                schema=pa.schema([
-                    ("path", pa.string()), ("member", pa.string()), ("header", pa.string()),
-                    ("row_count", pa.int64()), ("status", pa.string()), ("error", pa.string()),
-                ]),
-            )
-
-    inspected = _contents(spark, paths).mapInArrow(inspect, INVENTORY)
-    return inspected.select("*", *quarter_columns(F.col("path")))
+            yield _status_row(path, found)
 
+    folder = f"{work or shared_folder(spark)}/unzipped_{table}_{uuid.uuid4().hex}"
+    unzipped = _contents(spark, paths).mapInArrow(unzip, UNZIPPED)
+    unzipped.write.option("maxRecordsPerFile", LINES_PER_FILE).parquet(folder)
+    return spark.read.parquet(folder)
 
-def _lines(spark: SparkSession, paths: Sequence[str], table: str) -> DataFrame:
-    """The data lines of archives, without their header."""
-
-    def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, content in _archive_rows(batches):
-            with _open(path, content) as archive:
-                member = choose_member(archive.namelist(), table)
-                for _, block in _table_blocks(archive, member):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([path] * len(block), pa.string()), pa.array(block, pa.string())],
-                        names=["path", "line"],
-                    )
 
-    return _contents(spark, paths).mapInArrow(unzip, LINES)
+def archive_status(unzipped: DataFrame) -> DataFrame:
+    """One row per archive with member, header, row count, status and error."""
+    found = unzipped.filter(F.col("status").isNotNull())
+    return found.drop("line").select("*", *quarter_columns(F.col("path")))
 
 
 def column_names(header: str) -> list[str]:
@@ -213,10 +233,10 @@ def split_columns(lines: DataFrame, header: str) -> DataFrame:
     )
 
 
-def learned_header(inventory: DataFrame) -> list[str]:
+def learned_header(status: DataFrame) -> list[str]:
     """S3: the column names of the newest readable archive."""
     newest = (
-        inventory.filter("status = 'LOADED'")
+        status.filter("status = 'LOADED'")
         .orderBy(F.desc("src_year"), F.desc("src_quarter"))
         .select("header")
         .first()
@@ -226,38 +246,46 @@ def learned_header(inventory: DataFrame) -> list[str]:
     return column_names(newest.header)
 
 
-def read_archives(
-    spark: SparkSession,
-    landing: str | Sequence[str],
-    table: str,
-    from_first: bool = False,
-) -> DataFrame:
-    """One table out of all landed archives, every column a string.
+def archive_table(unzipped: DataFrame, from_first: bool = False) -> DataFrame:
+    """One table out of the lines of all readable archives.
 
-    Archives with the same header are read together, and the groups are united
-    by name (U1), so the result has every column of every quarter.
-    ``from_first`` keeps only the columns of the earliest quarter (S11, Q13).
+    Every column is a string. Archives with the same header are split together,
+    and the groups are united by name (U1), so the result has every column of
+    every quarter. ``from_first`` keeps only the columns of the earliest quarter
+    (S11, Q13). A damaged archive gives no rows at all.
     """
     readable = (
-        archive_inventory(spark, landing, table)
+        archive_status(unzipped)
         .filter("status = 'LOADED'")
         .orderBy("src_year", "src_quarter", "path")
         .select("header", "path")
         .collect()
     )
     if not readable:
-        raise ValueError(f"no readable archive with a {table} member in {landing}")
+        raise ValueError("no readable archive")
     variants: dict[str, list[str]] = {}
     for row in readable:
         variants.setdefault(row.header, []).append(row.path)
+    lines = unzipped.filter(F.col("line").isNotNull()).select("path", "line")
     frames = [
-        split_columns(_lines(spark, paths, table), header)
+        split_columns(lines.filter(F.col("path").isin(paths)), header)
         for header, paths in variants.items()
     ]
     united = diagonal_union(frames)
     return conform(united, frames[0].schema) if from_first else united
 
 
+def read_archives(
+    spark: SparkSession,
+    landing: str | Sequence[str],
+    table: str,
+    from_first: bool = False,
+    work: str | None = None,
+) -> DataFrame:
+    """Unzip the archives and read one of their tables."""
+    return archive_table(unzip_archives(spark, landing, table, work), from_first)
+
+
 def read_text_tables(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """S1, U1 for unzipped members, which Spark can split into many tasks.
 

@@ -15,6 +15,14 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir or pass a shared folder")
+    return folder
+
+
 def spread(frame: DataFrame) -> DataFrame:
     """A scan with fewer tasks than cores, dealt out to all cores.
 

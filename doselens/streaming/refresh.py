@@ -8,28 +8,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.archives import ARCHIVE_NAME, archive_inventory, read_archives
-from ..sources.tables import write_quarters
+from ..sources.archives import (
+    ARCHIVE_NAME,
+    archive_status,
+    archive_table,
+    unzip_archives,
+)
+from ..sources.tables import shared_folder, write_quarters
 
 FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def checkpoint_folder(spark: SparkSession, name: str, folder: str | None = None) -> str:
-    """The given folder, else one below the shared folder the cluster names."""
-    shared = folder or spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        raise ValueError("set spark.checkpoint.dir or pass a shared checkpoint folder")
-    return f"{shared}/{name}"
-
-
 def refresh_quarters(
-    spark: SparkSession, landing: str, table: str, bronze: str, checkpoint: str | None = None
+    spark: SparkSession, landing: str, table: str, bronze: str, work: str | None = None
 ) -> None:
     """Write the quarters of newly landed archives, replacing earlier versions.
 
     A batch replaces whole quarter partitions, so a batch that is run again
-    after a failure leaves the same result.
+    after a failure leaves the same result. Progress is kept in ``work``, or
+    else in the shared checkpoint folder.
     """
+    work = work or shared_folder(spark)
     arrivals = (
         spark.readStream.format("binaryFile")
         .schema(FILES)
@@ -41,14 +40,16 @@ def refresh_quarters(
 
     def ingest(batch: DataFrame, _: int) -> None:
         paths = [row.path for row in batch.collect()]
-        readable = archive_inventory(spark, paths, table).filter("status = 'LOADED'")
-        if paths and not readable.isEmpty():
-            write_quarters(read_archives(spark, paths, table), bronze)
+        if not paths:
+            return
+        unzipped = unzip_archives(spark, paths, table, work)
+        if not archive_status(unzipped).filter("status = 'LOADED'").isEmpty():
+            write_quarters(archive_table(unzipped), bronze)
 
     query = (
         arrivals.filter(arrivals["path"].rlike(ARCHIVE_NAME))
         .writeStream.foreachBatch(ingest)
-        .option("checkpointLocation", checkpoint_folder(spark, f"refresh_{table}", checkpoint))
+        .option("checkpointLocation", f"{work}/refresh_{table}")
         .trigger(availableNow=True)
         .start()
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from doselens.functions.census import CENSUS_VARIABLES
 from doselens.plans.build import build_marts
 from doselens.sources import archives, documents, tables
-from doselens.streaming.refresh import checkpoint_folder, refresh_quarters
+from doselens.streaming.refresh import refresh_quarters
 from suite import bronze
 
 OLD = "primaryid$age$gndr_cod\r\n1$40$M\r\n2$$F$extra\r\n3\r\n"
@@ -40,6 +40,15 @@ def landing(tmp_path):
     return folder
 
 
+def read(spark, landing, table, **options):
+    return archives.read_archives(spark, str(landing), table, work=str(landing.parent), **options)
+
+
+def status(spark, landing, table):
+    unzipped = archives.unzip_archives(spark, str(landing), table, work=str(landing.parent))
+    return archives.archive_status(unzipped)
+
+
 def by_id(frame):
     return {row.primaryid: row for row in frame.collect()}
 
@@ -52,7 +61,7 @@ EXPECTED = {
 
 
 def test_archives_unite_headers(spark, landing):
-    rows = by_id(archives.read_archives(spark, str(landing), "DEMO"))
+    rows = by_id(read(spark, landing, "DEMO"))
     assert {k: (r.age, r.gndr_cod, r.caseid, r.sex, r.src_year, r.src_quarter)
             for k, r in rows.items()} == EXPECTED
 
@@ -60,7 +69,7 @@ def test_archives_unite_headers(spark, landing):
 def test_large_archives_are_streamed(spark, landing, monkeypatch):
     monkeypatch.setattr(archives, "INLINE_BYTES", 0)
     monkeypatch.setattr(archives, "CHUNK_BYTES", 7)
-    rows = by_id(archives.read_archives(spark, str(landing), "DEMO"))
+    rows = by_id(read(spark, landing, "DEMO"))
     assert {k: (r.age, r.gndr_cod, r.caseid, r.sex, r.src_year, r.src_quarter)
             for k, r in rows.items()} == EXPECTED
 
@@ -74,18 +83,26 @@ def test_blocks_do_not_depend_on_chunk_size(landing, monkeypatch):
 
 
 def test_template_is_the_earliest_quarter(spark, landing):
-    frame = archives.read_archives(spark, str(landing), "DEMO", from_first=True)
+    frame = read(spark, landing, "DEMO", from_first=True)
     assert frame.columns == ["primaryid", "age", "gndr_cod", "src_year", "src_quarter"]
     assert {k: r.age for k, r in by_id(frame).items()} == {k: v[0] for k, v in EXPECTED.items()}
 
 
 def test_inventory_reports_every_archive(spark, landing):
-    rows = archives.archive_inventory(spark, str(landing), "DEMO").collect()
+    rows = status(spark, landing, "DEMO").collect()
     found = {(r.src_year, r.src_quarter): (r.status, r.row_count) for r in rows}
     assert found == {(2012, 1): ("LOADED", 3), (2024, 2): ("LOADED", 2),
                      (2013, 4): ("NO_MEMBER", 0), (2014, 1): ("LOAD_FAILED", 0)}
-    inventory = archives.archive_inventory(spark, str(landing), "DEMO")
-    assert archives.learned_header(inventory) == ["primaryid", "caseid", "AGE", "sex"]
+    newest = archives.learned_header(status(spark, landing, "DEMO"))
+    assert newest == ["primaryid", "caseid", "AGE", "sex"]
+
+
+def test_no_archives(spark, tmp_path):
+    with pytest.raises(ValueError):
+        read(spark, tmp_path, "DEMO")
+    put(tmp_path, "2015q1", {"DRUG15Q1.txt": "a\n1\n"})
+    with pytest.raises(ValueError):
+        read(spark, tmp_path, "DEMO")
 
 
 def test_damaged_member_gives_no_rows(spark, tmp_path):
@@ -95,18 +112,18 @@ def test_damaged_member_gives_no_rows(spark, tmp_path):
     data[len(data) // 2] ^= 0xFF
     path.write_bytes(bytes(data))
     put(tmp_path, "2015q2", {"DEMO15Q2.txt": "primaryid$age\n1$2\n"})
-    rows = archives.archive_inventory(spark, str(tmp_path), "DEMO").collect()
+    rows = status(spark, tmp_path, "DEMO").collect()
     assert {r.src_quarter: r.status for r in rows} == {1: "LOAD_FAILED", 2: "LOADED"}
-    assert archives.read_archives(spark, str(tmp_path), "DEMO").count() == 1
+    assert read(spark, tmp_path, "DEMO").count() == 1
 
 
 def test_blank_lines_and_repeated_names(spark, tmp_path):
     put(tmp_path, "2015q1", {"DEMO15Q1.txt": "\n\na$A$$b\r\n1$2$3$4\r\n\r\n5\n\n"})
-    frame = archives.read_archives(spark, str(tmp_path), "DEMO")
+    frame = read(spark, tmp_path, "DEMO")
     assert frame.columns == ["a", "A_duplicated_0", "b", "src_year", "src_quarter"]
     rows = sorted([tuple(r)[:3] for r in frame.collect()], key=str)
     assert rows == [("1", "2", "4"), ("5", None, None), (None, None, None), (None, None, None)]
-    assert archives.archive_inventory(spark, str(tmp_path), "DEMO").first().row_count == 4
+    assert status(spark, tmp_path, "DEMO").first().row_count == 4
 
 
 def test_choose_member():
@@ -129,24 +146,23 @@ def test_unzipped_members(spark, tmp_path):
 
 
 def test_refresh_handles_new_archives_once(spark, landing, tmp_path):
-    out, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "checkpoint")
-    refresh_quarters(spark, str(landing), "DEMO", out, checkpoint)
+    out, work = str(tmp_path / "bronze"), str(tmp_path / "work")
+    refresh_quarters(spark, str(landing), "DEMO", out, work)
     assert set(by_id(tables.read_quarters(spark, out))) == set(EXPECTED)
     put(landing, "2024q3", {"DEMO24Q3.txt": "primaryid$weight\n6$1\n"})
-    refresh_quarters(spark, str(landing), "DEMO", out, checkpoint)
+    refresh_quarters(spark, str(landing), "DEMO", out, work)
     rows = by_id(tables.read_quarters(spark, out))
     assert set(rows) == {*EXPECTED, "6"}
     assert (rows["6"].weight, rows["1"].weight, rows["4"].caseid) == ("1", None, "9")
 
 
-def test_checkpoint_folder(spark):
+def test_shared_folder():
     def session(setting):
         return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: setting))
 
-    assert checkpoint_folder(spark, "x", "/shared") == "/shared/x"
-    assert checkpoint_folder(session("/named"), "x") == "/named/x"
+    assert tables.shared_folder(session("/named")) == "/named"
     with pytest.raises(ValueError):
-        checkpoint_folder(session(None), "x")
+        tables.shared_folder(session(None))
 
 
 def test_product_document_and_lines(spark, tmp_path):
