@@ -5,7 +5,6 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from doselens.functions import census, parse, products, reports, trials
 
