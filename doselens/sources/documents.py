@@ -135,6 +135,15 @@ def parse_studies(pages: DataFrame) -> DataFrame:
     )
 
 
+def kept_studies(parsed: DataFrame) -> DataFrame:
+    """Parsed studies for writing, with the landed form of the rejected ones only.
+
+    Pages are costly to parse; accepted and rejected studies are both taken
+    from the written rows.
+    """
+    return parsed.withColumn("raw", F.when(F.col("rejected"), F.col("raw")))
+
+
 def clinical_trials(parsed: DataFrame) -> DataFrame:
     """The flat bronze table of the studies that could be read."""
     return flatten_studies(parsed.filter(~F.col("rejected")))

@@ -223,3 +223,15 @@ def test_other_drug_key(spark):
     keyed = drug.withColumn("primaryid", F.lit("11"))
     joined = staging.stg_faers(demo, keyed, drug_key=F.col("primaryid"))
     assert joined.count() == demo.filter("primaryid = '11'").count() * drug.count()
+
+
+def test_null_ingredient_and_equal_label_stay_two_rows(spark):
+    rows = [("M", 2020, None, "B", 40, 1), ("M", 2020, "UNKNOWN", "B", 40, 2), (None, None, "X", None, None, 3)]
+    dim = spark.createDataFrame(rows, """gender string, source_year int, active_ingredient_name string,
+        brand_name string, age_in_years int, primary_id bigint""")
+    expected = [("M", 2020, "UNKNOWN", "B", 1), ("M", 2020, "UNKNOWN", "B", 1), ("UNK", -1, "X", "UNKNOWN", 1)]
+    for report in (marts.rpt_faers_gender(dim), marts.gender_report(marts.report_cells(dim))):
+        assert sorted(map(tuple, report.collect())) == expected
+    age = marts.rpt_faers_age_distribution(dim).collect()
+    assert [(r.age_group, r.active_ingredient_name, r.report_count) for r in age] == [
+        ("35-44", "UNKNOWN", 1)] * 2
