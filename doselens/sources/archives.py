@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import io
 import itertools
+import re
 import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
+from typing import IO
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -90,11 +92,11 @@ def _contents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return small.unionByName(large)
 
 
-def _open(path: str, content: bytes | None) -> zipfile.ZipFile:
+def _file(path: str, content: bytes | None) -> IO[bytes]:
     if content is not None:
-        return zipfile.ZipFile(io.BytesIO(content))
-    filesystem, name = pafs.FileSystem.from_uri(path)
-    return zipfile.ZipFile(filesystem.open_input_file(name))
+        return io.BytesIO(content)
+    filesystem, name = pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
+    return filesystem.open_input_file(name)
 
 
 def choose_member(names: Sequence[str], table: str, skip_ignored: bool = True) -> str | None:
@@ -179,8 +181,9 @@ def unzip_archives(
     def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, content in _archive_rows(batches):
             found: dict[str, object] = {"status": "NO_MEMBER", "row_count": 0}
-            try:
-                with _open(path, content) as archive:
+            with _file(path, content) as file:
+                try:
+                    archive = zipfile.ZipFile(file)
                     found["member"] = choose_member(archive.namelist(), table)
                     if found["member"] is not None:
                         for header, lines in _table_blocks(archive, found["member"]):
@@ -189,8 +192,8 @@ def unzip_archives(
                                 row_count=found["row_count"] + len(lines),
                             )
                             yield _line_rows(path, lines)
-            except DAMAGE as problem:
-                found.update(status="LOAD_FAILED", row_count=0, error=str(problem))
+                except DAMAGE as problem:
+                    found.update(status="LOAD_FAILED", row_count=0, error=str(problem))
             yield _status_row(path, found)
 
     folder = f"{work or shared_folder(spark)}/unzipped_{table}_{uuid.uuid4().hex}"

@@ -15,6 +15,7 @@ from pyspark.sql.types import DateType, DecimalType, TimestampNTZType
 from doselens.functions import census, parse, products, reports, trials
 from doselens.operators import aggregates as agg
 from doselens.operators import checks
+from doselens.operators.filters import known
 from doselens.operators.flatten import flatten_studies, result_rows
 from doselens.plans import marts, staging
 from doselens.plans import reports as report_plans
@@ -127,6 +128,18 @@ def _application_id(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _path_access(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields of a declared shape, and fields of a variant of which one is absent."""
+    submission = F.get("result.submissions", F.lit(0))
+    return result_rows(bronze.openfda_drugs(spark, sf)).select(
+        F.col("last_updated").cast("string").alias("last_updated"),
+        F.col("result.reportnumber").alias("report_id"),
+        F.get("result.products", F.lit(0))["brand_name"].alias("first_brand"),
+        F.try_variant_get(submission, "$.submission_status", "string").alias("status"),
+        F.try_variant_get(submission, "$.absent.deeper", "string").alias("absent"),
+    )
+
+
 def _ages(spark: SparkSession, sf: str) -> DataFrame:
     demo = staging.clean_demo(bronze.demo_faers(spark, sf))
     return demo.select("primary_id", reports.in_range("age_in_years").alias("age_in_years"))
@@ -263,6 +276,11 @@ def queries() -> dict[str, Query]:
             parse.strict_number("val_vbm", "int").alias("val_vbm"),
             parse.strict_number("caseid").alias("case_number"),
         )),
+        "p05_try_int": lambda s, d: bronze.census_fips(s, d).select(
+            "state", "county",
+            parse.try_int("fips_code").alias("fips_number"),
+            parse.try_int("Male_Population").alias("male_number"),
+        ),
         "p06_blank_to_null": lambda s, d: bronze.census_fips(s, d).select(
             "fips_code",
             parse.blank_to_null("Total_Population").alias("total_text"),
@@ -304,6 +322,7 @@ def queries() -> dict[str, Query]:
             parse.first_match("dose_amt", reports.DOSE_NUMBER).alias("leading_number"),
         )),
         "p20_application_id": _application_id,
+        "p21_path_access": _path_access,
         "p22_study_flatten": lambda s, d: flatten_studies(bronze.studies(s, d)),
         "p23_joined_lists": _lazily(lambda: _of_trials(
             "phases", "conditions", "std_ages", "intervention_names", "intervention_types"
@@ -335,6 +354,12 @@ def queries() -> dict[str, Query]:
             "nct_id", "minimum_age_years",
             trials.eligibility_bucket("minimum_age_years").alias("age_bucket"),
         ),
+        "p37_safe_ratio": _lazily(lambda: _of_drug(
+            parse.safe_ratio(
+                parse.try_decimal(parse.part_of("dose_amt", "/", 1)),
+                parse.try_decimal(parse.part_of("dose_amt", "/", 2)),
+            ).cast(reports.DOSE_TYPE).alias("ratio")
+        )),
         "p38_upper_names": lambda s, d: report_plans.upper_names(
             _population(s, d).select("male_pop", "female_pop", "total_pop", "state_abbreviation")
         ),
@@ -383,6 +408,7 @@ def queries() -> dict[str, Query]:
             staging.clean_demo(bronze.demo_faers(s, d)), checks.age_out_of_range(), "age_in_years"
         ),
         "t04_check_summary": _check_summary,
+        "f01_known_ages": lambda s, d: known(_ages(s, d), "age_in_years"),
         "f02_selected_reports": lambda s, d: report_plans.select_faers(
             _gender(s, d), years=[1996, 1998], genders=["M", "UNK"],
             ingredients=["red", "bolt", "ring"],
@@ -394,6 +420,11 @@ def queries() -> dict[str, Query]:
             report_plans.select_census(_population(s, d), states=["AL", "CA", "DE"]),
             report_plans.POPULATION,
         ),
+        "a11_distinct_values": lambda s, d: _dim_trials(s, d).agg(
+            agg.distinct_values("eligible_sex").alias("sexes"),
+            agg.distinct_values("start_date").alias("start_dates"),
+            agg.distinct_values("lead_sponsor_class").alias("sponsor_classes"),
+        ),
         "a12_options": lambda s, d: report_plans.filter_options(
             _age_counted(s, d), _population(s, d), _trial_counts(s, d)
         ),
