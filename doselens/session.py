@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * PARTITION_BYTES),
     "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+    # Rows take several times their size in Parquet; the broadcast limit should see that.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
