@@ -25,8 +25,9 @@ def refresh_quarters(
     """Write the quarters of newly landed archives, replacing earlier versions.
 
     A batch replaces whole quarter partitions, so a batch that is run again
-    after a failure leaves the same result. Progress is kept in ``work``, or
-    else in the shared checkpoint folder.
+    after a failure leaves the same result. A corrected archive has to land
+    under a path that was not seen before. Progress is kept in ``work``, or else
+    in the shared checkpoint folder.
     """
     work = work or shared_folder(spark)
     arrivals = (

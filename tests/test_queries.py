@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the given tables."""
 
 import math
+import os
 from decimal import Decimal
 
 import duckdb
@@ -12,7 +13,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
 ).split()
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
@@ -52,7 +53,7 @@ def test_query_matches_sql(spark, database, name):
     expected = cursor.fetchall()
     actual = [tuple(row) for row in result.collect()]
     assert canonical(actual, result.columns) == canonical(expected, names)
-    assert actual, "an empty result checks nothing" 
+    assert actual, "an empty result checks nothing"
 
 
 def test_entry_has_rows(spark):
