@@ -2,6 +2,7 @@
 
     python -m doselens.job LANDING BRONZE [--schema marts]
 
+The package must be importable on the executors (``--py-files``), which unzip.
 ``LANDING`` has the folders ``faers`` (quarterly archives), ``drugs`` (product
 documents), ``census`` (county matrices) and ``trials`` (study pages).
 """
