@@ -8,17 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doselens.llm import bpe
+from doselens.llm import bpe, digest, mixing, quality, shards
 
 
-def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", *columns)
+def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every text, decodes the ids, and shows both by length and digest."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    documents = _documents(spark, sf_dir, "text")
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     coded = bpe.encode(documents, vocabulary, public_tokenizers.PATTERN)
     decoded = bpe.decode(coded.drop("text"), vocabulary)
     return decoded.select(
@@ -29,9 +29,53 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest of every text beside those of its edited text and its neighbour."""
+    return digest.compare_neighbours(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the ids of every text to shard files and reads them back."""
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    path, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    manifest = shards.write_shards(
+        documents,
+        shards.new_shard_folder(documents),
+        lambda: shards.library_encoder(path, pattern).encode,
+    )
+    return shards.read_shards(manifest)
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mixes all documents to the targets of their sources."""
+    return mixing.mix(_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality counts of every document and the verdict of the certified rules."""
+    judged = quality.judge(
+        _table(spark, sf_dir, "documents", "doc_id", "lang", "text"),
+        _table(spark, sf_dir, "labels", "doc_id", "quality"),
+    )
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
+        "op3_fingerprints": op3_fingerprints,
+        "op6_id_files": op6_id_files,
+        "op7_mixing": op7_mixing,
+        "op10_quality_rules": op10_quality_rules,
     }
 
 
