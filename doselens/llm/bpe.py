@@ -182,16 +182,19 @@ class Transducer:
             return self.packed[whole]
         if len(self.readings) > self.state_limit:
             self._reset()
-        state, out, known = 0, [], self.moves.get
+        state, out, moves = 0, [], self.moves
         for byte in piece:
-            state, emitted = known(state << 8 | byte) or self._move(state, byte)
-            if emitted:
-                out.append(emitted)
+            try:
+                state, emitted = moves[state << 8 | byte]
+            except KeyError:
+                state, emitted = self._move(state, byte)
                 if len(self.readings) > 2 * self.state_limit:
                     # Only a very long piece gets here: go on with the open readings alone.
                     readings = self.readings[state]
                     self._reset()
-                    state, known = self._state(readings), self.moves.get
+                    state, moves = self._state(readings), self.moves
+            if emitted:
+                out.append(emitted)
         out.append(self.last[state])
         return b"".join(out)
 
@@ -292,7 +295,12 @@ def tokens(vocabulary: str) -> dict[int, bytes]:
 
 
 def encode(
-    frame: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids"
+    frame: DataFrame,
+    vocabulary: str,
+    pattern: str,
+    text: str = "text",
+    ids: str = "ids",
+    drop_text: bool = False,
 ) -> DataFrame:
     """Adds the packed ids of a text column; ``vocabulary`` is a file on every executor."""
 
@@ -308,7 +316,7 @@ def encode(
 
         return run
 
-    return add_columns(frame, f"`{ids}` binary", prepare)
+    return add_columns(frame, f"`{ids}` binary", prepare, [text] if drop_text else [])
 
 
 def decode(

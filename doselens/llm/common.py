@@ -16,6 +16,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 """Where checkpoints go when the cluster names no folder, as in tests."""
 
+ROWS_AT_ONCE = 500
+"""Rows of a batch that are worked on, and sent back, together."""
+
 BatchFunction = Callable[[pa.RecordBatch], Sequence[pa.Array]]
 
 
@@ -72,10 +75,10 @@ def add_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = prepare()
         for batch in batches:
-            if batch.num_rows:
-                columns = [batch.column(i) for i in places]
-                columns += function(batch)
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                columns = [part.column(i) for i in places]
+                yield pa.RecordBatch.from_arrays([*columns, *function(part)], names=names)
 
     return frame.mapInArrow(run, schema)
 

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doselens.llm import bpe, digest, mixing, quality, shards
+from doselens.llm import bpe, digest, language, mixing, quality, shards, toxicity, unigram
+from doselens.llm.common import held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -19,8 +20,8 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every text, decodes the ids, and shows both by length and digest."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
-    coded = bpe.encode(documents, vocabulary, public_tokenizers.PATTERN)
-    decoded = bpe.decode(coded.drop("text"), vocabulary)
+    coded = bpe.encode(documents, vocabulary, public_tokenizers.PATTERN, drop_text=True)
+    decoded = bpe.decode(coded, vocabulary)
     return decoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -34,6 +35,24 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.compare_neighbours(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of unigram pieces of every text and the score of that segmentation."""
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    counted = unigram.add_counts(documents, public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_tokens", "best_score")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores every text after learning from the labels that are not held out."""
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = _table(spark, sf_dir, "labels", "doc_id", "toxic")
+    model = toxicity.learn(documents, labels.where(~held_out(F.col("doc_id"))))
+    scored = toxicity.add_scores(documents, model)
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the ids of every text to shard files and reads them back."""
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
@@ -51,6 +70,16 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text after learning from the rows that are not held out."""
+    documents = _table(spark, sf_dir, "documents", "doc_id", "lang", "text")
+    bundles = language.learn(documents.where(~held_out(F.col("doc_id"))))
+    found = language.identify(documents.select("doc_id", "text"), bundles)
+    return found.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality counts of every document and the verdict of the certified rules."""
     judged = quality.judge(
@@ -73,8 +102,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
         "op3_fingerprints": op3_fingerprints,
+        "op4_token_counts": op4_token_counts,
+        "op5_toxicity": op5_toxicity,
         "op6_id_files": op6_id_files,
         "op7_mixing": op7_mixing,
+        "op8_language": op8_language,
         "op10_quality_rules": op10_quality_rules,
     }
 
