@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doselens.llm import bpe, digest, language, mixing, quality, shards, toxicity, unigram
+from doselens.llm import bpe, digest, language, mixing, quality, shards, template, toxicity, unigram
 from doselens.llm.common import held_out
 
 
@@ -80,6 +80,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return template.extract(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality counts of every document and the verdict of the certified rules."""
     judged = quality.judge(
@@ -107,6 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_id_files": op6_id_files,
         "op7_mixing": op7_mixing,
         "op8_language": op8_language,
+        "op9_main_text": op9_main_text,
         "op10_quality_rules": op10_quality_rules,
     }
 
