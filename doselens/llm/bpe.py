@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame
 
 from doselens.llm.common import BatchFunction, add_columns, texts
 
-STATE_LIMIT = 120_000
+STATE_LIMIT = 180_000
 """States of the transducer kept at once in a task."""
-PIECE_LIMIT = 150_000
+PIECE_LIMIT = 220_000
 """Pieces met before a new generation of remembered ones begins; the last one stays known."""
 REMEMBERED_LENGTH = 64
 """Longer pieces are not remembered."""
