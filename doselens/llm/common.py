@@ -49,6 +49,16 @@ def materialize(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Deletes the files of materialized frames that nothing reads any more."""
+    for frame in frames:
+        jvm = frame.sparkSession._jvm
+        conf = frame.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in {file.rpartition("/")[0] for file in frame.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def add_columns(
     frame: DataFrame,
     fields: str | StructType,

@@ -164,6 +164,6 @@ def identify(
     return add_columns(frame, "lang_pred string, score double", prepare)
 
 
-def recognised(least_score: float = 0.1) -> Column:
+def recognised(least_score: float = 0.05) -> Column:
     """Whether a prediction counts: some language, and a cosine of ``least_score`` or more."""
     return (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)

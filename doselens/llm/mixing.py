@@ -133,7 +133,11 @@ def mix(
     shard_words: int = SHARD_WORDS,
     seed: int = 0,
 ) -> DataFrame:
-    """A row for each document: id, size, source_size, target and the words taken."""
+    """A row for each document: doc_id, size, source_size, target, words taken and copies.
+
+    ``taken`` counts words block by block. ``copies`` is for a mix of whole
+    documents: a document is taken as often as the block of its first word.
+    """
     sizes = materialize(
         documents.select(
             F.col(key).alias("doc_id"),
@@ -174,17 +178,25 @@ def mix(
     cut = cut.withColumn("quota", F.least(F.col("seats"), passes * F.col("n_blocks")))
     step, shift = F.lit(PRIME) % F.col("n_blocks"), seeded(seed, F.col("rank"), F.col("shard"))
 
+    def chosen(block: Column) -> Column:
+        turn = (step * block + F.col("shift") % F.col("n_blocks")) % F.col("n_blocks")
+        return turn < F.col("quota") % F.col("n_blocks")
+
     def overlap(block: Column) -> Column:
         inside = F.least(end, (block + 1) * block_words) - F.greatest(F.col("start"), block * block_words)
-        turn = (step * block + F.col("shift") % F.col("n_blocks")) % F.col("n_blocks")
-        return F.when(turn < F.col("quota") % F.col("n_blocks"), inside).otherwise(0)
+        return F.when(chosen(block), inside).otherwise(0)
 
-    touched = F.sequence(
-        F.floor(F.col("start") / block_words), F.floor((F.col("end") - 1) / block_words)
-    )
+    first = F.floor(F.col("start") / block_words)
+    touched = F.sequence(first, F.floor((F.col("end") - 1) / block_words))
     extra = F.aggregate(touched, F.lit(0).cast("bigint"), lambda sum_, b: sum_ + overlap(b))
-    whole = F.col("size") * F.floor(F.col("quota") / F.col("n_blocks"))
-    taken = F.when(F.col("size") > 0, whole + extra).otherwise(0).cast("bigint")
+    passed = F.floor(F.col("quota") / F.col("n_blocks"))
+    taken = F.when(F.col("size") > 0, F.col("size") * passed + extra).otherwise(0)
+    copies = F.when(F.col("size") > 0, passed + chosen(first).cast("int")).otherwise(0)
     return cut.withColumn("shift", shift).select(
-        "doc_id", "size", "source_size", "target", taken.alias("taken")
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        taken.cast("bigint").alias("taken"),
+        copies.cast("int").alias("copies"),
     )

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doselens.llm import bpe, digest, language, mixing, quality, shards, template, toxicity, unigram
+from doselens.llm import bpe, digest, jaccard, language, mixing, quality, shards, template, toxicity, unigram
 from doselens.llm.common import held_out
 
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under a Jaccard similarity of 0.8 of word shingles."""
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every text, decodes the ids, and shows both by length and digest."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -105,6 +110,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_jaccard": op1_jaccard,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_fingerprints": op3_fingerprints,
         "op4_token_counts": op4_token_counts,
