@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame
 
 from doselens.llm.common import BatchFunction, add_columns, texts
 
-STATE_LIMIT = 180_000
+STATE_LIMIT = 150_000
 """States of the transducer kept at once in a task."""
-PIECE_LIMIT = 220_000
+PIECE_LIMIT = 200_000
 """Pieces met before a new generation of remembered ones begins; the last one stays known."""
 REMEMBERED_LENGTH = 64
 """Longer pieces are not remembered."""
@@ -111,7 +111,7 @@ class Transducer:
         key = left << 32 | right
         known = self.apart.get(key)
         if known is None:
-            if len(self.apart) > 4 * self.state_limit:
+            if len(self.apart) > self.state_limit:
                 self.apart.clear()
             known = self.apart[key] = self._stay_apart(left, right)
         return known
