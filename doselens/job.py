@@ -1,10 +1,14 @@
 """The whole flow as one Spark job: landed files to bronze, gold and checks.
 
-    python -m doselens.job LANDING BRONZE [--schema marts]
+    python -m doselens.job LANDING BRONZE --work SHARED --warehouse TABLES
+        [--schema marts] [--shuffled-bytes N] [--cores N]
 
 The package must be importable on the executors (``--py-files``), which unzip.
 ``LANDING`` has the folders ``faers`` (quarterly archives), ``drugs`` (product
-documents), ``census`` (county matrices) and ``trials`` (study pages).
+documents), ``census`` (county matrices) and ``trials`` (study pages). ``SHARED``
+and ``TABLES`` are folders the whole cluster shares. ``BRONZE/load_status`` tells
+what became of every landed archive, ``BRONZE/rejected_pages`` and
+``BRONZE/rejected_studies`` what could not be read of the trials.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators import checks
 from .plans import staging
 from .plans.build import build_marts
+from .session import build_session
 from .sources import documents, tables
 from .streaming.refresh import refresh_quarters
 
@@ -25,18 +30,18 @@ FAERS_TABLES = ("DEMO", "DRUG", "REAC")
 
 def ingest(spark: SparkSession, landing: str, bronze: str, work: str | None = None) -> None:
     """Landed files to bronze; archives that were ingested before are left alone."""
-    for table in FAERS_TABLES:
-        refresh_quarters(
-            spark, f"{landing}/faers", table, f"{bronze}/{table.lower()}_faers", work
-        )
+    refresh_quarters(spark, f"{landing}/faers", FAERS_TABLES, bronze, work)
     pages = documents.read_study_pages(spark, f"{landing}/trials")
     tables.write_parquet(documents.kept_studies(documents.parse_studies(pages)), f"{bronze}/studies")
     studies = tables.read_parquet(spark, f"{bronze}/studies")
+    products = documents.read_product_document(spark, f"{landing}/drugs")
     frames = {
-        "openfda_drugs": documents.read_product_document(spark, f"{landing}/drugs"),
+        # A document comes from one task; its rows are dealt out before they are written.
+        "openfda_drugs": products.hint("rebalance"),
         "census_fips": documents.read_census_matrix(spark, f"{landing}/census"),
         "clinical_trials": documents.clinical_trials(studies),
         "rejected_studies": documents.rejected_studies(studies),
+        "rejected_pages": documents.rejected_pages(pages),
     }
     for name, frame in frames.items():
         tables.write_parquet(frame, f"{bronze}/{name}")
@@ -85,14 +90,30 @@ def run(
     return {**marts, "data_checks": tables.save_table(data_checks(frames), "data_checks", schema)}
 
 
-def main() -> None:
-    parser = argparse.ArgumentParser(description=__doc__)
+def parsed_options(arguments: list[str] | None = None) -> argparse.Namespace:
+    parser = argparse.ArgumentParser(
+        description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter
+    )
     parser.add_argument("landing")
     parser.add_argument("bronze")
+    parser.add_argument("--work", required=True, help="shared folder for unzipped text")
+    parser.add_argument("--warehouse", required=True, help="shared folder of the written tables")
     parser.add_argument("--schema", default="marts")
-    options = parser.parse_args()
-    spark = SparkSession.builder.appName("doselens").getOrCreate()
-    written = run(spark, options.landing, options.bronze, options.schema)
+    parser.add_argument("--shuffled-bytes", type=int, default=1 << 40, help="of the largest shuffle")
+    parser.add_argument("--cores", type=int, default=64, help="of the cluster")
+    return parser.parse_args(arguments)
+
+
+def session_for(options: argparse.Namespace) -> SparkSession:
+    return build_session(
+        "doselens", options.shuffled_bytes, options.cores, options.work, options.warehouse
+    )
+
+
+def main() -> None:
+    options = parsed_options()
+    spark = session_for(options)
+    written = run(spark, options.landing, options.bronze, options.schema, options.work)
     written["data_checks"].show(truncate=False)
 
 

@@ -21,8 +21,9 @@ def regrouped(frame: DataFrame, key: str, measure: str) -> DataFrame:
 
 
 def distinct_values(column: str) -> Column:
-    """Number of distinct values in which null counts as one."""
-    return F.count_distinct(column) + F.max(F.col(column).isNull().cast("int"))
+    """Number of distinct values in which null counts as one; 0 for no rows."""
+    has_null = F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0))
+    return F.count_distinct(column) + has_null
 
 
 def column_totals(frame: DataFrame, columns: Sequence[str]) -> DataFrame:

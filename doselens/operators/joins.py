@@ -9,7 +9,6 @@ adaptive execution, which is what keeps one hot key from landing in one task.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def reports_with_drugs(demo: DataFrame, drug: DataFrame) -> DataFrame:
@@ -27,10 +26,9 @@ def drugs_with_products(reports: DataFrame, products: DataFrame) -> DataFrame:
 def on_spine(spine: DataFrame, key: str, *sides: DataFrame) -> DataFrame:
     """Left-join small per-label results onto a label list.
 
-    The sides hold at most one row per label of the spine, so their size is
-    fixed by the spine and broadcasting them is bounded.
+    The sides hold at most one row per label of the spine.
     """
     joined = spine
     for side in sides:
-        joined = joined.join(F.broadcast(side), key, "left")
+        joined = joined.join(side, key, "left")
     return joined.na.fill(0.0)

@@ -46,7 +46,7 @@ def build_marts(
     )
     cells = save_table(marts.report_cells(drugs), "faers_report_cells", schema)
     reports = {
-        "rpt_faers_age_distribution": marts.age_report(known(cells, "age_group"), ordered=True),
+        "rpt_faers_age_distribution": marts.age_report(known(cells, "age_group")),
         "rpt_faers_gender": marts.gender_report(cells),
         "rpt_census_demographics": marts.rpt_census_demographics(counties),
         "rpt_clinical_trials": marts.rpt_clinical_trials(studies),

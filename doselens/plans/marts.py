@@ -115,26 +115,27 @@ def report_cells_counted(
     demo_faers: DataFrame,
     drug_faers: DataFrame,
     stg_openfda_drugs: DataFrame,
-    known_ages: bool = False,
+    by_age: bool = True,
     drug_key: Column | None = None,
 ) -> DataFrame:
     """The same cells straight from the sources, without the dimension's rows.
 
-    Every side is counted by its own keys before it is shuffled for a join, and
-    the counts multiply in the joins. A report, drug or application that holds
-    a large part of all rows therefore shrinks to its few key combinations
-    inside the map tasks. ``known_ages`` leaves out reports without an age.
+    Drugs and products are counted by their own keys before they are shuffled
+    for a join, and the counts multiply in the joins, so a drug or application
+    that holds a large part of all rows shrinks to few rows inside the map
+    tasks. Reports hardly repeat, so they are joined as they are; a hot one is
+    split by adaptive execution. With ``by_age`` only reports with an age count;
+    without it the cells have neither age group nor youngest age.
     """
-    demo = clean_demo(demo_faers).select(
-        "primary_id", "gender", reports.in_range("age_in_years").alias("age_in_years")
-    )
-    if known_ages:
-        demo = known(demo, "age_in_years")
-    people = (
-        known(demo, "primary_id")
-        .groupBy("primary_id", "gender", reports.age_group("age_in_years").alias("age_group"))
-        .agg(F.count("*").alias("people"), F.min("age_in_years").alias("youngest"))
-    )
+    people = known(clean_demo(demo_faers), "primary_id")
+    keys, youngest = [], []
+    if by_age:
+        age = reports.in_range("age_in_years")
+        people = known(people.select("primary_id", "gender", age.alias("age")), "age")
+        people = people.withColumn("age_group", reports.age_group("age"))
+        keys = ["age_group"]
+        youngest = [F.min("age").alias("youngest")]
+    people = people.select("primary_id", "gender", *(["age", "age_group"] if by_age else []))
     uses = (
         known(known(clean_drug(drug_faers, drug_key), "primary_id"), "nda_number")
         .groupBy("primary_id", "nda_number", "source_year")
@@ -142,24 +143,19 @@ def report_cells_counted(
     )
     per_drug = (
         reports_with_drugs(people, uses)
-        .groupBy("nda_number", "age_group", "source_year", "gender")
-        .agg(
-            F.sum(F.col("people") * F.col("uses")).alias("rows"),
-            F.min("youngest").alias("youngest"),
-        )
+        .groupBy("nda_number", *keys, "source_year", "gender")
+        .agg(F.sum("uses").alias("rows"), *youngest)
     )
     products = (
         known(stg_openfda_drugs, "application_number")
         .groupBy("application_number", "active_ingredient_name", "brand_name")
         .agg(F.count("*").alias("products"))
     )
+    again = [F.min("youngest").alias("youngest")] if by_age else []
     return (
         drugs_with_products(per_drug, products)
-        .groupBy("age_group", *REPORT_KEYS)
-        .agg(
-            F.sum(F.col("rows") * F.col("products")).alias("report_count"),
-            F.min("youngest").alias("youngest"),
-        )
+        .groupBy(*keys, *REPORT_KEYS)
+        .agg(F.sum(F.col("rows") * F.col("products")).alias("report_count"), *again)
     )
 
 
@@ -213,7 +209,7 @@ def rpt_faers_age_distribution_counted(
     drug_key: Column | None = None,
 ) -> DataFrame:
     """M9 straight from the sources, when the dimension is not wanted."""
-    cells = report_cells_counted(demo_faers, drug_faers, stg_openfda_drugs, True, drug_key)
+    cells = report_cells_counted(demo_faers, drug_faers, stg_openfda_drugs, drug_key=drug_key)
     return age_report(cells, ordered)
 
 
@@ -224,9 +220,8 @@ def rpt_faers_gender_counted(
     drug_key: Column | None = None,
 ) -> DataFrame:
     """M10 straight from the sources, when the dimension is not wanted."""
-    return gender_report(
-        report_cells_counted(demo_faers, drug_faers, stg_openfda_drugs, False, drug_key)
-    )
+    cells = report_cells_counted(demo_faers, drug_faers, stg_openfda_drugs, False, drug_key)
+    return cells.select(*labelled(DRUG_LABELS), "report_count")
 
 
 def rpt_census_demographics(dim_fips_census: DataFrame) -> DataFrame:

@@ -30,10 +30,19 @@ def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
     return max(cores, -(-shuffled_bytes // PARTITION_BYTES))
 
 
-def build_session(name: str, shuffled_bytes: int, cores: int) -> SparkSession:
-    """A session sized for the bytes its largest shuffle moves."""
+def build_session(
+    name: str, shuffled_bytes: int, cores: int, work: str | None = None, warehouse: str | None = None
+) -> SparkSession:
+    """A session sized for the bytes its largest shuffle moves.
+
+    ``work`` and ``warehouse`` are folders that the whole cluster shares.
+    """
     builder = SparkSession.builder.appName(name)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if work is not None:
+        builder = builder.config("spark.checkpoint.dir", work)
+    if warehouse is not None:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse)
     partitions = shuffle_partitions(shuffled_bytes, cores)
     return builder.config("spark.sql.shuffle.partitions", str(partitions)).getOrCreate()

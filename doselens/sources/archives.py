@@ -1,102 +1,76 @@
 """Quarterly zip archives of ``$``-separated text.
 
-Python only unzips: a task streams the lines of an archive's member in bounded
-chunks into a table in the shared folder. That table is read like any other, so
-splitting, naming and typing the columns is Spark SQL in as many tasks as the
-lines need, and a lost executor does not unzip anything again. What passes
-through the driver is one small row per archive (its header and status).
+Python only unzips: a task writes the text of an archive's members in bounded
+chunks into a table in the shared folder, once for all wanted tables. That table
+is read like any other, so cutting lines, splitting, naming and typing columns
+is Spark SQL in as many tasks as the text needs, and a lost executor does not
+unzip anything again. What passes through the driver is one small row per
+archive and table (its header and status).
 """
 
 from __future__ import annotations
 
 import io
-import itertools
 import re
 import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
-from typing import IO
 
 import pyarrow as pa
-import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tables import conform, diagonal_union, shared_folder
+from .tables import shared_folder
 
-# Archive naming, text layout, member selection and years covered.
-ARCHIVE_NAME = r"faers_ascii_(\d{4})[qQ](\d)"
+# Archive naming, text layout and member selection.
+ARCHIVE_NAME = r"faers_ascii_(\d{4})[qQ]([1-4])[^/]*\.zip$"
+QUARTER_IN_PATH = r"faers_ascii_(\d{4})[qQ]([1-4])"
 SEPARATOR = "$"
-ENCODING = "latin-1"
+ENCODING = "ISO-8859-1"
 MEMBER_ENDING = ".txt"
 IGNORED_FOLDER = "__MACOSX"
-FIRST_YEAR, LAST_YEAR = 2012, 2026
 
-CHUNK_BYTES = 8 << 20
-"""Unzipped bytes a task holds at a time."""
-INLINE_BYTES = 256 << 20
-"""Archives up to this size reach the task through Spark's own file reader."""
+CHUNK_BYTES = 4 << 20
+"""Unzipped bytes a task holds at a time, but for a line that is longer."""
+LARGEST_ARCHIVE = (1 << 31) - 1024
+"""Spark's file reader hands over no larger file; such an archive is told as failed."""
 
-LINES_PER_FILE = 10_000_000
 DAMAGE = (
     zipfile.BadZipFile, zlib.error, EOFError, ValueError, NotImplementedError, RuntimeError,
 )
 """What unreadable archives raise; failures to reach one are left to Spark's retries."""
 
-UNZIPPED = """path string, line string, member string, header string,
-    row_count bigint, status string, error string"""
-STATUS = pa.schema([
-    ("member", pa.string()), ("header", pa.string()), ("row_count", pa.int64()),
-    ("status", pa.string()), ("error", pa.string()),
-])
+UNZIPPED = """path string, table_name string, text string, member string, header string,
+    status string, error string"""
+NAMES = ["path", "table_name", "text", "member", "header", "status", "error"]
 
 
 def quarter_columns(path: Column) -> list[Column]:
     """Year and quarter from an archive's path."""
     return [
-        F.regexp_extract(path, ARCHIVE_NAME, group).try_cast("int").alias(name)
+        F.regexp_extract(path, QUARTER_IN_PATH, group).try_cast("int").alias(name)
         for group, name in ((1, "src_year"), (2, "src_quarter"))
     ]
 
 
+def _literal(paths: Sequence[str]) -> list[str]:
+    """Paths in which nothing is taken for a pattern."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
+
+
 def list_archives(spark: SparkSession, landing: str | Sequence[str]) -> DataFrame:
-    """The landed archives of the covered quarters; missing ones are absent.
+    """The landed archives with their quarter, size and time, whatever the year.
 
-    ``landing`` is a folder or a list of archives.
+    ``landing`` is a folder or a list of archives. A folder without any gives no rows.
     """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .load(landing if isinstance(landing, str) else list(landing))
-        .select("path", "length", *quarter_columns(F.col("path")))
-    )
-    return files.filter(
-        F.col("path").rlike(ARCHIVE_NAME + r"\.zip$")
-        & F.col("src_year").between(FIRST_YEAR, LAST_YEAR)
-        & F.col("src_quarter").between(1, 4)
-    )
-
-
-def _contents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Path and bytes of archives; large ones without bytes, to be streamed.
-
-    Spark packs files into tasks by size, and a row holds at most INLINE_BYTES,
-    so neither many small archives nor a large one overfill a task.
-    """
-    files = spark.read.format("binaryFile").load(list(paths))
-    small = files.filter(F.col("length") <= INLINE_BYTES).select("path", "content")
-    large = files.filter(F.col("length") > INLINE_BYTES).select(
-        "path", F.lit(None).cast("binary").alias("content")
+        .load(_literal([landing] if isinstance(landing, str) else landing))
+        .select("path", "modificationTime", "length", *quarter_columns(F.col("path")))
     )
-    return small.unionByName(large)
-
-
-def _file(path: str, content: bytes | None) -> IO[bytes]:
-    if content is not None:
-        return io.BytesIO(content)
-    filesystem, name = pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
-    return filesystem.open_input_file(name)
+    return files.filter(F.col("path").rlike(ARCHIVE_NAME))
 
 
 def choose_member(names: Sequence[str], table: str, skip_ignored: bool = True) -> str | None:
@@ -109,103 +83,136 @@ def choose_member(names: Sequence[str], table: str, skip_ignored: bool = True) -
     return None
 
 
-def _line_blocks(archive: zipfile.ZipFile, member: str) -> Iterator[list[str]]:
-    """The lines of a member, in blocks of bounded size."""
-    def decoded(lines: list[bytes]) -> list[str]:
-        return [line.removesuffix(b"\r").decode(ENCODING) for line in lines]
-
+def _chunks(archive: zipfile.ZipFile, member: str) -> Iterator[str]:
+    """The text of a member in pieces that end where a line ends."""
+    open_line: list[bytes] = []
     with archive.open(member) as stream:
-        rest = b""
         while chunk := stream.read(CHUNK_BYTES):
-            *lines, rest = (rest + chunk).split(b"\n")
-            yield decoded(lines)
-        if rest:
-            yield decoded([rest])
-
-
-def _table_blocks(
-    archive: zipfile.ZipFile, member: str
-) -> Iterator[tuple[str, list[str]]]:
-    """The header, which is the first line that is not blank, with the lines below it.
-
-    A blank line below the header is a row of nulls.
-    """
-    header = None
-    for block in _line_blocks(archive, member):
-        if header is None:
-            block = list(itertools.dropwhile(lambda line: not line, block))
-            if not block:
+            cut = chunk.rfind(b"\n")
+            if cut < 0:
+                open_line.append(chunk)
                 continue
-            header, *block = block
-        yield header, block
+            yield b"".join([*open_line, chunk[:cut]]).decode(ENCODING)
+            open_line = [chunk[cut + 1 :]]
+    if rest := b"".join(open_line):
+        yield rest.decode(ENCODING)
 
 
-def _archive_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes | None]]:
-    for batch in batches:
-        for path, content in zip(batch.column("path"), batch.column("content")):
-            yield path.as_py(), content.as_py()
+def _below_header(chunks: Iterator[str]) -> Iterator[tuple[str, str | None]]:
+    """The header, which is the first line that is not blank, with the text below it."""
+    header = None
+    for chunk in chunks:
+        if header is not None:
+            yield header, chunk
+            continue
+        lines = chunk.lstrip("\r\n")
+        if lines:
+            first, newline, below = lines.partition("\n")
+            header = first.removesuffix("\r")
+            yield header, below if newline else None
 
 
-def _line_rows(path: str, lines: list[str]) -> pa.RecordBatch:
-    unset = [pa.nulls(len(lines), field.type) for field in STATUS]
+def _rows(path: str, table: str, **values: str | None) -> pa.RecordBatch:
+    row = {"path": path, "table_name": table, **values}
     return pa.RecordBatch.from_arrays(
-        [pa.array([path] * len(lines), pa.string()), pa.array(lines, pa.string()), *unset],
-        names=["path", "line", *STATUS.names],
+        [pa.array([row.get(name)], pa.string()) for name in NAMES], names=NAMES
     )
 
 
-def _status_row(path: str, status: dict[str, object]) -> pa.RecordBatch:
-    columns = [pa.array([status.get(field.name)], field.type) for field in STATUS]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([path]), pa.nulls(1, pa.string()), *columns],
-        names=["path", "line", *STATUS.names],
-    )
+def _member_rows(path: str, content: bytes | None, table: str) -> Iterator[pa.RecordBatch]:
+    """The text of an archive's member, and after it the row with its status."""
+    found: dict[str, str | None] = {"status": "NO_MEMBER"}
+    try:
+        if content is None:
+            raise ValueError(f"larger than {LARGEST_ARCHIVE} bytes")
+        archive = zipfile.ZipFile(io.BytesIO(content))
+        found["member"] = choose_member(archive.namelist(), table)
+        if found["member"] is not None:
+            found["status"] = "EMPTY"
+            for header, text in _below_header(_chunks(archive, found["member"])):
+                found.update(status="LOADED", header=header)
+                if text is not None:
+                    yield _rows(path, table, text=text)
+    except DAMAGE as problem:
+        found.update(status="LOAD_FAILED", error=str(problem))
+    yield _rows(path, table, **found)
 
 
 def unzip_archives(
     spark: SparkSession,
     landing: str | Sequence[str],
-    table: str,
+    wanted: str | Sequence[str],
     work: str | None = None,
 ) -> DataFrame:
-    """The lines of all archives, and one status row for each.
-
-    The rows are written once to ``work``, or else below the shared checkpoint
-    folder. Damage may show up only at the end of a member, so the status row
-    comes last: LOADED, NO_MEMBER or LOAD_FAILED.
+    """The text of the wanted tables of all archives, with their status.
+
+    Each archive is opened once for all tables. Every archive is read by Spark's
+    own file reader, so its storage settings hold and paths need no second form;
+    a task holds one archive at a time. The rows are written once to ``work``, or
+    else below the shared checkpoint folder; ``remove_unzipped`` deletes them.
+    Damage may show up only at the end of a member, so the status row comes last:
+    LOADED, EMPTY (no line in the member), NO_MEMBER or LOAD_FAILED.
     """
+    names = [wanted] if isinstance(wanted, str) else list(wanted)
+    # One path for each archive, a few hundred for decades of quarters.
     paths = [row.path for row in list_archives(spark, landing).select("path").collect()]
     if not paths:
         raise ValueError(f"no archive in {landing}")
 
     def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, content in _archive_rows(batches):
-            found: dict[str, object] = {"status": "NO_MEMBER", "row_count": 0}
-            with _file(path, content) as file:
-                try:
-                    archive = zipfile.ZipFile(file)
-                    found["member"] = choose_member(archive.namelist(), table)
-                    if found["member"] is not None:
-                        for header, lines in _table_blocks(archive, found["member"]):
-                            found.update(
-                                status="LOADED", header=header,
-                                row_count=found["row_count"] + len(lines),
-                            )
-                            yield _line_rows(path, lines)
-                except DAMAGE as problem:
-                    found.update(status="LOAD_FAILED", row_count=0, error=str(problem))
-            yield _status_row(path, found)
-
-    folder = f"{work or shared_folder(spark)}/unzipped_{table}_{uuid.uuid4().hex}"
-    unzipped = _contents(spark, paths).mapInArrow(unzip, UNZIPPED)
-    unzipped.write.option("maxRecordsPerFile", LINES_PER_FILE).parquet(folder)
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+                for table in names:
+                    yield from _member_rows(path.as_py(), content.as_py(), table)
+
+    folder = f"{work or shared_folder(spark)}/unzipped_{uuid.uuid4().hex}"
+    files = spark.read.format("binaryFile").load(_literal(paths))
+    fits = F.col("length") <= LARGEST_ARCHIVE
+    contents = files.filter(fits).select("path", "content")
+    told = files.filter(~fits).select("path", F.lit(None).cast("binary").alias("content"))
+    contents.unionByName(told).mapInArrow(unzip, UNZIPPED).write.parquet(folder)
     return spark.read.parquet(folder)
 
 
+def remove_unzipped(unzipped: DataFrame) -> None:
+    """Delete the files written by ``unzip_archives`` once their rows are stored elsewhere."""
+    spark = unzipped.sparkSession
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for folder in {file.rpartition("/")[0] for file in unzipped.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def _lines(unzipped: DataFrame) -> DataFrame:
+    """One row per line below the header; a blank line is a row."""
+    texts = unzipped.filter(F.col("text").isNotNull())
+    line = F.explode(F.split("text", "\n", -1)).alias("line")
+    lines = texts.select("path", "table_name", line)
+    return lines.withColumn("line", F.regexp_replace("line", r"\r$", ""))
+
+
 def archive_status(unzipped: DataFrame) -> DataFrame:
-    """One row per archive with member, header, row count, status and error."""
-    found = unzipped.filter(F.col("status").isNotNull())
-    return found.drop("line").select("*", *quarter_columns(F.col("path")))
+    """For each archive and table the member, header, row count, status and error."""
+    found = unzipped.filter(F.col("status").isNotNull()).drop("text")
+    counts = _lines(unzipped).groupBy("path", "table_name").count()
+    rows = F.when(F.col("status") == "LOADED", F.coalesce("count", F.lit(0))).otherwise(0)
+    counted = found.join(counts, ["path", "table_name"], "left")
+    return counted.select(
+        *found.columns, rows.alias("row_count"), *quarter_columns(F.col("path"))
+    )
+
+
+def newest_readable(status: DataFrame, times: DataFrame) -> DataFrame:
+    """K2: the newest readable archive of each quarter and table, by landing time.
+
+    ``times`` has ``path`` and ``modificationTime``.
+    """
+    newest = Window.partitionBy("table_name", "src_year", "src_quarter").orderBy(
+        F.desc("modificationTime"), F.desc("path")
+    )
+    readable = status.filter("status = 'LOADED'").join(times.select("path", "modificationTime"), "path")
+    ranked = readable.withColumn("age_rank", F.row_number().over(newest))
+    return ranked.filter("age_rank = 1").drop("age_rank")
 
 
 def column_names(header: str) -> list[str]:
@@ -219,6 +226,46 @@ def column_names(header: str) -> list[str]:
     return names
 
 
+def _union_names(headers: Sequence[str], from_first: bool) -> list[str]:
+    """The named columns of all headers, matched ignoring case, in order of appearance."""
+    found: dict[str, str] = {}
+    for header in headers[:1] if from_first else headers:
+        for name in column_names(header):
+            if name:
+                found.setdefault(name.lower(), name)
+    return list(found.values())
+
+
+def split_by_headers(
+    lines: DataFrame, headers: Sequence[tuple[str, str]], from_first: bool = False
+) -> DataFrame:
+    """Lines of files with different headers to one table, in one pass.
+
+    ``headers`` has a path and its header for each file, in order. A line is
+    split once; a small table tells where each column stands in the lines of
+    its file. There is no quoting. Empty fields, fields a short line lacks and
+    columns a header lacks are null; fields beyond the header and fields without
+    a name are dropped.
+    """
+    union = _union_names([header for _, header in headers], from_first)
+    places = []
+    for path, header in headers:
+        at = {name.lower(): i for i, name in enumerate(column_names(header)) if name}
+        places.append((path, [at.get(name.lower(), -1) for name in union]))
+    layout = lines.sparkSession.createDataFrame(places, "path string, places array<int>")
+    fields = F.split("line", r"\$", -1).alias("fields")
+    split = lines.join(layout, "path").select("path", "places", fields)
+
+    def column(i: int) -> Column:
+        place = F.get("places", F.lit(i))
+        return F.when(place >= 0, F.nullif(F.get("fields", place), F.lit("")))
+
+    return split.select(
+        *[column(i).alias(name) for i, name in enumerate(union)],
+        *quarter_columns(F.col("path")),
+    )
+
+
 def split_columns(lines: DataFrame, header: str) -> DataFrame:
     """Lines to string columns by position.
 
@@ -249,33 +296,27 @@ def learned_header(status: DataFrame) -> list[str]:
     return column_names(newest.header)
 
 
-def archive_table(unzipped: DataFrame, from_first: bool = False) -> DataFrame:
-    """One table out of the lines of all readable archives.
+def archive_table(
+    unzipped: DataFrame, table: str, paths: DataFrame | None = None, from_first: bool = False
+) -> DataFrame:
+    """One table out of the text of all readable archives.
 
-    Every column is a string. Archives with the same header are split together,
-    and the groups are united by name (U1), so the result has every column of
-    every quarter. ``from_first`` keeps only the columns of the earliest quarter
+    Every column is a string and the result has every column of every quarter.
+    ``paths`` names the archives to use (one per quarter, as ``newest_readable``
+    gives them). ``from_first`` keeps only the columns of the earliest quarter
     (S11, Q13). A damaged archive gives no rows at all.
     """
-    readable = (
-        archive_status(unzipped)
-        .filter("status = 'LOADED'")
-        .orderBy("src_year", "src_quarter", "path")
-        .select("header", "path")
-        .collect()
+    own = unzipped.filter(F.col("table_name") == table)
+    readable = own.filter("status = 'LOADED'").select(
+        "path", "header", *quarter_columns(F.col("path"))
     )
-    if not readable:
+    if paths is not None:
+        readable = readable.join(paths.select("path"), "path", "left_semi")
+    rows = readable.orderBy("src_year", "src_quarter", "path").collect()
+    if not rows:
         raise ValueError("no readable archive")
-    variants: dict[str, list[str]] = {}
-    for row in readable:
-        variants.setdefault(row.header, []).append(row.path)
-    lines = unzipped.filter(F.col("line").isNotNull()).select("path", "line")
-    frames = [
-        split_columns(lines.filter(F.col("path").isin(paths)), header)
-        for header, paths in variants.items()
-    ]
-    united = diagonal_union(frames)
-    return conform(united, frames[0].schema) if from_first else united
+    headers = [(row.path, row.header) for row in rows]
+    return split_by_headers(_lines(own), headers, from_first)
 
 
 def read_archives(
@@ -284,29 +325,46 @@ def read_archives(
     table: str,
     from_first: bool = False,
     work: str | None = None,
+    years: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Unzip the archives and read one of their tables."""
-    return archive_table(unzip_archives(spark, landing, table, work), from_first)
+    """Unzip the archives and read one of their tables.
+
+    Of several archives of a quarter the newest readable one counts. ``years``
+    limits the quarters to a first and last year; without it all count.
+    """
+    unzipped = unzip_archives(spark, landing, table, work)
+    status = unzipped.filter(F.col("status").isNotNull()).select(
+        "path", "table_name", "status", *quarter_columns(F.col("path"))
+    )
+    if years is not None:
+        status = status.filter(F.col("src_year").between(*years))
+    chosen = newest_readable(status, list_archives(spark, landing))
+    return archive_table(unzipped, table, chosen, from_first)
 
 
 def read_text_tables(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """S1, U1 for unzipped members, which Spark can split into many tasks.
 
-    Spark binds the columns of a multi-file read by position, so files are
-    grouped by header and each group is one read. Year and quarter come from
-    the path, as for archives. Spark skips blank lines here.
+    Lines are cut and named as for archives: the first line that is not blank
+    is the header, and blank lines below it are rows. All headers are found in
+    one scan and all lines are split in another.
     """
-    layout = dict(
-        sep=SEPARATOR, quote="", header=True, encoding="ISO-8859-1", mode="PERMISSIVE",
-        enforceSchema=True,
+    raw = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        # The reader keeps the bytes of a line as they are.
+        F.regexp_replace(F.decode(F.col("value").cast("binary"), ENCODING), r"\r$", "").alias("line"),
+    )
+    headers = (
+        raw.withColumn("row", F.monotonically_increasing_id())
+        .filter((F.col("block") == 0) & (F.col("line") != ""))
+        .groupBy("path")
+        .agg(F.min_by("line", "row").alias("header"))
+        .select("path", "header", *quarter_columns(F.col("path")))
+        .orderBy("src_year", "src_quarter", "path")
+        .collect()
     )
-    variants: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        names = tuple(spark.read.csv(path, **layout).columns)
-        variants.setdefault(names, []).append(path)
-    frames = []
-    for names, group in variants.items():
-        schema = ", ".join(f"`{name}` string" for name in names)
-        rows = spark.read.schema(schema).csv(group, **layout)
-        frames.append(rows.select(*names, *quarter_columns(F.col("_metadata.file_path"))))
-    return diagonal_union(frames)
+    known = [(row.path, row.header) for row in headers]
+    first = spark.createDataFrame(known, "path string, header string")
+    lines = raw.join(first, "path").filter("line != header").select("path", "line")
+    return split_by_headers(lines, known)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,19 +25,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """A scan with fewer tasks than cores, dealt out to all cores.
-
-    A file of one row group is read by one task, and cleaning text costs far
-    more than moving it. A scan that already fills the cores is left alone, so
-    no large table is ever shuffled for this.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() >= cores:
-        return frame
-    return frame.repartition(cores)
-
-
 def read_csv(spark: SparkSession, *paths: str, infer_types: bool = True) -> DataFrame:
     """Comma-separated text with a header and optional double quotes.
 
@@ -86,7 +75,7 @@ def load_from_template(
 
     The reader itself matches columns by name ignoring case, fills absent ones
     with null and skips extra ones. Use ``template_union`` where types differ.
-    ``tolerant`` skips damaged files, which ``load_status`` then reports (S12).
+    ``tolerant`` skips what is damaged, which ``parquet_load_status`` then tells (S12).
     """
     template = spark.read.parquet(paths[0]).schema
     reader = spark.read.schema(template).option("ignoreCorruptFiles", tolerant)
@@ -105,29 +94,87 @@ def _location(path: Column) -> Column:
     return F.regexp_replace(path, "^([a-z0-9]+:)/+", "$1/")
 
 
+LARGEST_FILE = (1 << 31) - 1024
+"""Spark's reader of whole files hands over no larger one."""
+
+
+def _readable_footers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The files among ``paths`` whose footer can be read. Meant for files without rows."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for file, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                try:
+                    pq.read_metadata(pa.BufferReader(content))
+                    good.append(file)
+                except (pa.ArrowException, OSError):
+                    pass
+            yield pa.RecordBatch.from_arrays([pa.array(good, pa.string())], names=["file"])
+
+    files = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).load(list(paths))
+    small = files.filter(F.col("length") <= LARGEST_FILE)
+    chosen = small.select(_location(F.col("_metadata.file_path")).alias("file"), "content")
+    return chosen.mapInArrow(check, "file string")
+
+
+def parquet_load_status(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Status and row counts of each of many Parquet files, in the shape of the first.
+
+    The rows a file should have come from its footer, and the rows loaded from
+    decoding all its columns, so a file that is damaged below its footer is
+    PARTIALLY_LOADED. A file without rows is LOADED if its footer can be read and
+    LOAD_FAILED otherwise; only such files are opened once more.
+    """
+    rows = load_from_template(spark, paths, tolerant=True)
+    file = _location(F.col("_metadata.file_path")).alias("file")
+    # Counting no column reads footers alone; combining the hashes of all columns decodes them.
+    expected = rows.groupBy(file).agg(F.count("*").alias("rows_parsed"))
+    every = F.bit_xor(F.xxhash64(*rows.columns))
+    decoded = F.when(every.isNotNull(), F.count("*")).alias("rows_loaded")
+    files = spark.read.format("binaryFile").load(list(paths))
+    listed = files.select(file, F.col("path"))
+    counted = listed.join(expected, "file", "left").join(rows.groupBy(file).agg(decoded), "file", "left")
+    counted = counted.na.fill(0, ["rows_parsed", "rows_loaded"])
+    empty = [row.path for row in counted.filter("rows_parsed = 0").select("path").collect()]
+    sound = F.lit(False)
+    if empty:
+        good = _readable_footers(spark, empty).withColumn("sound", F.lit(True))
+        counted, sound = counted.join(good, "file", "left"), F.coalesce("sound", F.lit(False))
+    status = (
+        F.when((F.col("rows_parsed") == 0) & sound, "LOADED")
+        .when(F.col("rows_loaded") == 0, "LOAD_FAILED")
+        .when(F.col("rows_loaded") < F.col("rows_parsed"), "PARTIALLY_LOADED")
+        .otherwise("LOADED")
+    )
+    return counted.select("file", status.alias("status"), "rows_parsed", "rows_loaded")
+
+
 def load_status(
     rows: DataFrame, listed: DataFrame | None = None, corrupt: str = "_corrupt_record"
 ) -> DataFrame:
-    """Status and row counts of each file of a tolerant read.
+    """Status and row counts of each file of a tolerant read of text.
 
-    ``rows`` still has the file's ``_metadata``; where it has a corrupt-record
-    column, those rows count as not loaded. ``listed`` names the files by
-    ``path``, so that files which gave no row are reported too. Rows are
-    counted in the map tasks, so one large file is not one task.
+    ``rows`` still has the file's ``_metadata`` and the corrupt-record column,
+    whose rows count as not loaded. ``listed`` names the files by ``path``; one
+    that gave no row is LOADED, with 0 rows, if its length is 0 and LOAD_FAILED
+    otherwise. Rows are counted in the map tasks, so one large file is not one task.
     """
-    bad = F.lit(False)
-    if corrupt in rows.columns:
-        # Naming every column makes the reader parse, and so judge, all of them.
-        fields = [F.col(name).cast("string") for name in rows.columns if name != corrupt]
-        bad = F.col(corrupt).isNotNull() & (F.length(F.concat_ws("", *fields)) >= 0)
+    # Naming every column makes the reader parse, and so judge, all of them.
+    fields = [F.col(name).cast("string") for name in rows.columns if name != corrupt]
+    bad = F.col(corrupt).isNotNull() & (F.length(F.concat_ws("", *fields)) >= 0)
     counted = rows.groupBy(_location(F.col("_metadata.file_path")).alias("file")).agg(
         F.count("*").alias("rows_parsed"), F.count_if(~bad).alias("rows_loaded")
     )
+    empty = F.lit(False)
     if listed is not None:
-        files = listed.select(_location(F.col("path")).alias("file"))
-        counted = files.join(counted, "file", "left").na.fill(0)
+        length = F.col("length") if "length" in listed.columns else F.lit(-1)
+        files = listed.select(_location(F.col("path")).alias("file"), length.alias("length"))
+        counted = files.join(counted, "file", "left").na.fill(0, ["rows_parsed", "rows_loaded"])
+        empty = (F.col("rows_parsed") == 0) & (F.col("length") == 0)
     status = (
-        F.when(F.col("rows_loaded") == 0, "LOAD_FAILED")
+        F.when(empty, "LOADED")
+        .when(F.col("rows_loaded") == 0, "LOAD_FAILED")
         .when(F.col("rows_loaded") < F.col("rows_parsed"), "PARTIALLY_LOADED")
         .otherwise("LOADED")
     )

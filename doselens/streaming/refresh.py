@@ -1,57 +1,114 @@
-"""Periodic re-ingest of quarterly archives.
+"""Periodic re-ingest of quarterly archives.
 
-The source is a file stream, so a run handles the archives that landed since
-the last run and then stops. Schedule it as often as wanted.
+A run compares the landed archives with the record of earlier runs, and reads
+those that are new, were replaced, or could not be read. The record tells what
+became of every landed archive, so nothing is left out in silence. Schedule runs
+as often as wanted. (A file stream would not do: it never looks again at a name
+it has seen, so a corrected archive would be missed.)
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.archives import (
-    ARCHIVE_NAME,
     archive_status,
     archive_table,
+    list_archives,
+    newest_readable,
+    remove_unzipped,
     unzip_archives,
 )
-from ..sources.tables import shared_folder, write_quarters
+from ..sources.tables import write_quarters
+
+STATUS_FIELDS = """path string, table_name string, modificationTime timestamp, length bigint,
+    src_year int, src_quarter int, member string, status string, row_count bigint, error string,
+    in_use boolean"""
+STATUS_COLUMNS = [field.split()[0] for field in STATUS_FIELDS.split(",")]
+NOT_COVERED = "NOT_COVERED"
+UNSETTLED = ("LOAD_FAILED", NOT_COVERED)
 
-FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+def read_status(spark: SparkSession, path: str) -> DataFrame:
+    """The record of earlier runs; empty before the first."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    if place.getFileSystem(conf).exists(place):
+        return spark.read.schema(STATUS_FIELDS).parquet(path)
+    return spark.createDataFrame([], STATUS_FIELDS)
 
 
 def refresh_quarters(
-    spark: SparkSession, landing: str, table: str, bronze: str, work: str | None = None
-) -> None:
-    """Write the quarters of newly landed archives, replacing earlier versions.
-
-    A batch replaces whole quarter partitions, so a batch that is run again
-    after a failure leaves the same result. A corrected archive has to land
-    under a path that was not seen before. Progress is kept in ``work``, or else
-    in the shared checkpoint folder.
+    spark: SparkSession,
+    landing: str,
+    wanted: Sequence[str],
+    bronze: str,
+    work: str | None = None,
+    years: tuple[int, int] | None = None,
+) -> DataFrame:
+    """Write the quarters of new and replaced archives; returns the load record.
+
+    Table ``T`` goes to ``bronze/t_faers``, the record to ``bronze/load_status``:
+    one row for each landed archive and table with its status and whether its
+    rows are in use. Of several archives of a quarter the newest readable one is
+    used. ``years`` limits the quarters that are loaded; archives outside it are
+    recorded as NOT_COVERED. Whole quarter partitions are replaced and the record
+    is written last, so a run that broke off is repeated with the same result.
     """
-    work = work or shared_folder(spark)
-    arrivals = (
-        spark.readStream.format("binaryFile")
-        .schema(FILES)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.zip")
-        .load(landing)
-        .select("path")
-    )
+    record = f"{bronze}/load_status"
+    # One row for each archive and table; a few thousand for decades of quarters.
+    before = spark.createDataFrame(read_status(spark, record).collect(), STATUS_FIELDS)
+    landed = list_archives(spark, landing)
+    landed = spark.createDataFrame(landed.collect(), landed.schema)
+    state = ["path", "table_name", "modificationTime", "length"]
+    names = F.explode(F.array(*[F.lit(name) for name in wanted]))
+    everything = landed.withColumn("table_name", names)
+    settled = before.filter(~F.col("status").isin(*UNSETTLED)).select(*state)
+    pending = everything.join(settled, state, "left_anti")
+    if years is not None:
+        pending = pending.filter(F.col("src_year").between(*years))
+    paths = [row.path for row in pending.select("path").distinct().collect()]
 
-    def ingest(batch: DataFrame, _: int) -> None:
-        paths = [row.path for row in batch.collect()]
-        if not paths:
-            return
-        unzipped = unzip_archives(spark, paths, table, work)
-        if not archive_status(unzipped).filter("status = 'LOADED'").isEmpty():
-            write_quarters(archive_table(unzipped), bronze)
-
-    query = (
-        arrivals.filter(arrivals["path"].rlike(ARCHIVE_NAME))
-        .writeStream.foreachBatch(ingest)
-        .option("checkpointLocation", f"{work}/refresh_{table}")
-        .trigger(availableNow=True)
-        .start()
+    unzipped = unzip_archives(spark, paths, wanted, work) if paths else None
+    if unzipped is None:
+        fresh = spark.createDataFrame([], "path string, table_name string, member string, "
+                                      "status string, row_count bigint, error string")
+    else:
+        fresh = archive_status(unzipped).select(
+            "path", "table_name", "member", "status", "row_count", "error"
+        )
+        fresh = spark.createDataFrame(fresh.collect(), fresh.schema)
+    known = before.join(everything.select(*state), state, "left_semi").join(
+        fresh, ["path", "table_name"], "left_anti"
+    )
+    now = everything.join(fresh, ["path", "table_name"]).unionByName(
+        known.filter(F.col("status") != NOT_COVERED).select(*everything.columns, "member", "status", "row_count", "error")
+    )
+    chosen = newest_readable(now.drop("modificationTime"), landed)
+    if unzipped is not None:
+        for name in wanted:
+            own = chosen.filter(F.col("table_name") == name).join(
+                fresh.select("path", "table_name"), ["path", "table_name"], "left_semi"
+            )
+            if not own.isEmpty():
+                write_quarters(
+                    archive_table(unzipped, name, own), f"{bronze}/{name.lower()}_faers"
+                )
+    missing = everything.join(now, ["path", "table_name"], "left_anti").select(
+        *everything.columns,
+        *[F.lit(None).cast("string").alias(c) for c in ("member", "error")],
+        F.lit(NOT_COVERED).alias("status"),
+        F.lit(0).cast("bigint").alias("row_count"),
     )
-    query.awaitTermination()
+    in_use = chosen.select("path", "table_name", F.lit(True).alias("in_use"))
+    final = now.unionByName(missing).join(in_use, ["path", "table_name"], "left")
+    final = final.na.fill(False, ["in_use"]).select(*STATUS_COLUMNS)
+    rows = spark.createDataFrame(final.collect(), STATUS_FIELDS)
+    rows.coalesce(1).write.mode("overwrite").parquet(record)
+    if unzipped is not None:
+        remove_unzipped(unzipped)
+    return spark.read.schema(STATUS_FIELDS).parquet(record)

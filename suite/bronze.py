@@ -1,24 +1,21 @@
 """Bronze-shaped views over the given tables.
 
 The given tables hold no drug data, so reports, products, counties and studies
-are derived from them row by row. Nothing is joined or filtered here. A frame is
-only a description, so each is described once per session and folder.
+are derived from them row by row. Nothing is joined or filtered here.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doselens.functions.census import POPULATION_COLUMNS
 from doselens.operators.flatten import flatten_studies
-from doselens.sources.tables import read_parquet, spread
+from doselens.sources.tables import read_parquet
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(read_parquet(spark, f"{sf_dir}/{name}.parquet"))
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _by(remainder: Column, values: dict[int, object], otherwise: object = None) -> Column:
@@ -37,7 +34,6 @@ def _padded(value: Column, width: int) -> Column:
     return F.lpad(_text(value), width, "0")
 
 
-@lru_cache(maxsize=8)
 def demo_faers(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     key, customer, day = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
@@ -63,7 +59,6 @@ def demo_faers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=8)
 def drug_faers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem")
     part, line, day = F.col("l_partkey"), F.col("l_linenumber"), F.col("l_shipdate")
@@ -101,7 +96,6 @@ def drug_faers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=8)
 def openfda_drugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``{meta, results}`` document per part, each with one result."""
     key, kind = F.col("p_partkey"), F.col("p_type")
@@ -144,8 +138,8 @@ def openfda_drugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=8)
-def census_fips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def census_fips(spark: SparkSession, sf_dir: str, *kept: str) -> DataFrame:
+    """Counties; ``kept`` names columns of the given table to keep beside them."""
     key = F.col("c_custkey")
     counts = [
         F.when((key + k) % 31 == 0, F.lit(" "))
@@ -157,11 +151,10 @@ def census_fips(spark: SparkSession, sf_dir: str) -> DataFrame:
     county = _padded(key % 1000, 3)
     return _table(spark, sf_dir, "customer").select(
         *counts, state.alias("state"), county.alias("county"),
-        F.concat(state, county).alias("fips_code"),
+        F.concat(state, county).alias("fips_code"), *kept,
     )
 
 
-@lru_cache(maxsize=8)
 def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested study per order, as a registry page holds it."""
     key, customer, day = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
@@ -275,6 +268,5 @@ def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=8)
 def clinical_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_studies(studies(spark, sf_dir))

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType
 
+from doselens import job
 from doselens.functions import census, parse, products, reports, trials
 from doselens.operators import aggregates as agg
 from doselens.operators import checks
@@ -175,15 +176,20 @@ def _product_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def _load_status(spark: SparkSession, sf: str) -> DataFrame:
     """Two files in the shape of the first, with the status of each."""
-    rows = tables.load_from_template(spark, [f"{sf}/orders.parquet", f"{sf}/lineitem.parquet"])
-    status = tables.load_status(rows)
+    status = tables.parquet_load_status(spark, [f"{sf}/orders.parquet", f"{sf}/lineitem.parquet"])
     return status.withColumn("file", F.substring_index("file", "/", -1))
 
 
+def _pages_of(studies: DataFrame, text: Column) -> DataFrame:
+    """Landed pages of up to ten studies that stand together."""
+    number = F.substring("study.protocolSection.identificationModule.nctId", 4, 20).cast("bigint")
+    page = F.floor(number / 40).alias("page")
+    texts = studies.groupBy(page).agg(F.collect_list(text).alias("texts"))
+    return texts.select(F.transform("texts", F.parse_json).alias("studies"))
+
+
 def _study_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Each study as a landed page with one study."""
-    page = F.array(F.parse_json(F.to_json("study")))
-    return bronze.studies(spark, sf).select(page.alias("studies"))
+    return _pages_of(bronze.studies(spark, sf), F.to_json("study"))
 
 
 def _read_studies(spark: SparkSession, sf: str) -> DataFrame:
@@ -203,8 +209,7 @@ def _rejected_studies(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat(head, F.lit('"armsInterventionsModule":{"interventions":["x"]}}}')))
     )
     text = F.when(key % 50 == 0, broken).otherwise(F.to_json("study"))
-    pages = bronze.studies(spark, sf).select(F.array(F.parse_json(text)).alias("studies"))
-    parsed = documents.parse_studies(pages)
+    parsed = documents.parse_studies(_pages_of(bronze.studies(spark, sf), text))
     nct_id = F.try_variant_get(
         "raw", "$.protocolSection.identificationModule.nctId", "string"
     )
@@ -214,24 +219,35 @@ def _rejected_studies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _census_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    """Each county as a landed matrix of a header and one row."""
-    counties = bronze.census_fips(spark, sf)
+    """Counties as landed matrices of a header and up to ten rows."""
+    counties = bronze.census_fips(spark, sf, "c_custkey")
     names = [*census.CENSUS_VARIABLES.values(), "state", "county"]
     header = F.array(*[F.lit(n) for n in (*census.CENSUS_VARIABLES, "state", "county")])
     cells = F.array(*[F.col(name) for name in names])
-    matrices = counties.select(F.to_json(F.array(header, cells)).alias("value"))
+    rows = counties.groupBy(F.floor(F.col("c_custkey") / 10)).agg(F.collect_list(cells).alias("rows"))
+    matrix = F.concat(F.array(header), F.col("rows"))
+    matrices = rows.select(F.to_json(matrix).alias("value"))
     return documents.census_rows(matrices)
 
 
 def _diagonal_union(spark: SparkSession, sf: str) -> DataFrame:
-    demo = bronze.demo_faers(spark, sf).select("primaryid", "age", "src_year", "src_quarter")
-    drug = bronze.drug_faers(spark, sf).select("caseid", "nda_num", "SRC_YEAR", "src_quarter")
-    return tables.diagonal_union([demo, drug])
+    drug = bronze.drug_faers(spark, sf).withColumnRenamed("src_year", "SRC_YEAR")
+    return tables.diagonal_union([bronze.demo_faers(spark, sf), drug])
 
 
 def _template_load(spark: SparkSession, sf: str) -> DataFrame:
-    drug = bronze.drug_faers(spark, sf).select("caseid", "nda_num", "dose_amt", "src_year")
-    return tables.template_union([drug, bronze.demo_faers(spark, sf)])
+    return tables.template_union([bronze.drug_faers(spark, sf), bronze.demo_faers(spark, sf)])
+
+
+def _table_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    tables.save_views({"landed_reports": bronze.demo_faers(spark, sf)})
+    return tables.source(spark, "landed_reports")
+
+
+def _raw_check_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return job.data_checks(
+        {"demo_faers": bronze.demo_faers(spark, sf), "drug_faers": bronze.drug_faers(spark, sf)}
+    )
 
 
 def _submission_values(spark: SparkSession, sf: str) -> DataFrame:
@@ -360,20 +376,17 @@ def queries() -> dict[str, Query]:
                 parse.try_decimal(parse.part_of("dose_amt", "/", 2)),
             ).cast(reports.DOSE_TYPE).alias("ratio")
         )),
-        "p38_upper_names": lambda s, d: report_plans.upper_names(
-            _population(s, d).select("male_pop", "female_pop", "total_pop", "state_abbreviation")
-        ),
+        "p38_upper_names": lambda s, d: report_plans.upper_names(_population(s, d)),
         "p40_sex_label": _lazily(lambda: _of_trials(trials.sex_label("sex").alias("sex_label"))),
         "s01_text_lines": _text_lines,
         "s06_product_lines": lambda s, d: shown(_product_lines(s, d)),
         "s07_study_pages": _read_studies,
         "s08_census_matrix": _census_matrix,
-        "s09_parquet_scan": lambda s, d: tables.read_parquet(s, f"{d}/orders.parquet").select(
-            "o_orderkey", "o_custkey", "o_orderstatus"
-        ),
+        "s09_parquet_scan": lambda s, d: shown(tables.read_parquet(s, f"{d}/orders.parquet")),
         "s11_template_load": _template_load,
         "s12_load_status": _load_status,
         "s13_rejected_studies": _rejected_studies,
+        "s14_table_by_name": _table_by_name,
         "u01_diagonal_union": _diagonal_union,
         "j01_stg_faers": lambda s, d: shown(_stg_faers(s, d)),
         "j02_dim_drug_faers": lambda s, d: shown(_dim_drug(s, d)),
@@ -408,6 +421,7 @@ def queries() -> dict[str, Query]:
             staging.clean_demo(bronze.demo_faers(s, d)), checks.age_out_of_range(), "age_in_years"
         ),
         "t04_check_summary": _check_summary,
+        "t05_raw_check_summary": _raw_check_summary,
         "f01_known_ages": lambda s, d: known(_ages(s, d), "age_in_years"),
         "f02_selected_reports": lambda s, d: report_plans.select_faers(
             _gender(s, d), years=[1996, 1998], genders=["M", "UNK"],
@@ -417,8 +431,7 @@ def queries() -> dict[str, Query]:
             _age_counted(s, d), "age_group", "report_count"
         ),
         "a09_population_totals": lambda s, d: agg.column_totals(
-            report_plans.select_census(_population(s, d), states=["AL", "CA", "DE"]),
-            report_plans.POPULATION,
+            _population(s, d), report_plans.POPULATION
         ),
         "a11_distinct_values": lambda s, d: _dim_trials(s, d).agg(
             agg.distinct_values("eligible_sex").alias("sexes"),

@@ -1,8 +1,11 @@
 """The whole flow on landed files."""
 
 import json
+from types import SimpleNamespace
 
-from doselens import job
+import pytest
+
+from doselens import job, session
 from doselens.functions.census import CENSUS_VARIABLES
 from doselens.plans import reports
 from test_sources import put
@@ -43,6 +46,7 @@ def land(folder):
         {"protocolSection": {"identificationModule": {"nctId": "N1"},
                              "eligibilityModule": {"minimumAge": "18 Years", "sex": "ALL"}}},
         {"protocolSection": []}]}))
+    (folder / "trials" / "q.json").write_text('{"studies": [')
 
 
 def test_flow_from_files_to_reports(spark, tmp_path):
@@ -65,8 +69,42 @@ def test_flow_from_files_to_reports(spark, tmp_path):
         "raw_nda_num_is_numeric": 1, "raw_age_is_realistic": 1}
     assert spark.read.parquet(f"{bronze}/reac_faers").count() == 1
     assert spark.read.parquet(f"{bronze}/rejected_studies").count() == 1
+    assert spark.read.parquet(f"{bronze}/rejected_pages").count() == 1
+    assert spark.read.parquet(f"{bronze}/openfda_drugs").count() == 2
+    record = spark.read.parquet(f"{bronze}/load_status").collect()
+    assert sorted((r.src_year, r.table_name, r.status) for r in record) == [
+        (2013, "DEMO", "LOADED"), (2013, "DRUG", "LOADED"), (2013, "REAC", "LOADED"),
+        (2024, "DEMO", "LOADED"), (2024, "DRUG", "LOADED"), (2024, "REAC", "NO_MEMBER")]
+    assert not list((tmp_path / "work").glob("unzipped*"))
 
     put(landing / "faers", "2024q2", {"DEMO24Q2.txt": f"{DEMO}$sex\n" + demo("41", 41, "M"),
                                       "DRUG24Q2.txt": f"{DRUG}\n" + drug(4, 1, "000001", "1")})
     again = job.run(spark, str(landing), bronze, "marts_job", work)
     assert again["dim_drug_faers"].count() == len(rows) + 1
+
+
+def test_session_of_the_command_line(monkeypatch):
+    """The command line builds its session with the settings and folders it is given."""
+    options = job.parsed_options(["in", "out", "--work", "/shared", "--warehouse", "/tables",
+                                  "--shuffled-bytes", str(1 << 40), "--cores", "100"])
+    settings = {}
+
+    class Builder:
+        def appName(self, name):
+            return self
+
+        def config(self, key, value):
+            settings[key] = value
+            return self
+
+        def getOrCreate(self):
+            return settings
+
+    monkeypatch.setattr(session, "SparkSession", SimpleNamespace(builder=Builder()))
+    assert job.session_for(options) is settings
+    assert settings.items() >= session.SETTINGS.items()
+    assert settings["spark.checkpoint.dir"] == "/shared"
+    assert settings["spark.sql.warehouse.dir"] == "/tables"
+    assert settings["spark.sql.shuffle.partitions"] == str((1 << 40) // session.PARTITION_BYTES)
+    with pytest.raises(SystemExit):
+        job.parsed_options(["in", "out"])

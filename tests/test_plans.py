@@ -7,13 +7,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from doselens import session
 from doselens.plans import marts, staging
+from suite import queries as registered
 from test_models import small_bronze
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = registered.queries()
 
 
 def plan(frame):
@@ -84,6 +84,12 @@ def test_joins_beyond_the_broadcast_limit(spark, name):
         assert sorted(map(str, frame.collect())) == expected
 
 
+@pytest.mark.parametrize("name", ["m09_age_distribution_preagg", "m10_gender_preagg"])
+def test_counting_first_shuffles_little(spark, name):
+    with settings(spark, **NO_BROADCAST):
+        assert plan(QUERIES[name](spark, SF)).count("Exchange hashpartitioning") <= 8
+
+
 def test_hot_report_and_hot_application_are_split(spark, tmp_path):
     """A third of the drugs share a report and an application."""
     demo, drug, products = small_bronze(spark)

@@ -1,15 +1,19 @@
 """Sources and sinks on files the tests write."""
 
 import json
+import os
 import zipfile
 from types import SimpleNamespace
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from doselens.functions.census import CENSUS_VARIABLES
 from doselens.plans.build import build_marts
 from doselens.sources import archives, documents, tables
+from doselens.streaming import refresh as refresh_module
 from doselens.streaming.refresh import refresh_quarters
 from suite import bronze
 
@@ -34,7 +38,6 @@ def landing(tmp_path):
     put(folder, "2024Q2", {"ascii/DEMO24Q2.pdf": "x", "ascii/DEMO24Q2.txt": NEW,
                            "ascii/DEMO24Q2_old.txt": "a\n1\n"})
     put(folder, "2013q4", {"ascii/DRUG13Q4.txt": "caseid\n1\n"})
-    put(folder, "2009q1", {"ascii/DEMO09Q1.txt": OLD})
     (folder / "faers_ascii_2014q1.zip").write_bytes(b"not a zip")
     (folder / "readme.zip").write_bytes(b"other")
     return folder
@@ -45,7 +48,7 @@ def read(spark, landing, table, **options):
 
 
 def status(spark, landing, table):
-    unzipped = archives.unzip_archives(spark, str(landing), table, work=str(landing.parent))
+    unzipped = archives.unzip_archives(spark, str(landing), [table], work=str(landing.parent))
     return archives.archive_status(unzipped)
 
 
@@ -66,20 +69,40 @@ def test_archives_unite_headers(spark, landing):
             for k, r in rows.items()} == EXPECTED
 
 
-def test_large_archives_are_streamed(spark, landing, monkeypatch):
-    monkeypatch.setattr(archives, "INLINE_BYTES", 0)
-    monkeypatch.setattr(archives, "CHUNK_BYTES", 7)
-    rows = by_id(read(spark, landing, "DEMO"))
-    assert {k: (r.age, r.gndr_cod, r.caseid, r.sex, r.src_year, r.src_quarter)
-            for k, r in rows.items()} == EXPECTED
+def test_text_does_not_depend_on_chunk_size(landing, monkeypatch):
+    def lines(size):
+        monkeypatch.setattr(archives, "CHUNK_BYTES", size)
+        with zipfile.ZipFile(landing / "faers_ascii_2024Q2.zip") as archive:
+            found = list(archives._below_header(archives._chunks(archive, "ascii/DEMO24Q2.txt")))
+        return {h for h, _ in found}, [l for _, text in found if text is not None for l in text.split("\n")]
+
+    assert lines(1 << 20) == ({"primaryid$caseid$AGE$sex"}, ['4$9$51$"M', "5$10$caf\xe9$F"])
+    for size in (1, 2, 3, 10):
+        assert lines(size) == lines(1 << 20)
+
+
+def test_archives_below_odd_folders_and_of_any_year(spark, tmp_path):
+    folder = tmp_path / "with space [x]"
+    folder.mkdir()
+    put(folder, "2031q4", {"DEMO31Q4.txt": "a\n1\n"})
+    assert [r.src_year for r in read(spark, folder, "DEMO").collect()] == [2031]
+    with pytest.raises(ValueError):
+        read(spark, folder, "DEMO", years=(2012, 2026))
+
 
+def test_newest_archive_of_a_quarter_counts(spark, tmp_path):
+    for name, text, time in (("old", "a\n1\n2\n3\n", 1_000_000_000), ("new", "a\n9\n", 1_100_000_000)):
+        (tmp_path / name).mkdir()
+        path = put(tmp_path / name, "2020q1_v2" if name == "new" else "2020q1", {"DEMO20Q1.txt": text})
+        os.utime(path, (time, time))
+    assert [r.a for r in read(spark, tmp_path, "DEMO").collect()] == ["9"]
 
-def test_blocks_do_not_depend_on_chunk_size(landing, monkeypatch):
-    with zipfile.ZipFile(landing / "faers_ascii_2024Q2.zip") as archive:
-        whole = [l for b in archives._line_blocks(archive, "ascii/DEMO24Q2.txt") for l in b]
-        for size in (1, 2, 3, 10):
-            monkeypatch.setattr(archives, "CHUNK_BYTES", size)
-            assert [l for b in archives._line_blocks(archive, "ascii/DEMO24Q2.txt") for l in b] == whole
+
+def test_archives_too_large_for_the_reader_are_told(spark, landing, monkeypatch):
+    monkeypatch.setattr(archives, "LARGEST_ARCHIVE", 10)
+    rows = status(spark, landing, "DEMO").collect()
+    assert {r.status for r in rows if r.src_year != 2014} == {"LOAD_FAILED"}
+    assert len(rows) == 4
 
 
 def test_template_is_the_earliest_quarter(spark, landing):
@@ -124,6 +147,20 @@ def test_blank_lines_and_repeated_names(spark, tmp_path):
     rows = sorted([tuple(r)[:3] for r in frame.collect()], key=str)
     assert rows == [("1", "2", "4"), ("5", None, None), (None, None, None), (None, None, None)]
     assert status(spark, tmp_path, "DEMO").first().row_count == 4
+    (tmp_path / "faers_ascii_2015q1").mkdir()
+    unzipped = tmp_path / "faers_ascii_2015q1" / "DEMO.txt"
+    unzipped.write_bytes(b"\na$A$$b\r\n1$2$3$4\r\n\r\n5\n\n")
+    text = archives.read_text_tables(spark, [str(unzipped)])
+    same = sorted([tuple(r)[:3] for r in text.collect()], key=str)
+    assert same[:2] == rows[:2] and set(same) == set(rows)
+
+
+def test_empty_member_is_told(spark, tmp_path):
+    put(tmp_path, "2015q1", {"DEMO15Q1.txt": "\n\n"})
+    put(tmp_path, "2015q2", {"DEMO15Q2.txt": "a$b\n"})
+    rows = status(spark, tmp_path, "DEMO").collect()
+    assert {r.src_quarter: (r.status, r.member, r.row_count) for r in rows} == {
+        1: ("EMPTY", "DEMO15Q1.txt", 0), 2: ("LOADED", "DEMO15Q2.txt", 0)}
 
 
 def test_choose_member():
@@ -145,17 +182,69 @@ def test_unzipped_members(spark, tmp_path):
             for k, r in rows.items()} == EXPECTED
 
 
-def test_refresh_handles_new_archives_once(spark, landing, tmp_path):
+def refresh(spark, landing, tmp_path, **options):
     out, work = str(tmp_path / "bronze"), str(tmp_path / "work")
-    refresh_quarters(spark, str(landing), "DEMO", out, work)
-    assert set(by_id(tables.read_quarters(spark, out))) == set(EXPECTED)
+    record = refresh_quarters(spark, str(landing), ["DEMO", "DRUG"], out, work, **options)
+    found = {(r.path.split("/")[-1][12:18].lower(), r.table_name): r for r in record.collect()}
+    assert not list((tmp_path / "work").glob("unzipped*"))
+    return found
+
+
+def demo_rows(spark, tmp_path):
+    return by_id(tables.read_quarters(spark, str(tmp_path / "bronze" / "demo_faers")))
+
+
+def test_refresh_records_every_archive_and_reads_new_ones(spark, landing, tmp_path, monkeypatch):
+    found = refresh(spark, landing, tmp_path)
+    assert set(demo_rows(spark, tmp_path)) == set(EXPECTED)
+    assert {k: (r.status, r.in_use) for k, r in found.items() if k[1] == "DEMO"} == {
+        ("2012q1", "DEMO"): ("LOADED", True), ("2024q2", "DEMO"): ("LOADED", True),
+        ("2013q4", "DEMO"): ("NO_MEMBER", False), ("2014q1", "DEMO"): ("LOAD_FAILED", False)}
+    assert found["2013q4", "DRUG"].in_use
     put(landing, "2024q3", {"DEMO24Q3.txt": "primaryid$weight\n6$1\n"})
-    refresh_quarters(spark, str(landing), "DEMO", out, work)
-    rows = by_id(tables.read_quarters(spark, out))
+    opened = []
+    unzip = refresh_module.unzip_archives
+    monkeypatch.setattr(refresh_module, "unzip_archives",
+                        lambda spark, paths, *rest: opened.extend(paths) or unzip(spark, paths, *rest))
+    refresh(spark, landing, tmp_path)
+    assert sorted(p[-10:-4] for p in opened) == ["2014q1", "2024q3"]
+    rows = demo_rows(spark, tmp_path)
     assert set(rows) == {*EXPECTED, "6"}
     assert (rows["6"].weight, rows["1"].weight, rows["4"].caseid) == ("1", None, "9")
 
 
+def test_refresh_retries_a_replaced_archive(spark, landing, tmp_path):
+    assert refresh(spark, landing, tmp_path)["2014q1", "DEMO"].status == "LOAD_FAILED"
+    put(landing, "2014q1", {"DEMO14Q1.txt": "primaryid$age\n14$1\n"})
+    found = refresh(spark, landing, tmp_path)
+    assert found["2014q1", "DEMO"].status == "LOADED" and found["2014q1", "DEMO"].in_use
+    assert "14" in demo_rows(spark, tmp_path)
+    path = put(landing, "2012q1", {"DEMO12Q1.txt": "primaryid$age\n77$1\n"})
+    os.utime(path, (2_000_000_000, 2_000_000_000))
+    refresh(spark, landing, tmp_path)
+    assert set(demo_rows(spark, tmp_path)) == {"4", "5", "14", "77"}
+
+
+def test_refresh_uses_one_archive_per_quarter(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for name, text, time in (("new", "primaryid\n8\n9\n", 2), ("old", "primaryid\n1\n2\n3\n", 1)):
+        (landing / name).mkdir(parents=True)
+        path = put(landing / name, "2020q1", {"DEMO20Q1.txt": text})
+        os.utime(path, (time * 10**9, time * 10**9))
+    record = refresh_quarters(spark, str(landing), ["DEMO"], str(tmp_path / "bronze"), str(tmp_path))
+    assert sorted((r.path.split("/")[-2], r.status, r.in_use) for r in record.collect()) == [
+        ("new", "LOADED", True), ("old", "LOADED", False)]
+    assert set(demo_rows(spark, tmp_path)) == {"8", "9"}
+
+
+def test_refresh_records_years_that_are_not_covered(spark, landing, tmp_path):
+    found = refresh(spark, landing, tmp_path, years=(2012, 2013))
+    assert found["2024q2", "DEMO"].status == "NOT_COVERED" and not found["2024q2", "DEMO"].in_use
+    assert set(demo_rows(spark, tmp_path)) == {"1", "2", "3"}
+    assert refresh(spark, landing, tmp_path)["2024q2", "DEMO"].in_use
+    assert set(demo_rows(spark, tmp_path)) == set(EXPECTED)
+
+
 def test_shared_folder():
     def session(setting):
         return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: setting))
@@ -174,7 +263,12 @@ def test_product_document_and_lines(spark, tmp_path):
     (tmp_path / "l.jsonl").write_text("\n".join(json.dumps(r) for r in results))
     whole = documents.read_product_document(spark, str(tmp_path / "d.json"))
     lines = documents.read_product_lines(spark, str(tmp_path / "l.jsonl"), "2026-05-01")
-    assert whole.count() == 1 and lines.count() == 3
+    with zipfile.ZipFile(tmp_path / "d.zip", "w") as archive:
+        archive.writestr("drugs.json", json.dumps({"results": results, "meta": document["meta"]}))
+    zipped = documents.read_product_document(spark, str(tmp_path / "d.zip"))
+    assert sorted(map(str, zipped.collect())) == sorted(map(str, whole.collect()))
+    assert whole.first().meta.last_updated == "2026-05-01"
+    assert whole.count() == 3 and lines.count() == 3
     numbers = [f.select(F.explode("results.application_number")).collect() for f in (whole, lines)]
     assert sorted(numbers[0]) == sorted(numbers[1]) and len(numbers[0]) == 3
 
@@ -226,16 +320,24 @@ def test_template_load(spark, tmp_path):
 
 
 def test_tolerant_load_reports_damaged_files(spark, tmp_path):
-    for name in "ab":
+    for name in ("good", "bad"):
         spark.range(5).coalesce(1).write.parquet(str(tmp_path / name))
-    files = [str(next((tmp_path / n).glob("part-*.parquet"))) for n in "ab"]
+    spark.range(0).coalesce(1).write.parquet(str(tmp_path / "empty"))
+    table = pa.table({"id": list(range(200_000)), "text": [str(i) for i in range(200_000)]})
+    pq.write_table(table, tmp_path / "half.parquet", row_group_size=100_000, compression="none")
+    place = pq.read_metadata(tmp_path / "half.parquet").row_group(1).column(0).dictionary_page_offset
+    data = bytearray((tmp_path / "half.parquet").read_bytes())
+    data[place : place + 2000] = b"\xff" * 2000
+    (tmp_path / "half.parquet").write_bytes(bytes(data))
+    files = [str(next((tmp_path / n).glob("part-*.parquet"))) for n in ("good", "bad", "empty")]
     with open(files[1], "wb") as damaged:
         damaged.write(b"PAR1 damaged")
-    rows = tables.load_from_template(spark, files, tolerant=True)
-    listed = spark.createDataFrame([(f"file:{f}",) for f in files], "path string")
-    found = {r.file.split("/")[-2]: (r.status, r.rows_loaded)
-             for r in tables.load_status(rows, listed).collect()}
-    assert found == {"a": ("LOADED", 5), "b": ("LOAD_FAILED", 0)}
+    paths = [*files, str(tmp_path / "half.parquet")]
+    found = {r.file.split("/")[-2] if "part-" in r.file else "half": (r.status, r.rows_parsed, r.rows_loaded)
+             for r in tables.parquet_load_status(spark, paths).collect()}
+    print(found)
+    assert found == {"good": ("LOADED", 5, 5), "bad": ("LOAD_FAILED", 0, 0), "empty": ("LOADED", 0, 0),
+                     "half": ("PARTIALLY_LOADED", 200_000, 100_000)}
 
 
 def test_text_load_status(spark, tmp_path):
