@@ -22,25 +22,18 @@ import base64
 import gc
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from doselens.llm.common import BatchFunction, add_columns, texts
+from doselens.llm.pieces import RUN, Remembered, cut
 
-STATE_LIMIT = 150_000
+STATE_LIMIT = 170_000
 """States of the transducer kept at once in a task."""
-PIECE_LIMIT = 200_000
+PIECE_LIMIT = 220_000
 """Pieces met before a new generation of remembered ones begins; the last one stays known."""
-REMEMBERED_LENGTH = 64
-"""Longer pieces are not remembered."""
-RUN = 50_000
-"""Pieces or ids handled at once, so that a very long text is never cut as a whole."""
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     """The ranks of a vocabulary file: a token in base 64 and its rank on each line."""
     with open(path, "rb") as lines:
@@ -111,7 +104,7 @@ class Transducer:
         key = left << 32 | right
         known = self.apart.get(key)
         if known is None:
-            if len(self.apart) > self.state_limit:
+            if len(self.apart) > 2 * self.state_limit:
                 self.apart.clear()
             known = self.apart[key] = self._stay_apart(left, right)
         return known
@@ -204,34 +197,12 @@ class Encoder:
 
     def __init__(self, transducer: Transducer, pattern: str) -> None:
         self.transducer = transducer
-        self.pattern = regex.compile(pattern)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.pattern = pattern
+        self.pieces = Remembered(lambda piece: transducer.encode(piece.encode()), PIECE_LIMIT)
 
     def encode(self, text: str) -> bytes:
         """The packed ids of a text."""
-        if len(text) <= RUN:
-            return self._run(self.pattern.findall(text))
-        matches, parts = self.pattern.finditer(text), []
-        while pieces := [match[0] for match in islice(matches, RUN)]:
-            parts.append(self._run(pieces))
-        return b"".join(parts)
-
-    def _run(self, pieces: list[str]) -> bytes:
-        try:
-            return b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            pass
-        if len(self.known) > PIECE_LIMIT:
-            self.older, self.known = self.known, {}
-        known, older, fresh = self.known, self.older, {}
-        for piece in pieces:
-            if piece not in known and piece not in fresh:
-                ids = older.get(piece) or self.transducer.encode(piece.encode())
-                (known if len(piece) <= REMEMBERED_LENGTH else fresh)[piece] = ids
-        if not fresh:
-            return b"".join(map(known.__getitem__, pieces))
-        return b"".join(fresh.get(piece) or known[piece] for piece in pieces)
+        return b"".join(map(self.pieces.joined, cut(text, self.pattern)))
 
 
 class Utf8Stream:

@@ -27,22 +27,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from doselens.llm.common import materialize, new_folder, texts
+from doselens.llm.pieces import Remembered, cut
 
 MAGIC = b"IDSHARD1"
 SAMPLE = 512
 """One place in the bit vector is stored for each so many values."""
 SHARD_IDS = 8_000_000
 """A shard is closed when it holds so many ids."""
-PIECE_LIMIT = 300_000
-REMEMBERED_LENGTH = 64
-RUN = 1 << 20
+REMEMBERED = 400_000
+"""Pieces remembered before a new generation begins; the last one stays known."""
 MANIFEST = "path string, first_doc bigint, n_docs bigint, n_ids bigint"
 
 
@@ -179,46 +178,44 @@ class Shard:
 
 
 class LibraryEncoder:
-    """Ids by the tokenizers library, which encodes each distinct piece of a text.
+    """Ids by the tokenizers library, for byte-level vocabularies.
 
-    A byte-level tokenizer encodes the pieces of its own pattern one by one, so
-    pieces it has met already need no second call.
+    Such a tokenizer cuts a text by its pattern and encodes each piece by
+    itself, so the pattern is applied here and each piece goes through the
+    library's model once for as long as it is remembered. Names of special
+    tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str, pattern: str) -> None:
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.pattern = regex.compile(pattern)
-        self.known: dict[str, bytes] = {}
+        self.model = Tokenizer.from_file(path).model
+        self.pattern = pattern
+        self.letters = _byte_letters()
+        self.pieces = Remembered(self._library, REMEMBERED)
 
     def encode(self, text: str) -> bytes:
         """Packed little-endian unsigned 32-bit ids."""
-        if len(text) <= RUN:
-            return self._run(self.pattern.findall(text))
-        parts, pieces = [], []
-        for match in self.pattern.finditer(text):
-            pieces.append(match[0])
-            if len(pieces) == PIECE_LIMIT:
-                parts.append(self._run(pieces))
-                pieces = []
-        return b"".join([*parts, self._run(pieces)])
-
-    def _run(self, pieces: list[str]) -> bytes:
-        try:
-            return b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            pass
-        if len(self.known) > PIECE_LIMIT:
-            self.known.clear()
-        missing = list({piece for piece in pieces if piece not in self.known})
-        fresh = {}
-        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        for piece, encoding in zip(missing, found, strict=True):
-            ids = np.array(encoding.ids, "<u4").tobytes()
-            (self.known if len(piece) <= REMEMBERED_LENGTH else fresh)[piece] = ids
-        if not fresh:
-            return b"".join(map(self.known.__getitem__, pieces))
-        return b"".join(fresh[p] if p in fresh else self.known[p] for p in pieces)
+        return b"".join(map(self.pieces.joined, cut(text, self.pattern)))
+
+    def _library(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isprintable():
+            spelt = piece.replace(" ", self.letters[0x20])
+        else:
+            spelt = piece.encode().decode("latin-1").translate(self.letters)
+        tokens = self.model.tokenize(spelt)
+        if len(tokens) == 1:
+            return tokens[0].id.to_bytes(4, "little")
+        return np.array([token.id for token in tokens], "<u4").tobytes()
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies.
+
+    Fixed rule: visible Latin-1 characters stand for themselves, the other bytes
+    in order for the characters from 256 on.
+    """
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [byte for byte in range(256) if byte not in visible]
+    return {byte: chr(256 + i) for i, byte in enumerate(hidden)}
 
 
 @lru_cache(maxsize=2)
@@ -329,7 +326,9 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                     }
                 )
 
-    files = manifest.select("path", "ids_before").repartition("path")
+    # As many tasks as a shuffle has; small rows would else be joined into one task.
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = manifest.select("path", "ids_before").repartition(tasks, "path")
     return files.mapInArrow(
         run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     )
