@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,6 +94,31 @@ def add_columns(
     return frame.mapInArrow(run, schema)
 
 
+FILTER_WORDS = 1 << 20
+"""64-bit words of a filter, whatever the number of its values."""
+
+
+def filter_of(values: DataFrame, name: str) -> np.ndarray:
+    """A filter of fixed size (8 MB) for a column of evenly spread 64-bit numbers.
+
+    It passes every value it was made from, and others by chance. It only spares
+    work before an exact join: a filter with too many values passes them all.
+    """
+    word = F.pmod(F.col(name), F.lit(FILTER_WORDS)).cast("int").alias("word")
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({name}, 58) as int))").alias("bit")
+    found = values.select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    words = np.zeros(FILTER_WORDS, np.int64)
+    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return words.view(np.uint64)
+
+
+def passes(words: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether a filter passes 64-bit numbers."""
+    word = (values.view(np.uint64) & np.uint64(FILTER_WORDS - 1)).astype(np.int64)
+    bit = values.view(np.uint64) >> np.uint64(58)
+    return (words[word] >> bit & np.uint64(1)).astype(bool)
+
+
 def remainder(key: Column, of: int = 4) -> Column:
     """crc32 of the id as text, modulo ``of``; null ids count as the empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % of

@@ -38,10 +38,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doselens.llm.common import add_columns, discard, materialize, texts
+from doselens.llm.common import add_columns, discard, filter_of, materialize, passes, texts
 from doselens.llm.components import components
 from doselens.llm.shingles import WIDTH, mixed, shingle_set
 
@@ -52,8 +53,7 @@ CHEAP = 8
 """Partners a set may look at without lengthening its prefix further."""
 BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 17
 """A block holds about so many sets, and fewer if they are large."""
-FILTER_WORDS = 1 << 20
-"""64-bit words of the filter of wanted ids, whatever their number."""
+TOKEN_BITS = 48
 COLUMNS = 4096
 
 
@@ -104,22 +104,30 @@ def sketches(
     return add_columns(chosen, fields, prepare, drop=[text])
 
 
-def _sketch_tokens(sets: DataFrame) -> DataFrame:
-    """A row for each shingle of a sketch: id, place, token."""
+def _sketch_tokens(sets: DataFrame, wanted: Broadcast | None = None) -> DataFrame:
+    """A row for each shingle of a sketch: id, place, token; only of tokens a filter passes.
+
+    Tokens have ``TOKEN_BITS`` bits of the hash, from the top, so that they take
+    less room on the way; equal ones by chance only cost a comparison.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
-                arrays = [np.frombuffer(s, "<i8") for s in part.column(1).to_pylist()]
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                arrays = [np.frombuffer(s, "<u8") for s in part.column(1).to_pylist()]
                 lengths = [len(a) for a in arrays]
-                rows = pa.array(np.repeat(np.arange(len(arrays)), lengths))
-                places = [np.arange(n, dtype=np.int32) for n in lengths]
+                tokens = np.concatenate(arrays)
+                rows = np.repeat(np.arange(len(arrays)), lengths)
+                places = np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])
+                if wanted is not None:
+                    kept = passes(wanted.value, _filtered(tokens >> np.uint64(64 - TOKEN_BITS)))
+                    tokens, rows, places = tokens[kept], rows[kept], places[kept]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0).take(rows),
-                        pa.array(np.concatenate(places)),
-                        pa.array(np.concatenate(arrays)),
+                        part.column(0).take(pa.array(rows)),
+                        pa.array(places),
+                        pa.array((tokens >> np.uint64(64 - TOKEN_BITS)).view(np.int64)),
                     ],
                     names=["id", "place", "token"],
                 )
@@ -128,24 +136,35 @@ def _sketch_tokens(sets: DataFrame) -> DataFrame:
     return known.mapInArrow(run, "id bigint, place int, token bigint")
 
 
-def _shared_tokens(sets: DataFrame, own: DataFrame) -> DataFrame:
-    """The sketch rows of distinct sets whose token another one has, with the smallest such id."""
-    tokens = _sketch_tokens(sets)
-    often = tokens.groupBy("token").count().where("count > 1").select("token")
-    # The distinct tokens are the small side; hashing them spares sorting all rows.
-    rows = tokens.join(often.hint("shuffle_hash"), "token").join(own.select("id"), "id", "left_semi")
-    rows = materialize(rows, "sketch-rows")
-    smallest = rows.groupBy("token").agg(F.min("id").alias("pivot"), F.max("id").alias("_last"))
-    found = rows.join(smallest.where("pivot < _last").drop("_last"), "token")
-    shared = materialize(found, "shared-tokens")
-    discard(rows)
+def _filtered(tokens: np.ndarray) -> np.ndarray:
+    """Tokens with some of their middle bits at the top too, where a filter looks."""
+    return tokens | (tokens >> np.uint64(20) & np.uint64(63)) << np.uint64(58)
+
+
+def _shared_tokens(sets: DataFrame) -> DataFrame:
+    """The sketch rows whose token another document has, with the smallest such id.
+
+    That id stands for a distinct set, since a set goes by its smallest id.
+    """
+    often = (
+        _sketch_tokens(sets)
+        .groupBy("token")
+        .agg(F.count("*").alias("_rows"), F.min("id").alias("pivot"))
+        .where("_rows > 1")
+        .select("token", "pivot")
+    )
+    often = materialize(often, "frequent-tokens")
+    spread = often.select(F.expr("token | shiftleft(shiftright(token, 20) & 63, 58)").alias("spread"))
+    words = sets.sparkSession.sparkContext.broadcast(filter_of(spread, "spread"))
+    shared = materialize(_sketch_tokens(sets, words).join(often, "token"), "shared-tokens")
+    discard(often)
     return shared
 
 
 def _clusters(shared: DataFrame, own: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Sets that share half their sketch with a pivot, and the sets around them: id, cluster."""
     meetings = shared.where("id != pivot").groupBy("id", "pivot").agg(F.count("*").alias("met"))
-    sized = meetings.join(own.select("id", "n"), "id")
+    sized = meetings.join(own, "id")
     near = sized.where(2 * F.col("met") >= _sketch_length_of(F.col("n"), threshold))
     best = near.groupBy("id").agg(
         F.max_by("pivot", F.struct(F.col("met"), -F.col("pivot"))).alias("pivot")
@@ -156,6 +175,12 @@ def _clusters(shared: DataFrame, own: DataFrame, threshold: tuple[int, int]) ->
     return materialize(named.unionByName(roots), "clusters")
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 200) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def choose_prefix(
     n: int, places: np.ndarray, costs: np.ndarray, threshold: tuple[int, int]
 ) -> tuple[int, np.ndarray, np.ndarray]:
@@ -184,7 +209,7 @@ def _prefixes(grouped: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Prefix rows of each set: those marked ``looks`` are looked for, all can be found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             out: list[list] = [[] for _ in range(8)]
             for row in batch.to_pylist():
                 tokens, first = np.unique(np.array(row["tokens"], np.int64), return_index=True)
@@ -218,7 +243,7 @@ def _enough_matches(grouped: DataFrame, pairs: DataFrame, threshold: tuple[int,
     """Pairs that have l shingles in common in their l-prefixes, for every l."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             kept = []
             for row in batch.to_pylist():
                 left = np.array(row["tokens"], np.int64), np.array(row["places"], np.int64)
@@ -249,8 +274,11 @@ def _candidates(
     shared: DataFrame, own: DataFrame, clusters: DataFrame, threshold: tuple[int, int]
 ) -> DataFrame:
     """Pairs (a, b) of different clusters that may reach the threshold."""
-    named = shared.select("token", "id", "place").join(clusters, "id", "left")
-    named = named.withColumn("cluster", F.coalesce("cluster", "id"))
+    # Only distinct sets are left, with their size and cluster.
+    placed = own.join(clusters, "id", "left").select(
+        "id", "n", F.coalesce("cluster", "id").alias("cluster")
+    )
+    named = shared.select("token", "id", "place").join(placed, "id")
     across = (
         named.groupBy("token")
         .agg(F.min("cluster").alias("_low"), F.max("cluster").alias("_high"), F.count("*").alias("cost"))
@@ -259,9 +287,8 @@ def _candidates(
     )
     grouped = (
         named.join(across, "token")
-        .groupBy("id", "cluster")
+        .groupBy("id", "cluster", "n")
         .agg(F.collect_list(F.struct("token", "place", "cost")).alias("rows"))
-        .join(own.select("id", "n"), "id")
         .select(
             "id",
             "cluster",
@@ -348,28 +375,15 @@ def _wanted_texts(documents: DataFrame, ids: DataFrame, key: str, text: str) ->
     ones are shuffled; the join decides, so a full filter costs only time.
     """
     spread = F.xxhash64("id")
-    bits = (
-        ids.select(
-            F.pmod(spread, F.lit(FILTER_WORDS)).cast("int").alias("word"),
-            F.expr("shiftleft(1L, cast(shiftrightunsigned(xxhash64(id), 58) as int))").alias("bit"),
-        )
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toPandas()
-    )
-    words = np.zeros(FILTER_WORDS, np.int64)
-    words[bits["word"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64)
+    words = filter_of(ids.select(spread.alias("spread")), "spread")
     shared = documents.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value.view(np.uint64)
         for batch in batches:
             hashes = batch.column("hash").to_numpy(zero_copy_only=False).astype(np.int64)
-            word = np.mod(hashes, FILTER_WORDS)
-            bit = hashes.view(np.uint64) >> np.uint64(58)
-            kept = (table[word] >> bit & np.uint64(1)).astype(bool)
+            kept = pa.array(passes(shared.value, hashes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i).filter(pa.array(kept)) for i in range(2)], names=["id", "text"]
+                [batch.column(i).filter(kept) for i in range(2)], names=["id", "text"]
             )
 
     given = documents.where(F.col(key).isNotNull()).select(
@@ -477,7 +491,7 @@ def jaccard_components(
     own = materialize(
         own.groupBy("id").agg(F.max("n_shingles").alias("n")), "distinct-sets"
     )
-    shared = _shared_tokens(sets, own)
+    shared = _shared_tokens(sets)
     discard(sets)
     clusters = _clusters(shared, own, threshold)
     pairs = _candidates(shared, own, clusters, threshold)
