@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doselens.llm import bpe, digest, jaccard, language, mixing, quality, shards, template, toxicity, unigram
+from doselens.llm import bpe, digest, jaccard, language, mixing, oracles, quality, shards, template, toxicity, unigram
 from doselens.llm.common import held_out
 
 
@@ -65,7 +65,7 @@ def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = shards.write_shards(
         documents,
         shards.new_shard_folder(documents),
-        lambda: shards.library_encoder(path, pattern).encode,
+        lambda: shards.library_encoder(path, pattern),
     )
     return shards.read_shards(manifest)
 
@@ -124,4 +124,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()

@@ -40,7 +40,7 @@ SAMPLE = 512
 """One place in the bit vector is stored for each so many values."""
 SHARD_IDS = 8_000_000
 """A shard is closed when it holds so many ids."""
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 """Pieces remembered before a new generation begins; the last one stays known."""
 MANIFEST = "path string, first_doc bigint, n_docs bigint, n_ids bigint"
 
@@ -129,8 +129,8 @@ def shard_bytes(doc_ids: list[int | None], ends: np.ndarray, ids: np.ndarray) ->
     """
     known = np.array([d for d in doc_ids if d is not None], np.int64)
     lowest = int(known[0]) if len(known) else 0
-    wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
-    array = ids.astype("<u4" if wide else "<u2").tobytes()
+    wide = ids.dtype.itemsize > 2 and bool(len(ids)) and int(ids.max()) > 0xFFFF
+    array = ids.astype("<u4" if wide else "<u2", copy=False).tobytes()
     names = EliasFano.build(known - lowest).to_bytes()
     bounds = EliasFano.build(ends).to_bytes()
     head = {"nulls": len(doc_ids) - len(known), "lowest": lowest, "width": 4 if wide else 2}
@@ -187,13 +187,16 @@ class LibraryEncoder:
     """
 
     def __init__(self, path: str, pattern: str) -> None:
-        self.model = Tokenizer.from_file(path).model
+        tokenizer = Tokenizer.from_file(path)
+        self.model = tokenizer.model
+        # Two bytes for each id where the vocabulary fits into them.
+        self.id_type = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.pattern = pattern
         self.letters = _byte_letters()
         self.pieces = Remembered(self._library, REMEMBERED)
 
     def encode(self, text: str) -> bytes:
-        """Packed little-endian unsigned 32-bit ids."""
+        """The ids, packed as ``id_type``."""
         return b"".join(map(self.pieces.joined, cut(text, self.pattern)))
 
     def _library(self, piece: str) -> bytes:
@@ -202,9 +205,8 @@ class LibraryEncoder:
         else:
             spelt = piece.encode().decode("latin-1").translate(self.letters)
         tokens = self.model.tokenize(spelt)
-        if len(tokens) == 1:
-            return tokens[0].id.to_bytes(4, "little")
-        return np.array([token.id for token in tokens], "<u4").tobytes()
+        width = int(self.id_type[2])
+        return b"".join([token.id.to_bytes(width, "little") for token in tokens])
 
 
 def _byte_letters() -> dict[int, str]:
@@ -249,7 +251,7 @@ def read_shard(path: str) -> Shard:
 def write_shards(
     documents: DataFrame,
     folder: str,
-    encoder: Callable[[], Callable[[str], bytes]],
+    encoder: Callable[[], LibraryEncoder],
     key: str = "doc_id",
     text: str = "text",
     end_id: int = 0,
@@ -257,21 +259,22 @@ def write_shards(
 ) -> DataFrame:
     """Writes the ids of all documents in the order of their keys; returns the manifest.
 
-    ``encoder`` is called once in each task and gives the function that packs
-    the ids of a text. The manifest has a row for each shard with the number of
+    ``encoder`` is called once in each task; what it gives has ``encode``, which
+    packs the ids of a text, and their ``id_type``. The manifest has a row for each shard with the number of
     ids before it; it is written once, so the files are made once.
     """
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder()
+        own = encoder()
+        encode, id_type = own.encode, np.dtype(own.id_type)
+        end = np.array([end_id], id_type).tobytes()
         names: list[int | None] = []
         parts: list[bytes] = []
         ends: list[int] = []
         total = 0
 
         def close() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(parts), "<u4")
+            ids = np.frombuffer(b"".join(parts), id_type)
             first = next((d for d in names if d is not None), None)
             name = f"{'null' if first is None else first}-{len(names)}-{uuid.uuid4().hex}.ids"
             path = _put(folder, name, shard_bytes(names, np.array(ends), ids))
@@ -287,7 +290,7 @@ def write_shards(
         for batch in batches:
             for name, value in zip(batch.column(0).to_pylist(), texts(batch, text), strict=True):
                 packed = encode(value) + end
-                total += len(packed) // 4
+                total += len(packed) // id_type.itemsize
                 names.append(name)
                 parts.append(packed)
                 ends.append(total)
