@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from doselens.llm.common import BatchFunction, add_columns, texts
 from doselens.llm.pieces import RUN, Remembered, cut
 
-STATE_LIMIT = 170_000
+STATE_LIMIT = 250_000
 """States of the transducer kept at once in a task."""
 PIECE_LIMIT = 220_000
 """Pieces met before a new generation of remembered ones begins; the last one stays known."""
@@ -74,14 +74,15 @@ class Transducer:
         self.readings: list[tuple] = []
         self.moves: dict[int, tuple[int, bytes]] = {}
         self.last: list[bytes] = []
-        self._state(((b"", -1, 0),))
+        self._state((b"", -1, 0))
 
     def _state(self, readings: tuple) -> int:
         found = self.number.get(readings)
         if found is None:
             found = self.number[readings] = len(self.readings)
             self.readings.append(readings)
-            self.last.append(next((out for out, _, node in readings if node == 0), b""))
+            ended = [readings[i] for i in range(0, len(readings), 3) if readings[i + 2] == 0]
+            self.last.append(ended[0] if ended else b"")
         return found
 
     def merge(self, piece: bytes, stop: int = 1) -> list[int]:
@@ -136,9 +137,10 @@ class Transducer:
     def _move(self, state: int, byte: int) -> tuple[int, bytes]:
         """The next state and what is emitted, worked out once."""
         child, token_at, inner, apart = self.child.get, self.token, self.inner, self.apart
-        following = []
+        readings = iter(self.readings[state])
+        following: list = []
         shortest = None
-        for out, last, node in self.readings[state]:
+        for out, last, node in zip(readings, readings, readings, strict=True):
             after = child(node << 8 | byte)
             if after is None:
                 continue
@@ -148,22 +150,22 @@ class Transducer:
                 if follows is None:
                     follows = self._may_follow(last, token)
                 if follows:
-                    following.append((out + self.packed[token], token, 0))
+                    following += (out + self.packed[token], token, 0)
             if after in inner:
-                following.append((out, last, after))
+                following += (out, last, after)
             elif token < 0 or not follows:
                 continue
             if shortest is None or len(out) < len(shortest):
-                shortest = following[-1][0]
+                shortest = following[-3]
         emitted = b""
         if shortest:
             agreed = len(shortest)
-            for out, _, _ in following:
+            for out in following[::3]:
                 while out[:agreed] != shortest[:agreed]:
                     agreed -= 4
             if agreed:
                 emitted = shortest[:agreed]
-                following = [(out[agreed:], last, node) for out, last, node in following]
+                following[::3] = [out[agreed:] for out in following[::3]]
         move = self._state(tuple(following)), emitted
         self.moves[state << 8 | byte] = move
         return move
