@@ -122,7 +122,7 @@ def learn(
         return Model(row, np.zeros(0), float(margin))
 
     # One row for each place, 2^18 at most.
-    counts = _class_counts(taught).toPandas()
+    counts = _class_counts(taught).toPandas().sort_values("place")
     have, have_not = counts["toxic"].to_numpy(float), counts["other"].to_numpy(float)
     p, q = (have + 1) / (toxic + 2), (have_not + 1) / (other + 2)
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
