@@ -96,6 +96,8 @@ def add_columns(
 
 FILTER_WORDS = 1 << 20
 """64-bit words of a filter, whatever the number of its values."""
+CHUNK_WORDS = 1 << 13
+"""Words that come to the driver as one value."""
 
 
 def filter_of(values: DataFrame, name: str) -> np.ndarray:
@@ -106,10 +108,27 @@ def filter_of(values: DataFrame, name: str) -> np.ndarray:
     """
     word = F.pmod(F.col(name), F.lit(FILTER_WORDS)).cast("int").alias("word")
     bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({name}, 58) as int))").alias("bit")
-    found = values.select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    words = np.zeros(FILTER_WORDS, np.int64)
-    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    return words.view(np.uint64)
+    found = values.select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            words, bits = batch.column("word").to_numpy(), batch.column("bits").to_numpy()
+            for chunk in np.unique(words // CHUNK_WORDS).tolist():
+                own = words // CHUNK_WORDS == chunk
+                held = chunks.setdefault(chunk, np.zeros(CHUNK_WORDS, np.int64))
+                held[words[own] % CHUNK_WORDS] = bits[own]
+        packed = [held.tobytes() for held in chunks.values()]
+        yield pa.RecordBatch.from_pydict(
+            {"chunk": pa.array(list(chunks), pa.int32()), "packed": pa.array(packed, pa.binary())}
+        )
+
+    chunked = found.withColumn("chunk", F.expr(f"word div {CHUNK_WORDS}")).repartition("chunk")
+    rows = chunked.select("word", "bits").mapInArrow(pack, "chunk int, packed binary").collect()
+    filled = np.zeros((FILTER_WORDS // CHUNK_WORDS, CHUNK_WORDS), np.int64)
+    for chunk, packed in rows:
+        filled[chunk] = np.frombuffer(packed, np.int64)
+    return filled.reshape(-1).view(np.uint64)
 
 
 def passes(words: np.ndarray, values: np.ndarray) -> np.ndarray:

@@ -122,11 +122,11 @@ def learn(
     taught = documents.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     parts = taught.select(lang, text).mapInArrow(run, "lang string, place int, value bigint")
     # One value for each language and dimension comes to the driver.
-    sums = parts.groupBy("lang", "place").agg(F.sum("value").alias("value")).toPandas()
-    return {
-        name: rows.sort_values("place")["value"].to_numpy(float)
-        for name, rows in sums.groupby("lang")
-    }
+    sums = parts.groupBy("lang", "place").agg(F.sum("value").alias("value")).collect()
+    bundles: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(dimensions))
+    for name, place, value in sums:
+        bundles[name][place] = value
+    return dict(bundles)
 
 
 def identify(

@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 
 WIDTH = 5
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)

@@ -122,15 +122,15 @@ def learn(
         return Model(row, np.zeros(0), float(margin))
 
     # One row for each place, 2^18 at most.
-    counts = _class_counts(taught).toPandas().sort_values("place")
-    have, have_not = counts["toxic"].to_numpy(float), counts["other"].to_numpy(float)
+    counts = _class_counts(taught).toArrow().sort_by("place")
+    place, have, have_not = (c.to_numpy() for c in counts.columns)
     p, q = (have + 1) / (toxic + 2), (have_not + 1) / (other + 2)
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
     pooled = (have + have_not + 1) / (toxic + other + 2)
     contrast = (p - q) / np.sqrt(pooled * (1 - pooled) * (1 / toxic + 1 / other))
-    order = np.lexsort((counts["place"].to_numpy(), -np.abs(contrast)))[:features]
+    order = np.lexsort((place, -np.abs(contrast)))[:features]
     order = order[np.abs(contrast[order]) >= LEAST_CONTRAST]
-    row[counts["place"].to_numpy()[order]] = np.arange(len(order))
+    row[place[order]] = np.arange(len(order))
     ratios = ratio[order]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
