@@ -17,6 +17,7 @@ import argparse
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import checks
 from .plans import staging
@@ -58,7 +59,10 @@ def bronze_tables(spark: SparkSession, bronze: str) -> dict[str, DataFrame]:
 
 
 def data_checks(frames: dict[str, DataFrame]) -> DataFrame:
-    """T1-T3 on the cleaned rows, and on raw values where cleaning hides them (Q12)."""
+    """T1-T3 on the cleaned rows, and on raw values where cleaning hides them (Q12).
+
+    The last checks count keys too long for 64 bits; their rows join with nothing.
+    """
     cleaned = staging.stg_faers(frames["demo_faers"], frames["drug_faers"])
     summaries = [
         checks.summary(
@@ -70,12 +74,19 @@ def data_checks(frames: dict[str, DataFrame]) -> DataFrame:
             },
         ),
         checks.summary(
-            frames["drug_faers"], {"raw_nda_num_is_numeric": checks.not_a_number("nda_num")}
+            frames["drug_faers"],
+            {
+                "raw_nda_num_is_numeric": checks.not_a_number("nda_num"),
+                "drug_key_fits_64_bits": checks.too_long_a_number(F.concat("caseid", "drug_seq")),
+            },
         ),
         checks.summary(
             staging.clean_demo(frames["demo_faers"]),
             {"raw_age_is_realistic": checks.age_out_of_range()},
         ),
+        checks.summary(
+            frames["demo_faers"], {"report_key_fits_64_bits": checks.too_long_a_number("primaryid")}
+        ),
     ]
     return reduce(DataFrame.unionByName, summaries)
 

@@ -35,6 +35,12 @@ def not_a_number(column: ColumnOrName = "nda_number") -> Column:
     return text.isNotNull() & try_number(text).isNull()
 
 
+def too_long_a_number(column: ColumnOrName) -> Column:
+    """A number beyond 64 bits, which cleaning turns into null: its rows find no partner."""
+    text = as_column(column)
+    return text.try_cast("decimal(38,0)").isNotNull() & try_number(text).isNull()
+
+
 def age_out_of_range(column: ColumnOrName = "age_in_years") -> Column:
     """An age outside the believed range; meaningful before the clamp (Q12)."""
     return ~as_column(column).between(*AGE_RANGE)

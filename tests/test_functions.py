@@ -5,8 +5,10 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from doselens.functions import census, parse, products, reports, trials
+from doselens.operators import checks
 
 
 def results(spark, rows, schema, column):
@@ -191,3 +193,8 @@ def test_lenient_functions_survive_without_ansi(spark):
         check(spark, [("7/0", None), ("7-12", Decimal("9.5"))], "d string", reports.dose_amount("d"))
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_keys_beyond_64_bits_are_counted(spark):
+    check(spark, [("12", False), ("9" * 25, True), ("-" + "9" * 19, True), ("x", False), (None, False)],
+          "s string", F.coalesce(checks.too_long_a_number("s"), F.lit(False)))

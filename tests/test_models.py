@@ -156,6 +156,7 @@ def test_shares_and_rates(spark):
     buckets = agg.bucket_shares(totals, {"x": ["a"], "y": ["b"]}, "k", "pct").collect()
     assert [(r.k, r.pct) for r in buckets] == [("x", 75.0), ("y", 25.0)]
     assert frame.agg(agg.distinct_values("k").alias("n")).first().n == 3
+    assert frame.limit(0).agg(agg.distinct_values("k").alias("n")).first().n == 0
     assert agg.regrouped(frame, "k", "n").count() == 3
 
 
