@@ -71,19 +71,14 @@ class Remembered:
 
     def joined(self, pieces: list[str]) -> bytes:
         """The results of all pieces, one after the other."""
+        if len(self.known) > self.size:
+            self.older, self.known = self.known, {}
         known = self.known
-        try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            pass
-        if len(known) > self.size:
-            self.older, self.known = known, {}
-            known = self.known
-        older, long = self.older.get, {}
-        for piece in pieces:
-            if piece not in known and piece not in long:
-                found = older(piece) or self.function(piece)
-                (known if len(piece) <= REMEMBERED_LENGTH else long)[piece] = found
-        if not long:
-            return b"".join(map(known.__getitem__, pieces))
-        return b"".join([long.get(piece) or known[piece] for piece in pieces])
+        found = list(map(known.get, pieces))
+        for i in [i for i, result in enumerate(found) if result is None]:
+            piece = pieces[i]
+            result = known.get(piece) or self.older.get(piece) or self.function(piece)
+            if len(piece) <= REMEMBERED_LENGTH:
+                known[piece] = result
+            found[i] = result
+        return b"".join(found)

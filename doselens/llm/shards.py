@@ -190,7 +190,9 @@ class LibraryEncoder:
         tokenizer = Tokenizer.from_file(path)
         self.model = tokenizer.model
         # Two bytes for each id where the vocabulary fits into them.
-        self.id_type = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        size = tokenizer.get_vocab_size()
+        self.id_type = "<u2" if size <= 1 << 16 else "<u4"
+        self.packed = [i.to_bytes(int(self.id_type[2]), "little") for i in range(size)]
         self.pattern = pattern
         self.letters = _byte_letters()
         self.pieces = Remembered(self._library, REMEMBERED)
@@ -205,8 +207,7 @@ class LibraryEncoder:
         else:
             spelt = piece.encode().decode("latin-1").translate(self.letters)
         tokens = self.model.tokenize(spelt)
-        width = int(self.id_type[2])
-        return b"".join([token.id.to_bytes(width, "little") for token in tokens])
+        return b"".join([self.packed[token.id] for token in tokens])
 
 
 def _byte_letters() -> dict[int, str]:
