@@ -51,9 +51,11 @@ OUTSIDE = RAW | frozenset(
     "head nav header footer aside form menu dialog button select option fieldset".split()
 )
 MAIN = frozenset("article main".split())
+WHOLE = frozenset("html body article main".split())
+"""Elements whose class does not make them an extra."""
 CLOSED_BY = {
-    "p": "p", "li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th",
-    "th": "td th", "option": "option",
+    "p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
+    "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 ROLES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|disclaimer|"
@@ -64,7 +66,7 @@ ROLES = re.compile(
 )
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.DOTALL,
 )
 NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -73,19 +75,49 @@ BLANK = re.compile(r"\s+")
 
 
 class Element:
-    """An open element: its path, whether it is left out, and whether it is main."""
+    """An open element: the token of its path, whether it is left out, and whether it is main."""
 
-    __slots__ = ("tag", "path", "outside", "main", "token")
+    __slots__ = ("tag", "outside", "main", "token", "below")
 
     def __init__(self, tag: str, names: str, above: Element | None) -> None:
         self.tag = tag
         own = f"{tag}[{DIGITS.sub('0', names)}]" if names else tag
-        self.path = f"{above.path}/{own}" if above else own
-        self.token = xxhash.xxh64_intdigest(self.path) >> 1
-        self.outside = bool(above and above.outside) or (
-            tag in OUTSIDE or (tag not in ("html", "body") and tag not in MAIN and bool(names and ROLES.search(names)))
-        )
+        self.token = xxhash.xxh64_intdigest(f"{above.token if above else 0}/{own}") >> 1
+        named = bool(names and ROLES.search(names)) and tag not in WHOLE
+        self.outside = bool(above and above.outside) or tag in OUTSIDE or named
         self.main = bool(above and above.main) or tag in MAIN or "role=main" in names
+        self.below: dict[tuple[str, str], Element] = {}
+
+
+ELEMENTS = 20_000
+"""Different elements remembered at once in a task."""
+_roots: dict[tuple[str, str], Element] = {}
+_remembered = 0
+
+
+def _element(tag: str, names: str, above: Element | None) -> Element:
+    """The element of a name below another; pages of a host share most of them."""
+    global _remembered
+    known = above.below if above else _roots
+    found = known.get((tag, names))
+    if found is None:
+        if _remembered > ELEMENTS:
+            _roots.clear()
+            _remembered = 0
+        _remembered += 1
+        found = known[tag, names] = Element(tag, names, above)
+    return found
+
+
+def _names(attributes: str) -> str:
+    """The words of class, id and role, a role with its name."""
+    if "=" not in attributes:
+        return ""
+    values = []
+    for found in NAMES.finditer(attributes):
+        words = (found[2] or found[3] or found[4] or "").split()
+        values += [f"role={word}" for word in words] if found[1].lower() == "role" else words
+    return " ".join(values)
 
 
 def read(html: str) -> Iterator[tuple[str, Element | None, str]]:
@@ -100,11 +132,12 @@ def read(html: str) -> Iterator[tuple[str, Element | None, str]]:
         if found.start() > at:
             yield "text", stack[-1] if stack else None, html[at : found.start()]
         at = found.end()
-        tag = (found["tag"] or "").lower()
+        end_mark, tag, attributes = found.groups()
         if not tag:
             continue
-        if found["end"]:
-            if any(e.tag == tag for e in stack):
+        tag = tag.lower()
+        if end_mark:
+            if tag in [e.tag for e in stack]:
                 while stack:
                     element = stack.pop()
                     yield "close", element, ""
@@ -115,16 +148,13 @@ def read(html: str) -> Iterator[tuple[str, Element | None, str]]:
             if tag not in INLINE:
                 yield "break", None, ""
             continue
-        closes = CLOSED_BY.get(tag, "").split()
-        # A new paragraph or item ends an open one, with what is open in it.
-        place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag in closes), -1)
-        if place >= 0 and all(e.tag in INLINE for e in stack[place + 1 :]):
-            while len(stack) > place:
-                yield "close", stack.pop(), ""
-        names = " ".join(
-            f"{m[1].lower()}={m[2] or m[3] or m[4] or ''}" for m in NAMES.finditer(found["attributes"])
-        )
-        element = Element(tag, _words(names), stack[-1] if stack else None)
+        if closes := CLOSED_BY.get(tag):
+            # A new paragraph or item ends an open one, with what is open in it.
+            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag in closes), -1)
+            if place >= 0 and all(e.tag in INLINE for e in stack[place + 1 :]):
+                while len(stack) > place:
+                    yield "close", stack.pop(), ""
+        element = _element(tag, _names(attributes), stack[-1] if stack else None)
         stack.append(element)
         yield "open", element, ""
         if tag in RAW:
@@ -137,24 +167,24 @@ def read(html: str) -> Iterator[tuple[str, Element | None, str]]:
         yield "close", stack.pop(), ""
 
 
-def _words(names: str) -> str:
-    """The values of class, id and role, a role with its name."""
-    return " ".join(n if n.startswith("role=") else n.split("=", 1)[-1] for n in names.split())
-
-
 def _text_token(element: Element | None, text: str) -> int:
     """A stretch of text is a token of its own below its element."""
-    return xxhash.xxh64_intdigest(f"{element.path if element else ''}>{text}") >> 1
+    return xxhash.xxh64_intdigest(f"{element.token if element else 0}>{text}") >> 1
 
 
 def page_tokens(html: str) -> Counter:
-    """How often each token stands on a page; token 0 is the page itself."""
+    """How often each token stands on a page; token 0 is the page itself.
+
+    Text inside main elements is always kept and text inside those left out is
+    always dropped, so only other text counts as a token.
+    """
     found: Counter = Counter({0: 1})
     for kind, element, text in read(html):
         if kind == "open":
             found[element.token] += 1
-        elif kind == "text" and (flat := BLANK.sub(" ", text).strip()):
-            found[_text_token(element, flat)] += 1
+        elif kind == "text" and not (element and (element.outside or element.main)):
+            if flat := BLANK.sub(" ", text).strip():
+                found[_text_token(element, flat)] += 1
     return found
 
 
