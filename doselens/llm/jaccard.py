@@ -485,7 +485,8 @@ def jaccard_components(
     sets = materialize(sketches(documents, key, text, threshold, width), "sketches")
     compared = sets.where("doc_id is not null and n_shingles > 0")
     marks = ["n_shingles", "mark1", "mark2"]
-    own = compared.groupBy(*marks).agg(F.min("doc_id").alias("id"))
+    # Written before it is joined, so that a set with many copies can be split in the join.
+    own = materialize(compared.groupBy(*marks).agg(F.min("doc_id").alias("id")), "set-marks")
     members = sets.drop("sketch").join(own, marks, "left")
     members = materialize(members.select("doc_id", "n_shingles", "id"), "set-members")
     own = materialize(
