@@ -40,7 +40,7 @@ SAMPLE = 512
 """One place in the bit vector is stored for each so many values."""
 SHARD_IDS = 8_000_000
 """A shard is closed when it holds so many ids."""
-REMEMBERED = 100_000
+REMEMBERED = 250_000
 """Pieces remembered before a new generation begins; the last one stays known."""
 MANIFEST = "path string, first_doc bigint, n_docs bigint, n_ids bigint"
 
