@@ -197,10 +197,12 @@ class Transducer:
 class Encoder:
     """Encodes texts: cuts them by the pattern and remembers frequent pieces."""
 
-    def __init__(self, transducer: Transducer, pattern: str) -> None:
+    def __init__(
+        self, transducer: Transducer, pattern: str, piece_limit: int = PIECE_LIMIT
+    ) -> None:
         self.transducer = transducer
         self.pattern = pattern
-        self.pieces = Remembered(lambda piece: transducer.encode(piece.encode()), PIECE_LIMIT)
+        self.pieces = Remembered(lambda piece: transducer.encode(piece.encode()), piece_limit)
 
     def encode(self, text: str) -> bytes:
         """The packed ids of a text."""
@@ -257,9 +259,9 @@ def decode_stream(runs: Iterable[bytes], bytes_of: dict[int, bytes]) -> Iterator
 
 
 @lru_cache(maxsize=2)
-def encoder(vocabulary: str, pattern: str) -> Encoder:
+def encoder(vocabulary: str, pattern: str, states: int, pieces: int) -> Encoder:
     """The encoder of a Python worker, which goes on with it in its next tasks."""
-    return Encoder(Transducer(read_ranks(vocabulary)), pattern)
+    return Encoder(Transducer(read_ranks(vocabulary), states), pattern, pieces)
 
 
 @lru_cache(maxsize=2)
@@ -274,11 +276,22 @@ def encode(
     text: str = "text",
     ids: str = "ids",
     drop_text: bool = False,
+    keep: bool = True,
+    states: int = STATE_LIMIT,
+    pieces: int = PIECE_LIMIT,
 ) -> DataFrame:
-    """Adds the packed ids of a text column; ``vocabulary`` is a file on every executor."""
+    """Adds the packed ids of a text column; ``vocabulary`` is a file on every executor.
+
+    A Python worker keeps its tables for its next tasks, which saves time, unless
+    ``keep`` is false, which leaves the memory to other stages. ``states`` and
+    ``pieces`` limit the tables.
+    """
 
     def prepare() -> BatchFunction:
-        own = encoder(vocabulary, pattern)
+        if keep:
+            own = encoder(vocabulary, pattern, states, pieces)
+        else:
+            own = Encoder(Transducer(read_ranks(vocabulary), states), pattern, pieces)
 
         def run(batch: pa.RecordBatch) -> list[pa.Array]:
             gc.disable()  # states hold no cycles, and walking them costs a tenth of the time
