@@ -17,7 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 """Where checkpoints go when the cluster names no folder, as in tests."""
 
-ROWS_AT_ONCE = 500
+ROWS_AT_ONCE = 300
 """Rows of a batch that are worked on, and sent back, together."""
 
 BatchFunction = Callable[[pa.RecordBatch], Sequence[pa.Array]]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doselens.llm.common import BatchFunction, add_columns
+from doselens.llm.common import ROWS_AT_ONCE, BatchFunction, add_columns
 from doselens.llm.letters import letter_runs
 
 DIMENSIONS = 1024
@@ -105,11 +105,14 @@ def learn(
         own = Space(dimensions, seed)
         bundles: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(dimensions))
         for batch in batches:
-            found: dict[str, list[np.ndarray]] = defaultdict(list)
-            for name, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found[name].append(ngrams(value or ""))
-            for name, grams in found.items():
-                bundles[name] += own.bundle(*np.unique(np.concatenate(grams), return_counts=True))
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                found: dict[str, list[np.ndarray]] = defaultdict(list)
+                for name, value in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    found[name].append(ngrams(value or ""))
+                for name, grams in found.items():
+                    counted = np.unique(np.concatenate(grams), return_counts=True)
+                    bundles[name] += own.bundle(*counted)
         for name, bundle in bundles.items():
             yield pa.RecordBatch.from_pydict(
                 {
