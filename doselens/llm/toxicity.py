@@ -135,8 +135,10 @@ def learn(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [row[places(text)] for text in texts(batch)]
-            kept = [np.unique(f[f >= 0]).astype("<u2").tobytes() for f in found]
+            kept = []
+            for text in texts(batch):
+                found = row[places(text)]
+                kept.append(np.unique(found[found >= 0]).astype("<u2").tobytes())
             yield pa.RecordBatch.from_pydict(
                 {"toxic": batch.column("toxic"), "kept": pa.array(kept, pa.binary())}
             )
