@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from doselens.llm.common import BatchFunction, add_columns, texts
 from doselens.llm.pieces import RUN, Remembered, cut
 
-STATE_LIMIT = 250_000
+STATE_LIMIT = 160_000
 """States of the transducer kept at once in a task."""
-PIECE_LIMIT = 220_000
+PIECE_LIMIT = 160_000
 """Pieces met before a new generation of remembered ones begins; the last one stays known."""
 def read_ranks(path: str) -> dict[bytes, int]:
     """The ranks of a vocabulary file: a token in base 64 and its rank on each line."""
