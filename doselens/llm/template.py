@@ -7,12 +7,18 @@ vectors form an equivalence class; the vectors are compared by a hash that is
 summed up page by page, so they are never gathered. A class on nearly all pages
 of the host, with several tokens, belongs to the template. On a page the tokens
 of a class lie in order, and a class is nested in the gap of another between two
-of whose tokens it lies; one that crosses another is dropped there. What lies in
-the gaps are the slots, and the template elements around a slot tell its role.
-Slots in menus, headers, footers, sidebars, notices, adverts, forms and reader
-comments are left out. If the template has an article or main element, the slots
-in it are the main text, with all their text, even where many pages share it;
-else the slots of the body are, without text that belongs to the template.
+of whose tokens it lies; one that crosses another is dropped there. A class that
+stands on a page several times nests copy by copy. Text of the nested classes is
+the template's; the other text lies in the gaps, the slots, and the elements around
+a slot tell its role. Slots in menus, headers, footers, sidebars, notices, adverts,
+forms and reader comments are left out. If the page has an article or main element,
+the slots in it are the main text, else those of the body.
+
+Text of the template goes also inside article or main, but for two cases: where it
+stands between slots, in a block of the same path as one of them (a line that all
+pages have among the paragraphs), and on pages without any text of their own there
+(copies of a page). Hosts of fewer than ``LEAST_PAGES`` pages tell too little and
+keep all text inside article or main.
 
 Null pages, and pages without text, give the empty text. Hosts with one page
 have no classes, and the page's own tags serve as the template. Repeated rows
@@ -38,6 +44,8 @@ SUPPORT = 0.9
 """Share of a host's pages on which the tokens of a template class stand."""
 LEAST_TOKENS = 3
 """Tokens of a template class."""
+LEAST_PAGES = 4
+"""Pages of a host from which text inside its main elements may be the template's."""
 
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -75,17 +83,21 @@ BLANK = re.compile(r"\s+")
 
 
 class Element:
-    """An open element: the token of its path, whether it is left out, and whether it is main."""
+    """An open element: the token of its path, whether it is left out, and whether it is main.
 
-    __slots__ = ("tag", "outside", "main", "token", "below")
+    ``block`` is the token of the nearest element that is not inline.
+    """
+
+    __slots__ = ("tag", "outside", "main", "token", "below", "block")
 
     def __init__(self, tag: str, names: str, above: Element | None) -> None:
         self.tag = tag
         own = f"{tag}[{DIGITS.sub('0', names)}]" if names else tag
-        self.token = xxhash.xxh64_intdigest(f"{above.token if above else 0}/{own}") >> 1
+        self.main = bool(above and above.main) or tag in MAIN or "role=main" in names
         named = bool(names and ROLES.search(names)) and tag not in WHOLE
+        self.token = xxhash.xxh64_intdigest(f"{above.token if above else 0}/{own}") >> 1
+        self.block = above.block if above and tag in INLINE else self.token
         self.outside = bool(above and above.outside) or tag in OUTSIDE or named
-        self.main = bool(above and above.main) or tag in MAIN or "role=main" in names
         self.below: dict[tuple[str, str], Element] = {}
 
 
@@ -173,28 +185,46 @@ def _text_token(element: Element | None, text: str) -> int:
 
 
 def page_tokens(html: str) -> Counter:
-    """How often each token stands on a page; token 0 is the page itself.
-
-    Text inside main elements is always kept and text inside those left out is
-    always dropped, so only other text counts as a token.
-    """
+    """How often each token stands on a page; token 0 is the page itself."""
     found: Counter = Counter({0: 1})
     for kind, element, text in read(html):
         if kind == "open":
             found[element.token] += 1
-        elif kind == "text" and not (element and (element.outside or element.main)):
+        elif kind == "text":
             if flat := BLANK.sub(" ", text).strip():
                 found[_text_token(element, flat)] += 1
     return found
 
 
-def main_text(html: str, classes: dict[int, int]) -> str:
-    """The main text of a page, by the classes of its host's template tokens."""
+def main_text(html: str, classes: dict[int, int], few: bool = True) -> str:
+    """The main text of a page, by the classes of its host's template tokens.
+
+    ``few`` says that the host has few pages.
+    """
     tokens = list(read(html))
-    opened = [(i, e) for i, (kind, e, _) in enumerate(tokens) if kind == "open"]
-    nested = _nested([(i, e.token) for i, e in opened], classes)
-    # Where the template has no main element, or there is none, the page's own tags serve.
-    has_main = any(e.main for i, e in opened if i in nested) or any(e.main for _, e in opened)
+    has_main = any(kind == "open" and e.main for kind, e, _ in tokens)
+    nested = _template_places(tokens, classes)
+
+    kept: set[int] = set()
+    slots: list[int] = []
+    for i, (kind, element, text) in enumerate(tokens):
+        if kind != "text" or has_main and not (element and element.main):
+            continue
+        if element and element.outside:
+            continue
+        kept.add(i)
+        if i not in nested and not text.isspace():
+            slots.append(i)
+    if not has_main:
+        kept -= nested
+    elif not few and slots:
+        around = {tokens[i][1].block for i in slots}
+        kept -= {
+            i
+            for i in kept & nested
+            if not (slots[0] < i < slots[-1] and tokens[i][1].block in around)
+        }
+
     blocks: list[str] = []
     block: list[str] = []
 
@@ -204,40 +234,62 @@ def main_text(html: str, classes: dict[int, int]) -> str:
             blocks.append(flat)
         block.clear()
 
-    for kind, element, text in tokens:
+    for i, (kind, element, text) in enumerate(tokens):
         if kind == "text":
-            if element is not None and element.outside or has_main and not (element and element.main):
-                continue
-            if not has_main and classes and _text_token(element, BLANK.sub(" ", text).strip()) in classes:
-                continue
-            block.append(unescape(text) if "&" in text else text)
+            if i in kept:
+                block.append(unescape(text) if "&" in text else text)
         elif kind == "break" or element.tag not in INLINE:
             close()
     close()
     return "\n".join(blocks)
 
 
+def _template_places(
+    tokens: list[tuple[str, Element | None, str]], classes: dict[int, int]
+) -> set[int]:
+    """Places of a page's tokens that are the template's."""
+    if not classes:
+        return set()
+    places = []
+    for i, (kind, element, text) in enumerate(tokens):
+        if kind == "open":
+            places.append((i, element.token))
+        elif kind == "text" and (flat := BLANK.sub(" ", text).strip()):
+            places.append((i, _text_token(element, flat)))
+    return _nested(places, classes)
+
+
 def _nested(tokens: list[tuple[int, int]], classes: dict[int, int]) -> set[int]:
     """Places of the template tokens whose classes nest.
 
-    Classes are taken from the one with most tokens on. One is dropped if it
-    neither lies in one gap of a class taken before nor has that class in one of its own.
+    Classes are taken from the one with most tokens on. One is dropped if its copies
+    neither lie in one gap of a class taken before nor have that class's copies in one of theirs.
     """
-    places: dict[int, list[int]] = {}
+    places: dict[int, list[tuple[int, int]]] = {}
     for i, token in tokens:
         if token in classes:
-            places.setdefault(classes[token], []).append(i)
+            places.setdefault(classes[token], []).append((i, token))
     taken: list[np.ndarray] = []
     for _, own in sorted(places.items(), key=lambda item: (-len(item[1]), item[0])):
-        spots = np.array(own)
+        spots = _copies(own)
         if all(_in_one_gap(spots, other) or _in_one_gap(other, spots) for other in taken):
             taken.append(spots)
-    return set(np.concatenate(taken).tolist()) if taken else set()
+    return {i for spots in taken for i in spots.ravel().tolist()}
+
+
+def _copies(own: list[tuple[int, int]]) -> np.ndarray:
+    """The places of a class, a row for each time its tokens stand there in the same order."""
+    spots = np.array([i for i, _ in own])
+    row = [token for _, token in own]
+    width = len(set(row))
+    if 1 < width < len(row) and row == row[:width] * (len(row) // width):
+        return spots.reshape(-1, width)
+    return spots[None, :]
 
 
 def _in_one_gap(inner: np.ndarray, outer: np.ndarray) -> bool:
-    gaps = np.searchsorted(outer, inner)
-    return bool((gaps == gaps[0]).all())
+    gaps = np.searchsorted(outer.ravel(), inner)
+    return bool((gaps == gaps[:, :1]).all())
 
 
 def host_of(url: Column) -> Column:
@@ -247,7 +299,7 @@ def host_of(url: Column) -> Column:
 
 
 def templates(pages: DataFrame, support: float = SUPPORT, least: int = LEAST_TOKENS) -> DataFrame:
-    """For each host the template's tokens and the class of each.
+    """For each host with a template the number of its pages, the template's tokens and the class of each.
 
     ``pages`` has host, page_id and html. Only tokens on two pages or more go on
     from the first aggregate, and only those on nearly all pages of a host are
@@ -282,9 +334,11 @@ def templates(pages: DataFrame, support: float = SUPPORT, least: int = LEAST_TOK
     everywhere = vectors.where("token = 0").select("host", F.col("pages").alias("host_pages"))
     frequent = vectors.where("token != 0").join(everywhere, "host")
     frequent = frequent.where(F.col("pages") >= support * F.col("host_pages"))
-    classes = frequent.groupBy("host", "vector", "pages").agg(F.collect_list("token").alias("tokens"))
+    classes = frequent.groupBy("host", "host_pages", "vector", "pages").agg(
+        F.collect_list("token").alias("tokens")
+    )
     valid = classes.where(F.size("tokens") >= least)
-    listed = valid.groupBy("host").agg(
+    listed = valid.groupBy("host", "host_pages").agg(
         F.collect_list(F.struct(F.col("vector").alias("class"), "tokens")).alias("classes")
     )
     return materialize(listed, "templates")
@@ -296,25 +350,27 @@ def extract(pages: DataFrame, support: float = SUPPORT, least: int = LEAST_TOKEN
     joined = hosted.join(templates(hosted, support, least), "host", "left")
 
     def prepare() -> BatchFunction:
-        known: dict[str, dict[int, int]] = {}
+        known: dict[str, tuple[dict[int, int], bool]] = {}
 
-        def classes_of(host: str, listed: list[dict] | None) -> dict[int, int]:
+        def template_of(host: str, pages: int | None, listed: list[dict] | None):
             if host not in known:
                 if len(known) > 1000:
                     known.clear()
-                known[host] = {t: c["class"] for c in listed or [] for t in c["tokens"]}
+                classes = {t: c["class"] for c in listed or [] for t in c["tokens"]}
+                known[host] = classes, (pages or 1) < LEAST_PAGES
             return known[host]
 
         def run(batch: pa.RecordBatch) -> list[pa.Array]:
             hosts, column = batch.column("host").to_pylist(), batch.column("classes")
+            pages = batch.column("host_pages").to_pylist()
             found = []
             for i, (host, html) in enumerate(zip(hosts, texts(batch, "html"), strict=True)):
                 listed = None if host in known else column[i].as_py()
-                found.append(main_text(html, classes_of(host, listed)))
+                found.append(main_text(html, *template_of(host, pages[i], listed)))
             return [pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())]
 
         return run
 
     return add_columns(
-        joined, "text string, n_chars bigint", prepare, drop=["host", "html", "classes"]
+        joined, "text string, n_chars bigint", prepare, drop=["host", "html", "host_pages", "classes"]
     )

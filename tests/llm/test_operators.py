@@ -407,6 +407,29 @@ def test_template_without_article_drops_what_all_pages_share(spark):
     assert text == {i: f"Own {i}\nMore {i}" for i in range(10)}
 
 
+def extracted(spark, html, n=10, host="h"):
+    rows = [(i, f"http://{host}.example/{i}", html.format(i)) for i in range(n)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    return {r.page_id: r.text for r in template.extract(pages).collect()}
+
+
+def test_repeated_blocks_inside_an_article_go(spark):
+    html = ("<html><body><div>Site</div><article><h1>Head {0}</h1><div>Tell your friends</div><p>Own {0}</p>"
+            "<p>Kept by all</p><p>More {0}</p><div><a href=x>Buy</a> <a href=y>this</a></div><p>The end of it</p>"
+            "</article><div>Legal</div></body></html>")
+    expected = "Head {0}\nOwn {0}\nKept by all\nMore {0}"
+    assert extracted(spark, html) == {i: expected.format(i) for i in range(10)}
+    # Copies of a page have no text of their own, and two pages tell too little.
+    assert set(extracted(spark, html.replace("{0}", "x")).values()) == {
+        "Head x\nTell your friends\nOwn x\nKept by all\nMore x\nBuy this\nThe end of it"}
+    assert "Tell your friends" in extracted(spark, html, 2)[0]
+
+
+def test_repeated_classes_nest_copy_by_copy():
+    tokens = list(enumerate([1, 7, 8, 2, 7, 8, 3]))
+    assert template._nested(tokens, {1: 0, 2: 0, 3: 0, 7: 5, 8: 5}) == set(range(7))
+
+
 def test_classes_that_cross_are_dropped():
     nested = template._nested(list(enumerate([1, 2, 3, 9, 8, 4, 9, 5])), {1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 9: 7, 8: 6})
     assert nested == {0, 1, 2, 5, 7, 4}
