@@ -20,6 +20,10 @@ pages have among the paragraphs), and on pages without any text of their own the
 (copies of a page). Hosts of fewer than ``LEAST_PAGES`` pages tell too little and
 keep all text inside article or main.
 
+A name alone leaves nothing out: an element with the name of a menu, advert and so
+on is left out if it stands on several pages of its host, and does not hold the
+main element, the heading or most of the text of the host's pages.
+
 Null pages, and pages without text, give the empty text. Hosts with one page
 have no classes, and the page's own tags serve as the template. Repeated rows
 are extracted one by one. Pages keep their other columns out of the result.
@@ -46,6 +50,8 @@ LEAST_TOKENS = 3
 """Tokens of a template class."""
 LEAST_PAGES = 4
 """Pages of a host from which text inside its main elements may be the template's."""
+NAMED_SUPPORT = 0.1
+"""Share of a host's pages, at least two, on which an element left out by its name stands."""
 
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -83,21 +89,27 @@ BLANK = re.compile(r"\s+")
 
 
 class Element:
-    """An open element: the token of its path, whether it is left out, and whether it is main.
+    """An open element: the token of its path, whether its tag leaves it out, and whether it is main.
 
-    ``block`` is the token of the nearest element that is not inline.
+    ``named`` has the tokens of the elements from it on up whose names may leave them
+    out, ``block`` the token of the nearest element that is not inline. The last bit of
+    a token tells whether its own name may leave it out.
     """
 
-    __slots__ = ("tag", "outside", "main", "token", "below", "block")
+    __slots__ = ("tag", "outside", "main", "token", "below", "named", "block")
 
     def __init__(self, tag: str, names: str, above: Element | None) -> None:
         self.tag = tag
         own = f"{tag}[{DIGITS.sub('0', names)}]" if names else tag
         self.main = bool(above and above.main) or tag in MAIN or "role=main" in names
-        named = bool(names and ROLES.search(names)) and tag not in WHOLE
-        self.token = xxhash.xxh64_intdigest(f"{above.token if above else 0}/{own}") >> 1
+        # The header of an article is judged like an element of that name.
+        header = tag == "header" and self.main
+        named = header or bool(names and ROLES.search(names)) and tag not in WHOLE
+        spread = xxhash.xxh64_intdigest(f"{above.token if above else 0}/{own}") >> 1
+        self.token = spread & ~1 | named
+        self.named = (*(above.named if above else ()), *([self.token] if named else ()))
         self.block = above.block if above and tag in INLINE else self.token
-        self.outside = bool(above and above.outside) or tag in OUTSIDE or named
+        self.outside = bool(above and above.outside) or tag in OUTSIDE and not header
         self.below: dict[tuple[str, str], Element] = {}
 
 
@@ -181,28 +193,55 @@ def read(html: str) -> Iterator[tuple[str, Element | None, str]]:
 
 def _text_token(element: Element | None, text: str) -> int:
     """A stretch of text is a token of its own below its element."""
-    return xxhash.xxh64_intdigest(f"{element.token if element else 0}>{text}") >> 1
+    return xxhash.xxh64_intdigest(f"{element.token if element else 0}>{text}") >> 1 & ~1
+
 
+def page_tokens(html: str) -> tuple[Counter, Counter]:
+    """How often each token stands on a page, and how much text is in named elements.
 
-def page_tokens(html: str) -> Counter:
-    """How often each token stands on a page; token 0 is the page itself."""
+    Token 0 is the page itself. Text in elements that their tag leaves out has no
+    weight. A named element that holds a main element or the heading holds all text.
+    """
     found: Counter = Counter({0: 1})
+    weights: Counter = Counter({0: 0})
+    holders: set[int] = set()
     for kind, element, text in read(html):
         if kind == "open":
             found[element.token] += 1
+            if element.named and (element.tag == "h1" or element.tag in MAIN):
+                holders.update(element.named)
         elif kind == "text":
             if flat := BLANK.sub(" ", text).strip():
                 found[_text_token(element, flat)] += 1
-    return found
+                if not (element and element.outside):
+                    weights[0] += len(flat)
+                    for token in element.named if element else ():
+                        weights[token] += len(flat)
+    for token in holders:
+        weights[token] = weights[0] + 1
+    return found, weights
 
 
-def main_text(html: str, classes: dict[int, int], few: bool = True) -> str:
+def left_out_alone(html: str) -> frozenset[int]:
+    """The named elements that are left out of a page of which no other page tells."""
+    _, weights = page_tokens(html)
+    return frozenset(t for t, weight in weights.items() if t and 2 * weight <= weights[0])
+
+
+def main_text(
+    html: str, classes: dict[int, int], left_out: frozenset[int] | None = None, few: bool = True
+) -> str:
     """The main text of a page, by the classes of its host's template tokens.
 
-    ``few`` says that the host has few pages.
+    ``left_out`` has the host's named elements that are left out, None if no other
+    page tells them; ``few`` says that the host has few pages.
     """
     tokens = list(read(html))
     has_main = any(kind == "open" and e.main for kind, e, _ in tokens)
+    if left_out is None:
+        # Most pages have no named element in them.
+        named = any(kind == "open" and e.named for kind, e, _ in tokens)
+        left_out = left_out_alone(html) if named else frozenset()
     nested = _template_places(tokens, classes)
 
     kept: set[int] = set()
@@ -210,7 +249,7 @@ def main_text(html: str, classes: dict[int, int], few: bool = True) -> str:
     for i, (kind, element, text) in enumerate(tokens):
         if kind != "text" or has_main and not (element and element.main):
             continue
-        if element and element.outside:
+        if element and (element.outside or any(t in left_out for t in element.named)):
             continue
         kept.add(i)
         if i not in nested and not text.isspace():
@@ -299,18 +338,20 @@ def host_of(url: Column) -> Column:
 
 
 def templates(pages: DataFrame, support: float = SUPPORT, least: int = LEAST_TOKENS) -> DataFrame:
-    """For each host with a template the number of its pages, the template's tokens and the class of each.
+    """For each host of several pages their number, and the template's tokens and the class of each.
 
     ``pages`` has host, page_id and html. Only tokens on two pages or more go on
     from the first aggregate, and only those on nearly all pages of a host are
-    listed, which are at most a little more than a page has.
+    listed, which are at most a little more than a page has; so are the named elements
+    that are left out, at most ten times what a page has, as a class without a vector.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
-                found = [page_tokens(html) for html in texts(part, "html")]
+                both = [page_tokens(html) for html in texts(part, "html")]
+                found = [f for f, _ in both]
                 index = np.repeat(np.arange(part.num_rows), [len(f) for f in found])
                 rows = pa.array(index)
                 yield pa.RecordBatch.from_pydict(
@@ -319,27 +360,48 @@ def templates(pages: DataFrame, support: float = SUPPORT, least: int = LEAST_TOK
                         "page_id": part.column("page_id").take(rows),
                         "token": pa.array([t for f in found for t in f], pa.int64()),
                         "n": pa.array([n for f in found for n in f.values()], pa.int32()),
+                        "weight": pa.array([w[t] for f, w in both for t in f], pa.int64()),
                     }
                 )
 
-    schema = "host string, page_id bigint, token bigint, n int"
+    schema = "host string, page_id bigint, token bigint, n int, weight bigint"
     seen = pages.select("host", F.col("page_id").cast("bigint").alias("page_id"), "html")
     vectors = (
         seen.mapInArrow(run, schema)
         .groupBy("host", "token")
-        .agg(F.bit_xor(F.xxhash64("page_id", "n")).alias("vector"), F.count("*").alias("pages"))
+        .agg(
+            F.bit_xor(F.xxhash64("page_id", "n")).alias("vector"),
+            F.count("*").alias("pages"),
+            F.sum("weight").alias("weight"),
+        )
         .where("pages >= 2")
     )
     vectors = materialize(vectors, "template-vectors")
-    everywhere = vectors.where("token = 0").select("host", F.col("pages").alias("host_pages"))
-    frequent = vectors.where("token != 0").join(everywhere, "host")
-    frequent = frequent.where(F.col("pages") >= support * F.col("host_pages"))
+    everywhere = vectors.where("token = 0").select(
+        "host", F.col("pages").alias("host_pages"), F.col("weight").alias("host_weight")
+    )
+    repeated = vectors.where("token != 0").join(everywhere, "host")
+    frequent = repeated.where(F.col("pages") >= support * F.col("host_pages"))
     classes = frequent.groupBy("host", "host_pages", "vector", "pages").agg(
         F.collect_list("token").alias("tokens")
     )
-    valid = classes.where(F.size("tokens") >= least)
-    listed = valid.groupBy("host", "host_pages").agg(
-        F.collect_list(F.struct(F.col("vector").alias("class"), "tokens")).alias("classes")
+    valid = classes.where(F.size("tokens") >= least).select("host", "host_pages", "vector", "tokens")
+    named = repeated.where(
+        (F.col("token") % 2 == 1)
+        & (F.col("pages") >= NAMED_SUPPORT * F.col("host_pages"))
+        # Of all its pages, so that an element on a few of them is not taken for small.
+        & (2 * F.col("weight") * F.col("host_pages") <= F.col("host_weight") * F.col("pages"))
+    )
+    left_out = named.groupBy("host", "host_pages").agg(F.collect_list("token").alias("tokens"))
+    left_out = left_out.withColumn("vector", F.lit(None).cast("bigint"))
+    # A host of several pages has a row even if nothing is left out there.
+    told = everywhere.select("host", "host_pages", F.array().cast("array<bigint>").alias("tokens"))
+    told = told.withColumn("vector", F.lit(None).cast("bigint"))
+    listed = (
+        valid.unionByName(left_out)
+        .unionByName(told)
+        .groupBy("host", "host_pages")
+        .agg(F.collect_list(F.struct(F.col("vector").alias("class"), "tokens")).alias("classes"))
     )
     return materialize(listed, "templates")
 
@@ -350,14 +412,16 @@ def extract(pages: DataFrame, support: float = SUPPORT, least: int = LEAST_TOKEN
     joined = hosted.join(templates(hosted, support, least), "host", "left")
 
     def prepare() -> BatchFunction:
-        known: dict[str, tuple[dict[int, int], bool]] = {}
+        known: dict[str, tuple[dict[int, int], frozenset[int] | None, bool]] = {}
 
         def template_of(host: str, pages: int | None, listed: list[dict] | None):
             if host not in known:
                 if len(known) > 1000:
                     known.clear()
-                classes = {t: c["class"] for c in listed or [] for t in c["tokens"]}
-                known[host] = classes, (pages or 1) < LEAST_PAGES
+                every = listed or []
+                classes = {t: c["class"] for c in every if c["class"] is not None for t in c["tokens"]}
+                left_out = frozenset(t for c in every if c["class"] is None for t in c["tokens"])
+                known[host] = classes, left_out if pages else None, (pages or 1) < LEAST_PAGES
             return known[host]
 
         def run(batch: pa.RecordBatch) -> list[pa.Array]:

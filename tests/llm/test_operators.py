@@ -435,6 +435,22 @@ def test_classes_that_cross_are_dropped():
     assert nested == {0, 1, 2, 5, 7, 4}
 
 
+@pytest.mark.parametrize("n", [10, 1])
+@pytest.mark.parametrize("wrapper", ['class="page has-sidebar"', 'class="no-comments"', 'id="search-page"'])
+def test_names_of_wrappers_do_not_leave_out_the_page(spark, wrapper, n):
+    inside = '<h1>Head {0}</h1><p>Own words {0}</p><div class="share">Send {0}</div>'
+    for main in (inside, f"<article>{inside}</article>"):
+        html = f"<html><body><div {wrapper}>{main}</div><div class='sidebar'>Side {{0}}</div></body></html>"
+        assert extracted(spark, html, n) == {i: f"Head {i}\nOwn words {i}" for i in range(n)}
+
+
+def test_heading_in_a_named_element_stays(spark):
+    for opened, closed in (('<div class="article-header">', "</div>"), ("<header>", "</header>")):
+        html = f"<html><body><article>{opened}<h1>Head {{0}}</h1>{closed}<p>Own {{0}}</p></article></body></html>"
+        for n in (10, 1):
+            assert extracted(spark, html, n) == {i: f"Head {i}\nOwn {i}" for i in range(n)}
+
+
 # Quality rules
 
 
