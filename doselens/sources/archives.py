@@ -1,7 +1,7 @@
 """Quarterly zip archives of ``$``-separated text.
 
-Python only unzips: a task writes the text of an archive's members in bounded
-chunks into a table in the shared folder, once for all wanted tables. That table
+Python only unzips: a task gets an archive in parts, keeps it in a scratch file,
+and writes the text of its members in bounded chunks into a table in the shared folder, once for all wanted tables. That table
 is read like any other, so cutting lines, splitting, naming and typing columns
 is Spark SQL in as many tasks as the text needs, and a lost executor does not
 unzip anything again. What passes through the driver is one small row per
@@ -10,12 +10,14 @@ archive and table (its header and status).
 
 from __future__ import annotations
 
-import io
 import re
+import tempfile
 import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import groupby
+from typing import IO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,10 +33,16 @@ ENCODING = "ISO-8859-1"
 MEMBER_ENDING = ".txt"
 IGNORED_FOLDER = "__MACOSX"
 
-CHUNK_BYTES = 4 << 20
-"""Unzipped bytes a task holds at a time, but for a line that is longer."""
-LARGEST_ARCHIVE = (1 << 31) - 1024
-"""Spark's file reader hands over no larger file; such an archive is told as failed."""
+CHUNK_BYTES = 128 << 10
+"""Unzipped bytes a task holds at a time, but for a line that is longer.
+
+They are a row of the written table, whose reader holds many rows at once.
+"""
+ROW_GROUP_BYTES = 16 << 20
+PART_BYTES = 16 << 10
+"""Bytes of an archive in one row on the way to its task; a batch has up to 10,000 rows."""
+LARGEST_ARCHIVE = (1 << 63) - 1
+"""Archives of more bytes are told as failed and not read; as it stands, none is."""
 
 DAMAGE = (
     zipfile.BadZipFile, zlib.error, EOFError, ValueError, NotImplementedError, RuntimeError,
@@ -119,13 +127,13 @@ def _rows(path: str, table: str, **values: str | None) -> pa.RecordBatch:
     )
 
 
-def _member_rows(path: str, content: bytes | None, table: str) -> Iterator[pa.RecordBatch]:
+def _member_rows(path: str, content: IO[bytes] | None, table: str) -> Iterator[pa.RecordBatch]:
     """The text of an archive's member, and after it the row with its status."""
     found: dict[str, str | None] = {"status": "NO_MEMBER"}
     try:
         if content is None:
             raise ValueError(f"larger than {LARGEST_ARCHIVE} bytes")
-        archive = zipfile.ZipFile(io.BytesIO(content))
+        archive = zipfile.ZipFile(content)
         found["member"] = choose_member(archive.namelist(), table)
         if found["member"] is not None:
             found["status"] = "EMPTY"
@@ -138,6 +146,50 @@ def _member_rows(path: str, content: bytes | None, table: str) -> Iterator[pa.Re
     yield _rows(path, table, **found)
 
 
+PARTS = "path string, block bigint, part bigint, data binary, length bigint"
+
+
+def _parts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """The bytes of archives of any size, as rows that can be put in order again.
+
+    ``paths`` has the path for each URI. Spark's text reader cuts a file at the byte
+    of a newline and hands over all others as they are. After the last line a
+    newline stands here whether the file has it or not; the length tells.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, number = None, 0
+        for batch in batches:
+            keys = zip(batch.column("uri").to_pylist(), batch.column("block").to_pylist(), strict=True)
+            start = 0
+            for key, same in groupby(keys):
+                stop = start + sum(1 for _ in same)
+                lines = batch.column("line").slice(start, stop - start).to_pylist()
+                start = stop
+                if key != file:
+                    file, number = key, 0
+                data = b"\n".join([*lines, b""])
+                cuts = [data[at : at + PART_BYTES] for at in range(0, len(data), PART_BYTES)]
+                n = len(cuts)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "path": pa.array([paths[key[0]]] * n, pa.string()),
+                        "block": pa.array([key[1]] * n, pa.int64()),
+                        "part": pa.array(range(number, number + n), pa.int64()),
+                        "data": pa.array(cuts, pa.binary()),
+                        "length": pa.nulls(n, pa.int64()),
+                    }
+                )
+                number += n
+
+    lines = spark.read.option("lineSep", "\n").text(_literal(list(paths.values()))).select(
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("value").cast("binary").alias("line"),
+    )
+    return lines.mapInArrow(run, PARTS)
+
+
 def unzip_archives(
     spark: SparkSession,
     landing: str | Sequence[str],
@@ -146,31 +198,55 @@ def unzip_archives(
 ) -> DataFrame:
     """The text of the wanted tables of all archives, with their status.
 
-    Each archive is opened once for all tables. Every archive is read by Spark's
-    own file reader, so its storage settings hold and paths need no second form;
-    a task holds one archive at a time. The rows are written once to ``work``, or
-    else below the shared checkpoint folder; ``remove_unzipped`` deletes them.
+    Each archive is opened once for all tables. Every archive, whatever its size, is
+    read by Spark's own file reader, so its storage settings hold and paths need no
+    second form. Its bytes go in small parts to one task, which keeps them in a
+    scratch file of its own while it unzips them; so besides the shuffle an executor
+    needs room for an archive on disk, and never in memory. The rows are written once to
+    ``work``, or else below the shared checkpoint folder; ``remove_unzipped`` deletes them.
     Damage may show up only at the end of a member, so the status row comes last:
     LOADED, EMPTY (no line in the member), NO_MEMBER or LOAD_FAILED.
     """
     names = [wanted] if isinstance(wanted, str) else list(wanted)
-    # One path for each archive, a few hundred for decades of quarters.
-    paths = [row.path for row in list_archives(spark, landing).select("path").collect()]
-    if not paths:
+    # One row for each archive, a few hundred for decades of quarters.
+    files = list_archives(spark, landing).select("path", "_metadata.file_path", "length").collect()
+    if not files:
         raise ValueError(f"no archive in {landing}")
+    limit = LARGEST_ARCHIVE
 
     def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, length, content = None, 0, None
+
+        def members() -> Iterator[pa.RecordBatch]:
+            if content is not None:
+                content.truncate(length)
+                content.flush()
+            for table in names:
+                yield from _member_rows(path, content, table)
+            if content is not None:
+                content.close()
+
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                for table in names:
-                    yield from _member_rows(path.as_py(), content.as_py(), table)
+            for row in zip(*batch.columns, strict=True):
+                if row[4].is_valid:
+                    # The first row of an archive.
+                    if path is not None:
+                        yield from members()
+                    path, length = row[0].as_py(), row[4].as_py()
+                    content = tempfile.TemporaryFile() if length <= limit else None
+                else:
+                    content.write(row[3].as_buffer())
+        if path is not None:
+            yield from members()
 
     folder = f"{work or shared_folder(spark)}/unzipped_{uuid.uuid4().hex}"
-    files = spark.read.format("binaryFile").load(_literal(paths))
-    fits = F.col("length") <= LARGEST_ARCHIVE
-    contents = files.filter(fits).select("path", "content")
-    told = files.filter(~fits).select("path", F.lit(None).cast("binary").alias("content"))
-    contents.unionByName(told).mapInArrow(unzip, UNZIPPED).write.parquet(folder)
+    first = spark.createDataFrame([(f.path, -1, 0, None, f.length) for f in files], PARTS)
+    fits = {f.file_path: f.path for f in files if f.length <= limit}
+    parts = first.unionByName(_parts(spark, fits)) if fits else first
+    ordered = parts.repartition(len(files), "path").sortWithinPartitions("path", "block", "part")
+    unzipped = ordered.mapInArrow(unzip, UNZIPPED)
+    # A reader holds a row group of each of its tasks at once, several times.
+    unzipped.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(folder)
     return spark.read.parquet(folder)
 
 

@@ -105,6 +105,38 @@ def test_archives_too_large_for_the_reader_are_told(spark, landing, monkeypatch)
     assert len(rows) == 4
 
 
+def test_archives_beyond_the_limit_of_the_binary_reader(spark, landing):
+    """The reader's limit, 2 GB as it stands, does not bind."""
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "10")
+    try:
+        rows = by_id(read(spark, landing, "DEMO"))
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert {k: (r.age, r.gndr_cod, r.caseid, r.sex, r.src_year, r.src_quarter)
+            for k, r in rows.items()} == EXPECTED
+
+
+def test_archives_come_through_cuts_as_they_are(spark, tmp_path, monkeypatch):
+    lines = [f"{i}${'x' * (i % 90)}\x85\xff" for i in range(3000)]
+    for quarter, how, comment in (("2020q1", zipfile.ZIP_STORED, b"end\n"), ("2020q2", zipfile.ZIP_DEFLATED, b"\n\n")):
+        with zipfile.ZipFile(tmp_path / f"faers_ascii_{quarter}.zip", "w", how) as archive:
+            archive.writestr("DEMO.txt", "\r\n".join(["a$b", *lines]).encode("latin-1"))
+            archive.comment = comment
+    (tmp_path / "faers_ascii_2020q3.zip").write_bytes(b"\n")
+    monkeypatch.setattr(archives, "PART_BYTES", 100)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        unzipped = archives.unzip_archives(spark, str(tmp_path), "DEMO", work=str(tmp_path / "w"))
+        found = archives.archive_table(unzipped, "DEMO").collect()
+        told = {r.src_quarter: r.status for r in archives.archive_status(unzipped).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert told == {1: "LOADED", 2: "LOADED", 3: "LOAD_FAILED"}
+    for quarter in (1, 2):
+        own = [f"{r.a}${r.b}" for r in found if r.src_quarter == quarter]
+        assert sorted(own) == sorted(lines)
+
+
 def test_template_is_the_earliest_quarter(spark, landing):
     frame = read(spark, landing, "DEMO", from_first=True)
     assert frame.columns == ["primaryid", "age", "gndr_cod", "src_year", "src_quarter"]
