@@ -2,7 +2,8 @@
 
 A document is the set of its word shingles; two are linked when the share of
 shingles they have in common reaches a threshold. The result is the connected
-component of each document.
+component of each document, on demand with the number of documents it is linked
+with (``jaccard_components``), or every linked pair of different sets (``jaccard_links``).
 
 Documents with equal sets are one set from the start. Shingles are ordered by
 their hash, the same order for all. Of two linked sets of sizes n the first
@@ -21,9 +22,9 @@ Large groups of near copies would meet in each of their shingles. So before
 that, a set that shares half its sketch with the smallest set (by id) of its
 shingles joins that one's cluster. Inside a cluster all sets of fitting sizes are
 compared in blocks, by a product of incidence matrices; a task gets two blocks
-of bounded size, and gives back links that span what it found linked. Pairs of
-different clusters go the way above. Every pair that reaches the threshold is
-thus compared, or lies in one component through links already found.
+of bounded size, and gives back links that span what it found linked, and the number
+of links of each set or all pairs if they are wanted. Pairs of different clusters go
+the way above. Every pair that reaches the threshold is thus compared, in one task.
 
 Nulls and texts without words have the empty set and are linked with nothing.
 Texts of fewer words than the width are one shingle. A null id is not compared
@@ -393,10 +394,10 @@ def _wanted_texts(documents: DataFrame, ids: DataFrame, key: str, text: str) ->
     return materialize(passed.join(ids, "id"), "wanted-texts")
 
 
-def spanning_links(
+def linked_sets(
     sets: list[np.ndarray], sides: np.ndarray, threshold: tuple[int, int]
-) -> list[tuple[int, int]]:
-    """Links among sets that connect whatever reaches the threshold.
+) -> np.ndarray:
+    """Which of the sets reach the threshold with which.
 
     With two sides only pairs across them count.
     """
@@ -425,7 +426,12 @@ def spanning_links(
     if sides.any() and not sides.all():
         linked &= sides[:, None] != sides[None, :]
     np.fill_diagonal(linked, False)
-    found, seen = [], np.zeros(len(sets), bool)
+    return linked
+
+
+def spanning_links(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect whatever is linked."""
+    found, seen = [], np.zeros(len(linked), bool)
     for root in np.flatnonzero(linked.any(axis=1)):
         front = [] if seen[root] else [root]
         seen[root] = True
@@ -438,14 +444,35 @@ def spanning_links(
     return found
 
 
-def _compare(tasks: DataFrame, wanted: DataFrame, threshold: tuple[int, int], width: int) -> DataFrame:
-    """Links (node, other) found by comparing the whole texts of each task."""
+LINKS = "node bigint, other bigint, links bigint"
+
 
-    def links(rows: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-        found = [shingle_set(text or "", width) for _, _, text in rows]
-        sides = np.array([side for side, _, _ in rows])
-        spanning = spanning_links(found, sides, threshold) if len(rows) > 1 else []
-        return [(rows[i][1], rows[j][1]) for i, j in spanning]
+def _compare(
+    tasks: DataFrame, wanted: DataFrame, threshold: tuple[int, int], width: int, give: str
+) -> DataFrame:
+    """Links (node, other, links) found by comparing the whole texts of each task.
+
+    ``give`` is "span" for links that span what is linked, "count" for those and, with a
+    null for other, the number of documents each set is linked with, or "pairs" for all links.
+    """
+
+    def links(rows: list[tuple[int, int, int, str]]) -> list[tuple[int, int | None, int | None]]:
+        if len(rows) < 2:
+            return []
+        found = [shingle_set(text or "", width) for *_, text in rows]
+        ids = np.array([row[1] for row in rows])
+        linked = linked_sets(found, np.array([row[0] for row in rows]), threshold)
+        if give == "span":
+            return [(rows[i][1], rows[j][1], None) for i, j in spanning_links(linked)]
+        # A repeated row counts in the copies of its set.
+        first = np.unique(ids, return_index=True)[1]
+        single, ids = linked[np.ix_(first, first)], ids[first]
+        if give == "pairs":
+            places = zip(*np.nonzero(np.triu(single)), strict=True)
+            return [(int(ids[i]), int(ids[j]), None) for i, j in places]
+        counts = single @ np.array([row[2] for row in rows], np.int64)[first]
+        spanning = [(rows[i][1], rows[j][1], None) for i, j in spanning_links(linked)]
+        return spanning + [(int(ids[i]), None, int(counts[i])) for i in np.flatnonzero(counts)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, rows = None, []
@@ -459,29 +486,22 @@ def _compare(tasks: DataFrame, wanted: DataFrame, threshold: tuple[int, int], wi
             yield _link_rows(out)
         yield _link_rows(links(rows))
 
-    def _link_rows(found: list[tuple[int, int]]) -> pa.RecordBatch:
-        nodes, others = list(zip(*found, strict=True)) or [(), ()]
+    def _link_rows(found: list[tuple[int, int | None, int | None]]) -> pa.RecordBatch:
+        columns = list(zip(*found, strict=True)) or [(), (), ()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), pa.array(others, pa.int64())], names=["node", "other"]
+            [pa.array(c, pa.int64()) for c in columns], names=["node", "other", "links"]
         )
 
-    gathered = tasks.join(wanted, "id").select("task", "side", "id", "text")
+    copies = F.col("copies") if "copies" in wanted.columns else F.lit(1).alias("copies")
+    gathered = tasks.join(wanted, "id").select("task", "side", "id", copies, "text")
     ordered = gathered.repartition("task").sortWithinPartitions("task")
-    return ordered.mapInArrow(run, "node bigint, other bigint")
+    return ordered.mapInArrow(run, LINKS)
 
 
-def jaccard_components(
-    documents: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    threshold: tuple[int, int] = THRESHOLD,
-    width: int = WIDTH,
-) -> DataFrame:
-    """A row for each document: doc_id, n_shingles and component_id.
-
-    ``threshold`` is a fraction (numerator, denominator). The component is the
-    smallest id that links lead to.
-    """
+def _join(
+    documents: DataFrame, key: str, text: str, threshold: tuple[int, int], width: int, give: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The set of each document, the compared texts, and what ``_compare`` gives."""
     sets = materialize(sketches(documents, key, text, threshold, width), "sketches")
     compared = sets.where("doc_id is not null and n_shingles > 0")
     marks = ["n_shingles", "mark1", "mark2"]
@@ -505,12 +525,62 @@ def jaccard_components(
     )
     tasks = materialize(_block_tasks(clusters, own, threshold).unionByName(pair_tasks), "tasks")
     ids = materialize(tasks.select("id").distinct(), "wanted")
+    if give == "count":
+        known = members.where("doc_id is not null and id is not null")
+        ids = ids.join(known.groupBy("id").agg(F.count("*").alias("copies")), "id")
+        ids = materialize(ids, "wanted-copies")
     wanted = _wanted_texts(documents, ids, key, text)
-    found = components(_compare(tasks, wanted, threshold, width))
-    discard(wanted)
-    found = found.select(F.col("node").alias("id"), "component")
-    return members.join(found, "id", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("component", "id", "doc_id").alias("component_id"),
+    return members, wanted, _compare(tasks, wanted, threshold, width, give)
+
+
+def jaccard_components(
+    documents: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    threshold: tuple[int, int] = THRESHOLD,
+    width: int = WIDTH,
+    links: bool = False,
+) -> DataFrame:
+    """A row for each document: doc_id, n_shingles and component_id.
+
+    ``threshold`` is a fraction (numerator, denominator). The component is the
+    smallest id that links lead to. With ``links`` there is n_links too: the number of
+    other rows whose set reaches the threshold with the document's, copies included;
+    null for a null id. It supposes that rows that share an id share the text.
+    """
+    members, wanted, found = _join(
+        documents, key, text, threshold, width, "count" if links else "span"
     )
+    if links:
+        found = materialize(found, "found-links")
+    linked = components(found.where("other is not null").select("node", "other") if links
+                        else found.select("node", "other"))
+    discard(wanted)
+    linked = linked.select(F.col("node").alias("id"), "component")
+    chosen = ["doc_id", "n_shingles", F.coalesce("component", "id", "doc_id").alias("component_id")]
+    if links:
+        counts = found.where("other is null").groupBy(F.col("node").alias("id"))
+        counts = materialize(counts.agg(F.sum("links").alias("links")), "link-counts")
+        known = members.where("doc_id is not null and id is not null")
+        copies = known.groupBy("id").agg((F.count("*") - 1).alias("copies"))
+        members = members.join(counts, "id", "left").join(copies, "id", "left")
+        n_links = F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(0))
+        chosen.append(F.when(F.col("doc_id").isNotNull(), n_links).alias("n_links"))
+    return members.join(linked, "id", "left").select(*chosen)
+
+
+def jaccard_links(
+    documents: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    threshold: tuple[int, int] = THRESHOLD,
+    width: int = WIDTH,
+) -> DataFrame:
+    """A row for each linked pair of different sets: a, b and a < b.
+
+    A set goes by the smallest id of its documents. The pairs of a group of near
+    copies grow with the square of its different texts.
+    """
+    _, _, found = _join(documents, key, text, threshold, width, "pairs")
+    pair = F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
+    return found.select(*pair)

@@ -567,6 +567,31 @@ def test_jaccard_components_equal_all_pairs(spark, monkeypatch, small_blocks):
         i: (sizes[i], roots[i]) for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("small_blocks", [False, True])
+def test_jaccard_links_equal_all_pairs(spark, monkeypatch, small_blocks):
+    if small_blocks:
+        monkeypatch.setattr(jaccard, "BLOCK_SETS", 5)
+    texts = jaccard_texts()
+    sets = []
+    for text in texts:
+        words = words_of(text)
+        sets.append(frozenset([tuple(words)] if 0 < len(words) < 5 else zip(*(words[i:] for i in range(5)), strict=False)))
+    links, pairs, first = Counter(), set(), {s: i for i, s in reversed(list(enumerate(sets)))}
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            common = len(a & b)
+            if a and b and 100 * common >= 80 * (len(a) + len(b) - common):
+                links.update((i, j))
+                if a != b:
+                    pairs.add(tuple(sorted((first[a], first[b]))))
+    frame = documents(spark, texts)
+    rows = jaccard.jaccard_components(frame, links=True).collect()
+    assert {r.doc_id: r.n_links for r in rows} == {i: links[i] for i in range(len(texts))}
+    assert [r.component_id for r in sorted(rows)] == brute_components(texts)[1]
+    found = [tuple(r) for r in jaccard.jaccard_links(frame).collect()]
+    assert len(found) == len(pairs) and set(found) == pairs
+
+
 def test_jaccard_of_odd_tables(spark):
     frame = documents(spark, [random_text(1, 50)] * 3 + [None])
     assert jaccard.jaccard_components(frame.limit(0)).count() == 0
