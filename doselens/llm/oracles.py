@@ -197,5 +197,81 @@ FROM judged
 """
 
 
+INFILL = r"""
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+        sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+    FROM documents
+), drawn AS (
+    SELECT *, CAST(len(u) AS BIGINT) AS n,
+        CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS one,
+        CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS two,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 100 THEN 'plain'
+            WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM cut
+), parts AS (
+    SELECT *, array_to_string(u[1:least(one, two)], '') AS p,
+        array_to_string(u[least(one, two) + 1:greatest(one, two)], '') AS m,
+        array_to_string(u[greatest(one, two) + 1:], '') AS s
+    FROM drawn
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text
+        WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
+
+NEGATIVES = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+        CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM rows a JOIN rows r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+CHATS = r"""
+WITH rows AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), filled AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i
+    FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256
+FROM filled GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_jaccard": JACCARD, "op7_mixing": MIXING, "op10_quality_rules": QUALITY}
+    return {
+        "op1_jaccard": JACCARD,
+        "op7_mixing": MIXING,
+        "op10_quality_rules": QUALITY,
+        "op11_infill": INFILL,
+        "op12_hard_negatives": NEGATIVES,
+    }

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doselens.llm import bpe, digest, jaccard, language, mixing, oracles, quality, shards, template, toxicity, unigram
+from doselens.llm import bpe, chat, digest, infill, jaccard, language, mixing, negatives, oracles, quality, shards
+from doselens.llm import template, toxicity, unigram
 from doselens.llm.common import held_out
 
 
@@ -108,6 +109,41 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text in fill-in-the-middle order by lines, and put together again from that."""
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    cut = infill.infill(documents)
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every fiftieth vector, some labels being moved on by one."""
+    vectors = _table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op13_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that quotes control strings, formatted and read back."""
+    rows = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    quoting = spark.createDataFrame(
+        [(-1, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    counter = chat.library_counter(
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    )
+    return chat.read_back(chat.format_windows(rows.unionByName(quoting), counter))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_jaccard": op1_jaccard,
@@ -120,6 +156,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_main_text": op9_main_text,
         "op10_quality_rules": op10_quality_rules,
+        "op11_infill": op11_infill,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_chat_windows": op13_chat_windows,
     }
 
 
