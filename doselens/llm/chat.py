@@ -269,6 +269,11 @@ def read_back(windows: DataFrame) -> DataFrame:
     return windows.mapInArrow(run, READ)
 
 
+def word_counter() -> Callable[[str], int]:
+    """Counts words, where no vocabulary is at hand."""
+    return lambda text: len(text.split())
+
+
 def library_counter(path: str, pattern: str) -> Counter:
     """Counts the tokens of a byte-level vocabulary."""
 

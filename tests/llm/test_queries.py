@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def database():
     connection = duckdb.connect()
-    for table in ("documents", "labels"):
+    for table in ("documents", "labels", "embeddings", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     return connection
 
@@ -28,12 +28,21 @@ def test_query_matches_sql(spark, database, name):
     assert sorted(repr(tuple(row)) for row in result.select(*names).collect()) == expected
 
 
+def test_chat_windows_match_sql(spark, database):
+    """All columns but the lengths of the formatted texts, which are the operator's own."""
+    cursor = database.execute(oracles.CHATS)
+    names = [column[0] for column in cursor.description]
+    result = queries.queries()["op13_chat_windows"](spark, SF)
+    assert result.where("formatted_chars <= loss_chars or n_windows < 1").count() == 0
+    assert sorted(map(tuple, result.select(*names).collect())) == sorted(cursor.fetchall())
+
+
 def test_one_query_for_each_operator(spark):
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     rows = spark.read.parquet(f"{SF}/documents.parquet").count()
     for name in names:
-        if name != "op9_main_text":
+        if name.split("_")[0] not in ("op9", "op12", "op13"):
             assert queries.queries()[name](spark, SF).count() == rows
 
 
