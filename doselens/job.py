@@ -24,6 +24,7 @@ from .plans import staging
 from .plans.build import build_marts
 from .session import build_session
 from .sources import documents, tables
+from .sources.archives import remove_unzipped
 from .streaming.refresh import refresh_quarters
 
 FAERS_TABLES = ("DEMO", "DRUG", "REAC")
@@ -35,10 +36,9 @@ def ingest(spark: SparkSession, landing: str, bronze: str, work: str | None = No
     pages = documents.read_study_pages(spark, f"{landing}/trials")
     tables.write_parquet(documents.kept_studies(documents.parse_studies(pages)), f"{bronze}/studies")
     studies = tables.read_parquet(spark, f"{bronze}/studies")
-    products = documents.read_product_document(spark, f"{landing}/drugs")
+    products = documents.read_product_document(spark, f"{landing}/drugs", work)
     frames = {
-        # A document comes from one task; its rows are dealt out before they are written.
-        "openfda_drugs": products.hint("rebalance"),
+        "openfda_drugs": products,
         "census_fips": documents.read_census_matrix(spark, f"{landing}/census"),
         "clinical_trials": documents.clinical_trials(studies),
         "rejected_studies": documents.rejected_studies(studies),
@@ -46,6 +46,7 @@ def ingest(spark: SparkSession, landing: str, bronze: str, work: str | None = No
     }
     for name, frame in frames.items():
         tables.write_parquet(frame, f"{bronze}/{name}")
+    remove_unzipped(products)
 
 
 def bronze_tables(spark: SparkSession, bronze: str) -> dict[str, DataFrame]:

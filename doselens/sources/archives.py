@@ -41,8 +41,6 @@ They are a row of the written table, whose reader holds many rows at once.
 ROW_GROUP_BYTES = 16 << 20
 PART_BYTES = 16 << 10
 """Bytes of an archive in one row on the way to its task; a batch has up to 10,000 rows."""
-LARGEST_ARCHIVE = (1 << 63) - 1
-"""Archives of more bytes are told as failed and not read; as it stands, none is."""
 
 DAMAGE = (
     zipfile.BadZipFile, zlib.error, EOFError, ValueError, NotImplementedError, RuntimeError,
@@ -62,7 +60,7 @@ def quarter_columns(path: Column) -> list[Column]:
     ]
 
 
-def _literal(paths: Sequence[str]) -> list[str]:
+def literal_paths(paths: Sequence[str]) -> list[str]:
     """Paths in which nothing is taken for a pattern."""
     return [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
 
@@ -75,7 +73,7 @@ def list_archives(spark: SparkSession, landing: str | Sequence[str]) -> DataFram
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .load(_literal([landing] if isinstance(landing, str) else landing))
+        .load(literal_paths([landing] if isinstance(landing, str) else landing))
         .select("path", "modificationTime", "length", *quarter_columns(F.col("path")))
     )
     return files.filter(F.col("path").rlike(ARCHIVE_NAME))
@@ -127,12 +125,10 @@ def _rows(path: str, table: str, **values: str | None) -> pa.RecordBatch:
     )
 
 
-def _member_rows(path: str, content: IO[bytes] | None, table: str) -> Iterator[pa.RecordBatch]:
+def _member_rows(path: str, content: IO[bytes], table: str) -> Iterator[pa.RecordBatch]:
     """The text of an archive's member, and after it the row with its status."""
     found: dict[str, str | None] = {"status": "NO_MEMBER"}
     try:
-        if content is None:
-            raise ValueError(f"larger than {LARGEST_ARCHIVE} bytes")
         archive = zipfile.ZipFile(content)
         found["member"] = choose_member(archive.namelist(), table)
         if found["member"] is not None:
@@ -146,7 +142,7 @@ def _member_rows(path: str, content: IO[bytes] | None, table: str) -> Iterator[p
     yield _rows(path, table, **found)
 
 
-PARTS = "path string, block bigint, part bigint, data binary, length bigint"
+PARTS = "path string, block bigint, part bigint, data binary"
 
 
 def _parts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
@@ -177,12 +173,11 @@ def _parts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
                         "block": pa.array([key[1]] * n, pa.int64()),
                         "part": pa.array(range(number, number + n), pa.int64()),
                         "data": pa.array(cuts, pa.binary()),
-                        "length": pa.nulls(n, pa.int64()),
                     }
                 )
                 number += n
 
-    lines = spark.read.option("lineSep", "\n").text(_literal(list(paths.values()))).select(
+    lines = spark.read.option("lineSep", "\n").text(literal_paths(list(paths.values()))).select(
         F.col("_metadata.file_path").alias("uri"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("value").cast("binary").alias("line"),
@@ -190,6 +185,27 @@ def _parts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return lines.mapInArrow(run, PARTS)
 
 
+def received(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, IO[bytes]]]:
+    """Path and scratch file of each file whose bytes come in order: path first, data last.
+
+    The file is gone when the next one is asked for. Rows without data only name a file.
+    """
+    path, content = None, None
+    for batch in batches:
+        paths, data = batch.column(0).to_pylist(), batch.column(batch.num_columns - 1)
+        for own, part in zip(paths, data, strict=True):
+            if own != path:
+                if content is not None:
+                    yield path, content
+                    content.close()
+                path, content = own, tempfile.TemporaryFile()
+            if part.is_valid:
+                content.write(part.as_buffer())
+    if content is not None:
+        yield path, content
+        content.close()
+
+
 def unzip_archives(
     spark: SparkSession,
     landing: str | Sequence[str],
@@ -212,37 +228,19 @@ def unzip_archives(
     files = list_archives(spark, landing).select("path", "_metadata.file_path", "length").collect()
     if not files:
         raise ValueError(f"no archive in {landing}")
-    limit = LARGEST_ARCHIVE
+    lengths = {f.path: f.length for f in files}
 
     def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path, length, content = None, 0, None
-
-        def members() -> Iterator[pa.RecordBatch]:
-            if content is not None:
-                content.truncate(length)
-                content.flush()
+        for path, content in received(batches):
+            content.truncate(lengths[path])
+            content.flush()
             for table in names:
                 yield from _member_rows(path, content, table)
-            if content is not None:
-                content.close()
-
-        for batch in batches:
-            for row in zip(*batch.columns, strict=True):
-                if row[4].is_valid:
-                    # The first row of an archive.
-                    if path is not None:
-                        yield from members()
-                    path, length = row[0].as_py(), row[4].as_py()
-                    content = tempfile.TemporaryFile() if length <= limit else None
-                else:
-                    content.write(row[3].as_buffer())
-        if path is not None:
-            yield from members()
 
     folder = f"{work or shared_folder(spark)}/unzipped_{uuid.uuid4().hex}"
-    first = spark.createDataFrame([(f.path, -1, 0, None, f.length) for f in files], PARTS)
-    fits = {f.file_path: f.path for f in files if f.length <= limit}
-    parts = first.unionByName(_parts(spark, fits)) if fits else first
+    # A row for each archive, also for one without bytes.
+    named = spark.createDataFrame([(f.path, -1, 0, None) for f in files], PARTS)
+    parts = named.unionByName(_parts(spark, {f.file_path: f.path for f in files}))
     ordered = parts.repartition(len(files), "path").sortWithinPartitions("path", "block", "part")
     unzipped = ordered.mapInArrow(unzip, UNZIPPED)
     # A reader holds a row group of each of its tasks at once, several times.

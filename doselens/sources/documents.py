@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import io
-import json
-import re
-import zipfile
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.census import CENSUS_VARIABLES
 from ..operators.flatten import PRODUCT_RESULT, STUDY, flatten_studies
+from .json_documents import members
 
 STUDY_PAGE = "studies array<variant>, nextPageToken string, _corrupt_record string"
 
@@ -38,58 +32,29 @@ STUDY_TEXT_LISTS = [
 ]
 
 
-def _results(text: str) -> tuple[str | None, list[tuple[int, int]]]:
-    """The date of a ``{meta, results: [...]}`` document and where each result stands in it."""
-    decoder = json.JSONDecoder()
-    skip = re.compile(r"[\s,:]*").match
-    at = skip(text, text.index("{") + 1).end()
-    last_updated, found = None, []
-    while text[at] != "}":
-        name, at = decoder.raw_decode(text, at)
-        at = skip(text, at).end()
-        if name == "results" and text[at] == "[":
-            at = skip(text, at + 1).end()
-            while text[at] != "]":
-                _, end = decoder.raw_decode(text, at)
-                found.append((at, end))
-                at = skip(text, end).end()
-            at += 1
-        else:
-            value, at = decoder.raw_decode(text, at)
-            if name == "meta" and isinstance(value, dict):
-                last_updated = value.get("last_updated")
-        at = skip(text, at).end()
-    return last_updated, found
-
-
-def read_product_document(spark: SparkSession, path: str) -> DataFrame:
+def read_product_document(
+    spark: SparkSession, path: str, work: str | None = None
+) -> DataFrame:
     """``{meta, results: [...]}`` documents, bare or as the first member of a zip.
 
-    A document is read by one task and gives one row per result, each with its
-    date and an array of that result, so everything after it runs in as many
-    tasks as there are results. A document that is not of this form fails the read.
+    Documents may have any size: each is cut in many tasks (``json_documents``), and
+    gives one row per result, with its date and an array of that result. A document
+    that is not JSON of this form fails the read. The pieces are written to ``work``,
+    or else below the shared checkpoint folder; ``remove_unzipped`` deletes them.
     """
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0).to_pylist():
-                if zipfile.is_zipfile(io.BytesIO(content)):
-                    archive = zipfile.ZipFile(io.BytesIO(content))
-                    content = archive.read(archive.namelist()[0])
-                text = content.decode()
-                last_updated, places = _results(text)
-                for start in range(0, len(places), 1000):
-                    values = [text[a:b] for a, b in places[start : start + 1000]]
-                    yield pa.RecordBatch.from_pydict(
-                        {"last_updated": pa.array([last_updated] * len(values), pa.string()),
-                         "value": pa.array(values, pa.string())}
-                    )
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    lines = files.mapInArrow(cut, "last_updated string, value string")
-    return lines.select(
-        F.struct("last_updated").alias("meta"),
-        F.array(F.from_json("value", PRODUCT_RESULT)).alias("results"),
+    found = members(spark, path, work)
+    blank = F.trim("value", F.lit(" \t\r\n")) == ""
+    # Within brackets, since text after a value would be overlooked.
+    bad = blank | F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]"))).isNull()
+    error = F.concat(F.lit("not a JSON value in "), "path", F.lit(": "), F.left("value", F.lit(100)))
+    checked = F.when(bad, F.raise_error(error)).otherwise(F.from_json("value", PRODUCT_RESULT))
+    # The optimizer may move this before the filter below, so it asks for the role itself.
+    checked = F.when(F.col("role") == "results[]", checked)
+    results = found.filter((F.col("role") == "results[]") & ~(F.col("only") & blank))
+    date = F.get_json_object(F.concat(F.lit("{"), "value", F.lit("}")), "$.last_updated")
+    dates = found.filter("role = 'meta{}'").groupBy("path").agg(F.max(date).alias("last_updated"))
+    return results.join(dates, "path", "left").select(
+        F.struct("last_updated").alias("meta"), F.array(checked).alias("results")
     )
 
 

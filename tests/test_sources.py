@@ -98,13 +98,6 @@ def test_newest_archive_of_a_quarter_counts(spark, tmp_path):
     assert [r.a for r in read(spark, tmp_path, "DEMO").collect()] == ["9"]
 
 
-def test_archives_too_large_for_the_reader_are_told(spark, landing, monkeypatch):
-    monkeypatch.setattr(archives, "LARGEST_ARCHIVE", 10)
-    rows = status(spark, landing, "DEMO").collect()
-    assert {r.status for r in rows if r.src_year != 2014} == {"LOAD_FAILED"}
-    assert len(rows) == 4
-
-
 def test_archives_beyond_the_limit_of_the_binary_reader(spark, landing):
     """The reader's limit, 2 GB as it stands, does not bind."""
     spark.conf.set("spark.sql.sources.binaryFile.maxLength", "10")
