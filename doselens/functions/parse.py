@@ -22,10 +22,18 @@ def as_column(value: ColumnOrName) -> Column:
 
 
 def try_number(text: ColumnOrName) -> Column:
-    """Text to integer, rounding halves away from zero; bad text is null."""
+    """Text to integer, rounding halves away from zero; bad text is null.
+
+    For counts and measures, which 64 bits hold; keys take ``try_key``.
+    """
     return as_column(text).try_cast("decimal(38,0)").try_cast("bigint")
 
 
+def try_key(text: ColumnOrName) -> Column:
+    """P2 for keys: as ``try_number`` with all 38 digits, so no long id loses its rows."""
+    return as_column(text).try_cast("decimal(38,0)")
+
+
 def try_decimal(text: ColumnOrName, precision: int = 10, scale: int = 2) -> Column:
     """Text to a fixed-point number; bad text and overflow are null."""
     return as_column(text).try_cast(f"decimal({precision},{scale})")

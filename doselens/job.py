@@ -62,7 +62,7 @@ def bronze_tables(spark: SparkSession, bronze: str) -> dict[str, DataFrame]:
 def data_checks(frames: dict[str, DataFrame]) -> DataFrame:
     """T1-T3 on the cleaned rows, and on raw values where cleaning hides them (Q12).
 
-    The last checks count keys too long for 64 bits; their rows join with nothing.
+    The last checks count keys of more than 38 digits; their rows join with nothing.
     """
     cleaned = staging.stg_faers(frames["demo_faers"], frames["drug_faers"])
     summaries = [
@@ -78,7 +78,7 @@ def data_checks(frames: dict[str, DataFrame]) -> DataFrame:
             frames["drug_faers"],
             {
                 "raw_nda_num_is_numeric": checks.not_a_number("nda_num"),
-                "drug_key_fits_64_bits": checks.too_long_a_number(F.concat("caseid", "drug_seq")),
+                "drug_key_fits_38_digits": checks.too_long_a_number(F.concat("caseid", "drug_seq")),
             },
         ),
         checks.summary(
@@ -86,7 +86,7 @@ def data_checks(frames: dict[str, DataFrame]) -> DataFrame:
             {"raw_age_is_realistic": checks.age_out_of_range()},
         ),
         checks.summary(
-            frames["demo_faers"], {"report_key_fits_64_bits": checks.too_long_a_number("primaryid")}
+            frames["demo_faers"], {"report_key_fits_38_digits": checks.too_long_a_number("primaryid")}
         ),
     ]
     return reduce(DataFrame.unionByName, summaries)

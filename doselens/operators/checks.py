@@ -12,12 +12,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parse import ColumnOrName, as_column, try_number
+from ..functions.parse import ColumnOrName, as_column, try_key
 from ..functions.reports import AGE_RANGE
 
 # Dose texts that are allowed to stay unparsed.
 WORDS_ONLY = "^[A-Za-z ]+$"
 
+WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
+
 
 def dose_unparsed() -> Column:
     """A dose text that gave no number although it is not just words."""
@@ -32,13 +34,13 @@ def not_a_number(column: ColumnOrName = "nda_number") -> Column:
     counts what cleaning turns into null.
     """
     text = as_column(column).cast("string")
-    return text.isNotNull() & try_number(text).isNull()
+    return text.isNotNull() & try_key(text).isNull()
 
 
 def too_long_a_number(column: ColumnOrName) -> Column:
-    """A number beyond 64 bits, which cleaning turns into null: its rows find no partner."""
+    """A whole number beyond 38 digits, which cleaning turns into null: its rows find no partner."""
     text = as_column(column)
-    return text.try_cast("decimal(38,0)").isNotNull() & try_number(text).isNull()
+    return try_key(text).isNull() & text.rlike(WHOLE_NUMBER)
 
 
 def age_out_of_range(column: ColumnOrName = "age_in_years") -> Column:

@@ -17,10 +17,12 @@ def reports_with_drugs(demo: DataFrame, drug: DataFrame) -> DataFrame:
 
 
 def drugs_with_products(reports: DataFrame, products: DataFrame) -> DataFrame:
-    """Inner join of a drug's number with a product's application number."""
-    return reports.join(
-        products, reports["nda_number"] == products["application_number"]
-    )
+    """Inner join of a drug's number with a product's application number.
+
+    Application numbers have few digits, so a drug's number beyond 64 bits equals none.
+    """
+    number = reports["nda_number"].try_cast("bigint")
+    return reports.join(products, number == products["application_number"])
 
 
 def on_spine(spine: DataFrame, key: str, *sides: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def _texts(mapping: dict[str, str]) -> list[Column]:
 def clean_demo(demo_faers: DataFrame, date_format: str | None = None) -> DataFrame:
     """Typed report demographics. Ages are not yet range-checked."""
     return demo_faers.select(
-        parse.try_number("primaryid").alias("primary_id"),
+        parse.try_key("primaryid").alias("primary_id"),
         *_texts(DEMO_TEXTS),
         *[
             parse.try_day(source, date_format).alias(name)
@@ -95,11 +95,11 @@ def clean_drug(
     if drug_key is None:
         drug_key = F.concat("caseid", "drug_seq")
     return drug_faers.select(
-        parse.try_number(drug_key).alias("primary_id"),
+        parse.try_key(drug_key).alias("primary_id"),
         *_texts(DRUG_TEXTS),
         reports.code_flag("val_vbm").alias("is_validated_trade_name"),
         parse.try_day("exp_dt", date_format).alias("expiration_date"),
-        parse.try_number("nda_num").alias("nda_number"),
+        parse.try_key("nda_num").alias("nda_number"),
         reports.dose_amount("dose_amt").alias("dose_amount"),
         parse.strict_number("src_year", "int").alias("source_year"),
         parse.strict_number("src_quarter", "int").alias("source_quarter"),

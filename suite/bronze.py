@@ -270,3 +270,29 @@ def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clinical_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_studies(studies(spark, sf_dir))
+
+
+def write_product_documents(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The products as JSON documents, one file each, as many as a shuffle has partitions.
+
+    A document is written line by line in one task, so it is never one value.
+    """
+    number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = openfda_drugs(spark, sf_dir)
+    lines = found.select(
+        F.col("meta.last_updated").alias("day"),
+        F.explode(F.transform("results", lambda result: F.to_json(result))).alias("value"),
+    )
+    lines = lines.withColumn("document", F.pmod(F.xxhash64("value"), F.lit(number)).cast("int"))
+    meta = F.to_json(F.struct(F.max("day").alias("last_updated")))
+    head = lines.groupBy("document").agg(
+        F.concat(F.lit('{"meta": '), meta, F.lit(', "results": [null')).alias("value")
+    )
+    parts = [
+        head.select("document", F.lit(0).alias("place"), "value"),
+        lines.select("document", F.lit(1).alias("place"), F.concat(F.lit(","), "value").alias("value")),
+        head.select("document", F.lit(2).alias("place"), F.lit("]}").alias("value")),
+    ]
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    placed = whole.repartition(number, "document").sortWithinPartitions("document", "place")
+    placed.drop("place").write.partitionBy("document").text(folder)

@@ -6,6 +6,8 @@ result compares equal whichever engine produced it.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,12 +29,22 @@ from . import bronze
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def scratch(spark: SparkSession) -> str:
+    """The shared folder of the cluster; on one machine also a local one, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and spark.sparkContext.master.partition("[")[0] == "local":
+        folder = f"{tempfile.gettempdir()}/doselens"
+    return folder or tables.shared_folder(spark)
+
+
 def shown(frame: DataFrame) -> DataFrame:
-    """Dates and times as text, fixed-point numbers as doubles."""
+    """Dates and times as text, keys as whole numbers, fixed-point numbers as doubles."""
     columns = []
     for field in frame.schema.fields:
         column = F.col(field.name)
-        if isinstance(field.dataType, (DateType, TimestampNTZType)):
+        if isinstance(field.dataType, DecimalType) and not field.dataType.scale:
+            column = column.try_cast("bigint")
+        elif isinstance(field.dataType, (DateType, TimestampNTZType)):
             column = column.cast("string")
         elif isinstance(field.dataType, DecimalType):
             column = column.cast("double")
@@ -255,6 +267,28 @@ def _submission_values(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("field_value", F.col("field_value").cast("string"))
 
 
+LONG = "90000000000000000001"
+
+
+def _long_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """J1 on ids that 64 bits cannot hold: each has 20 digits more than the given one."""
+    demo = bronze.demo_faers(spark, sf).withColumn("primaryid", F.concat(F.lit(LONG), "primaryid"))
+    key = F.concat(F.lit(LONG), "caseid", "drug_seq")
+    joined = staging.stg_faers(demo, bronze.drug_faers(spark, sf), drug_key=key)
+    return joined.select(
+        F.col("primary_id").cast("string").alias("primary_id"), "gender", "drug_name", "source_year"
+    )
+
+
+def _product_document(spark: SparkSession, sf: str) -> DataFrame:
+    """The products out of JSON documents of many results, written from the given parts."""
+    folder = f"{scratch(spark)}/documents_{uuid.uuid4().hex}"
+    bronze.write_product_documents(spark, sf, folder)
+    found = documents.read_product_document(spark, folder, scratch(spark))
+    # The documents begin with a null.
+    return staging.stg_openfda_drugs(found.filter(F.get("results", F.lit(0)).isNotNull()))
+
+
 def _check_summary(spark: SparkSession, sf: str) -> DataFrame:
     return checks.summary(
         _stg_faers(spark, sf),
@@ -380,6 +414,7 @@ def queries() -> dict[str, Query]:
         "p40_sex_label": _lazily(lambda: _of_trials(trials.sex_label("sex").alias("sex_label"))),
         "s01_text_lines": _text_lines,
         "s06_product_lines": lambda s, d: shown(_product_lines(s, d)),
+        "s06_product_document": lambda s, d: shown(_product_document(s, d)),
         "s07_study_pages": _read_studies,
         "s08_census_matrix": _census_matrix,
         "s09_parquet_scan": lambda s, d: shown(tables.read_parquet(s, f"{d}/orders.parquet")),
@@ -389,6 +424,7 @@ def queries() -> dict[str, Query]:
         "s14_table_by_name": _table_by_name,
         "u01_diagonal_union": _diagonal_union,
         "j01_stg_faers": lambda s, d: shown(_stg_faers(s, d)),
+        "j01_long_keys": _long_keys,
         "j02_dim_drug_faers": lambda s, d: shown(_dim_drug(s, d)),
         "j04_openfda_rows": lambda s, d: shown(_products(s, d)),
         "j05_key_value_rows": _submission_values,

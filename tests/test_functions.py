@@ -195,6 +195,9 @@ def test_lenient_functions_survive_without_ansi(spark):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
-def test_keys_beyond_64_bits_are_counted(spark):
-    check(spark, [("12", False), ("9" * 25, True), ("-" + "9" * 19, True), ("x", False), (None, False)],
+def test_keys_of_38_digits(spark):
+    check(spark, [("12", Decimal(12)), ("9" * 25, Decimal("9" * 25)), ("12.5", Decimal(13)), ("-" + "9" * 38, Decimal("-" + "9" * 38)),
+                  ("9" * 39, None), ("x", None), (None, None)], "s string", parse.try_key("s"))
+    check(spark, [("12", False), ("9" * 38, False), ("9" * 39, True), (" -" + "1" * 39, True), ("0" * 50, False),
+                  ("x", False), (None, False)],
           "s string", F.coalesce(checks.too_long_a_number("s"), F.lit(False)))

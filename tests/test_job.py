@@ -67,7 +67,7 @@ def test_flow_from_files_to_reports(spark, tmp_path):
     assert {r.check_name: r.violations for r in written["data_checks"].collect()} == {
         "dose_amount_is_numeric": 1, "nda_number_is_numeric": 0, "age_is_realistic": 0,
         "raw_nda_num_is_numeric": 1, "raw_age_is_realistic": 1,
-        "drug_key_fits_64_bits": 0, "report_key_fits_64_bits": 0}
+        "drug_key_fits_38_digits": 0, "report_key_fits_38_digits": 0}
     assert spark.read.parquet(f"{bronze}/reac_faers").count() == 1
     assert spark.read.parquet(f"{bronze}/rejected_studies").count() == 1
     assert spark.read.parquet(f"{bronze}/rejected_pages").count() == 1

