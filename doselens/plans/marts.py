@@ -146,6 +146,14 @@ def report_cells_counted(
         .groupBy("nda_number", *keys, "source_year", "gender")
         .agg(F.sum("uses").alias("rows"), *youngest)
     )
+    return cells_with_products(per_drug, stg_openfda_drugs, by_age)
+
+
+def cells_with_products(
+    per_drug: DataFrame, stg_openfda_drugs: DataFrame, by_age: bool = True
+) -> DataFrame:
+    """Cells from counted rows of each application number, whose products are counted first."""
+    keys = ["age_group"] if by_age else []
     products = (
         known(stg_openfda_drugs, "application_number")
         .groupBy("application_number", "active_ingredient_name", "brand_name")

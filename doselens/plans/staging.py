@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,9 +69,15 @@ def _texts(mapping: dict[str, str]) -> list[Column]:
     return [F.col(source).cast("string").alias(name) for name, source in mapping.items()]
 
 
-def clean_demo(demo_faers: DataFrame, date_format: str | None = None) -> DataFrame:
-    """Typed report demographics. Ages are not yet range-checked."""
+def clean_demo(
+    demo_faers: DataFrame, date_format: str | None = None, keep: Sequence[Column] = ()
+) -> DataFrame:
+    """Typed report demographics. Ages are not yet range-checked.
+
+    ``keep`` names more columns of the source to carry along.
+    """
     return demo_faers.select(
+        *keep,
         parse.try_key("primaryid").alias("primary_id"),
         *_texts(DEMO_TEXTS),
         *[
@@ -86,15 +94,18 @@ def clean_drug(
     drug_faers: DataFrame,
     drug_key: Column | None = None,
     date_format: str | None = None,
+    keep: Sequence[Column] = (),
 ) -> DataFrame:
     """Typed report drugs.
 
     The key is the case id followed by the drug's sequence number (Q2);
-    ``drug_key`` gives another text to take the number from.
+    ``drug_key`` gives another text to take the number from, ``keep`` more columns to
+    carry along.
     """
     if drug_key is None:
         drug_key = F.concat("caseid", "drug_seq")
     return drug_faers.select(
+        *keep,
         parse.try_key(drug_key).alias("primary_id"),
         *_texts(DRUG_TEXTS),
         reports.code_flag("val_vbm").alias("is_validated_trade_name"),
