@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import reports, trials
 from ..functions.census import BROAD_AGE_BANDS, POPULATION_COLUMNS
+from ..operators.distinct import member_cells
 from ..operators.filters import known
 from ..operators.joins import drugs_with_products, reports_with_drugs
 from .staging import clean_demo, clean_drug
@@ -209,6 +210,19 @@ def rpt_faers_gender(dim: DataFrame, distinct_reports: bool = False) -> DataFram
     return counted.select(*labelled(DRUG_LABELS), "report_count", *extra)
 
 
+def report_members(dim: DataFrame, work: str) -> DataFrame:
+    """Which reports stand in each cell of the drug reports, labelled like them.
+
+    Filters of the reports (F2) hold for these cells too, and ``distinct_members`` counts the
+    different reports that are left, in all or by any of the keys.
+    """
+    labels = {key: DRUG_LABELS[key] for key in REPORT_KEYS}
+    rows = dim.select(
+        reports.age_group("age_in_years").alias("age_group"), *labelled(labels), "primary_id"
+    )
+    return member_cells(rows, ["age_group", *REPORT_KEYS], "primary_id", work)
+
+
 def rpt_faers_age_distribution_counted(
     demo_faers: DataFrame,
     drug_faers: DataFrame,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.reports import AGE_GROUPS
 from ..functions.trials import ELIGIBILITY_BUCKETS, sex_label
 from ..operators import aggregates as agg
+from ..operators.distinct import distinct_members
 from ..operators.filters import member_of
 from ..operators.joins import on_spine
 
@@ -89,6 +90,17 @@ def headline(age: DataFrame, census: DataFrame, trials: DataFrame) -> DataFrame:
     return agg.column_totals(stacked, figures).withColumn("reports_per_100k", rate)
 
 
+def distinct_headline(members: DataFrame) -> DataFrame:
+    """M13 with Q9: the different reports behind the selected cells, and by gender and year.
+
+    ``members`` are the cells of ``marts.report_members`` after ``select_faers``. A row for
+    each gender and year, and one of nulls for all of them, which is not their sum.
+    """
+    everything = distinct_members(members, name="distinct_reports")
+    by_key = distinct_members(members, ["gender", "source_year"], "distinct_reports")
+    return by_key.unionByName(everything, allowMissingColumns=True)
+
+
 def label_spine(spark: SparkSession, key: str, labels: Sequence[str]) -> DataFrame:
     """O3: a fixed label list with its order."""
     listed = F.array(*[F.lit(label) for label in labels])

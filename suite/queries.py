@@ -18,6 +18,7 @@ from doselens import job
 from doselens.functions import census, parse, products, reports, trials
 from doselens.operators import aggregates as agg
 from doselens.operators import checks
+from doselens.operators.distinct import distinct_members
 from doselens.operators.filters import known
 from doselens.operators.flatten import flatten_studies, result_rows
 from doselens.plans import maintained, marts, staging
@@ -333,6 +334,19 @@ def _selected_headline(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _distinct_selected(spark: SparkSession, sf: str) -> DataFrame:
+    members = marts.report_members(_dim_drug(spark, sf), scratch(spark))
+    selected = report_plans.select_faers(
+        members, years=[1996, 1997], genders=["F", "UNK"], ingredients=["red", "bolt", "ring", "gizmo"]
+    )
+    return report_plans.distinct_headline(selected)
+
+
+def _distinct_by_age(spark: SparkSession, sf: str) -> DataFrame:
+    members = marts.report_members(_dim_drug(spark, sf), scratch(spark))
+    return distinct_members(members, ["age_group"], "distinct_reports")
+
+
 def queries() -> dict[str, Query]:
     from_trials = lambda *names: lambda s, d: shown(_dim_trials(s, d).select(*names))
     return {
@@ -493,6 +507,7 @@ def queries() -> dict[str, Query]:
         "a08_age_totals": lambda s, d: agg.regrouped(
             _age_counted(s, d), "age_group", "report_count"
         ),
+        "a08_distinct_reports_by_age": _distinct_by_age,
         "a09_population_totals": lambda s, d: agg.column_totals(
             _population(s, d), report_plans.POPULATION
         ),
@@ -508,6 +523,7 @@ def queries() -> dict[str, Query]:
             _age_counted(s, d), _population(s, d), _trial_counts(s, d)
         ),
         "m13_headline_selected": _selected_headline,
+        "m13_distinct_selected": _distinct_selected,
         "m14_age_compare": lambda s, d: report_plans.age_comparison(
             _age_counted(s, d), _population(s, d)
         ),
