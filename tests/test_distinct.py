@@ -55,9 +55,9 @@ def test_distinct_headline_under_filters(spark, tmp_path):
     demo, drug, products = small_bronze(spark)
     dim = marts.dim_drug_faers(staging.stg_faers(demo, drug), products)
     members = marts.report_members(dim, str(tmp_path))
-    chosen = reports.select_faers(members, years=[2012], brands=["brand1", "brand3"])
+    chosen = reports.select_faers(members, years=[2013], brands=["brand1", "brand3"])
     rows = {(r.gender, r.source_year): r.distinct_reports for r in reports.distinct_headline(chosen).collect()}
-    wanted = dim.filter("source_year = 2012 and brand_name in ('brand1', 'brand3')")
+    wanted = dim.filter("source_year = 2013 and brand_name in ('brand1', 'brand3')")
     wanted = wanted.withColumn("gender", F.coalesce("gender", F.lit("UNK")))
     expected = counted(wanted, ["gender", "source_year"], "primary_id")
     expected[None, None] = wanted.select("primary_id").distinct().count()
