@@ -52,6 +52,10 @@ SLACK = 24
 """Shingles of a sketch beyond the shortest prefix, besides a twentieth of the set."""
 CHEAP = 8
 """Partners a set may look at without lengthening its prefix further."""
+DEAR = 32
+"""Sets that have a token, from which on a pair that meets in it is told once only."""
+TOLD = 12
+"""Such tokens that a row carries; two sets with others in common are told more than once."""
 BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 17
 """A block holds about so many sets, and fewer if they are large."""
 TOKEN_BITS = 48
@@ -206,37 +210,54 @@ def choose_prefix(
     return best[1:]
 
 
+def _earlier(tokens: np.ndarray, marked: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
+    """The last ``TOLD`` marked tokens before each place."""
+    chosen = tokens[marked]
+    ends = np.cumsum(marked) - marked
+    return [chosen[max(0, end - TOLD) : end] for end in ends[places].tolist()]
+
+
 def _prefixes(grouped: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Prefix rows of each set: those marked ``looks`` are looked for, all can be found."""
+    """Prefix rows of each set: those marked ``looks`` are looked for, all can be found.
+
+    ``main`` marks rows of the cluster that has most of the token's sets. ``sought`` and
+    ``sure`` are the set's dear tokens before this one that it looks for, and that
+    every other set finds it by: where two sets have one of them in common, they met there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            out: list[list] = [[] for _ in range(8)]
+            out: list[list] = [[] for _ in range(11)]
             for row in batch.to_pylist():
                 tokens, first = np.unique(np.array(row["tokens"], np.int64), return_index=True)
                 places = np.array(row["places"], np.int64)[first]
                 costs = np.array(row["costs"], np.int64)[first]
+                own = np.array(row["mains"], np.int64)[first] == row["cluster"]
                 matches, inside, kept = choose_prefix(row["n"], places, costs, threshold)
                 looks = np.zeros(len(tokens), bool)
                 looks[kept] = True
                 count = len(inside)
                 shortest = int(_shortest(row["n"], threshold))
+                sought = _earlier(tokens, looks & (costs >= DEAR), inside)
+                sure = _earlier(tokens, (places < shortest) & (costs >= DEAR), inside)
                 values = (
                     tokens[inside], [row["id"]] * count, [row["cluster"]] * count, [row["n"]] * count,
-                    [matches] * count, places[inside], [shortest] * count, looks[inside],
+                    [matches] * count, places[inside], [shortest] * count, looks[inside], own[inside],
+                    sought, sure,
                 )
                 for column, value in zip(out, values, strict=True):
                     column.extend(value)
-            kinds = [pa.int64()] * 4 + [pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
+            kinds = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.bool_()] * 2 + [pa.list_(pa.int64())] * 2
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
-                names=["token", "id", "cluster", "n", "matches", "place", "shortest", "looks"],
-            )
+                names=["token", "id", "cluster", "n", "matches", "place", "shortest", "looks", "main",
+                       "sought", "sure"],
+            )
 
     return grouped.mapInArrow(
         run,
-        "token bigint, id bigint, cluster bigint, n bigint, matches int, place int, "
-        "shortest int, looks boolean",
+        "token bigint, id bigint, cluster bigint, n bigint, matches int, place int, shortest int, "
+        "looks boolean, main boolean, sought array<bigint>, sure array<bigint>",
     )
 
 
@@ -281,15 +302,21 @@ def _candidates(
     )
     named = shared.select("token", "id", "place").join(placed, "id")
     across = (
-        named.groupBy("token")
-        .agg(F.min("cluster").alias("_low"), F.max("cluster").alias("_high"), F.count("*").alias("cost"))
-        .where("_low < _high")
-        .select("token", "cost")
+        named.groupBy("token", "cluster")
+        .agg(F.count("*").alias("sets"))
+        .groupBy("token")
+        .agg(
+            F.sum("sets").alias("cost"),
+            F.count("*").alias("_clusters"),
+            F.max_by("cluster", F.struct("sets", "cluster")).alias("main"),
+        )
+        .where("_clusters > 1")
+        .select("token", "cost", "main")
     )
     grouped = (
         named.join(across, "token")
         .groupBy("id", "cluster", "n")
-        .agg(F.collect_list(F.struct("token", "place", "cost")).alias("rows"))
+        .agg(F.collect_list(F.struct("token", "place", "cost", "main")).alias("rows"))
         .select(
             "id",
             "cluster",
@@ -297,25 +324,32 @@ def _candidates(
             F.col("rows.token").alias("tokens"),
             F.col("rows.place").alias("places"),
             F.col("rows.cost").alias("costs"),
+            F.col("rows.main").alias("mains"),
         )
     )
     grouped = materialize(grouped, "sketch-groups")
     prefixes = materialize(_prefixes(grouped, threshold), "prefixes")
     low, high = threshold
-    look, found = prefixes.where("looks").alias("p"), prefixes.alias("q")
     fits = (
         (F.col("p.token") == F.col("q.token"))
         & (F.col("p.cluster") != F.col("q.cluster"))
-        & (F.col("q.matches") >= F.col("p.matches"))
+        & ((F.col("q.matches") > F.col("p.matches"))
+           | ((F.col("q.matches") == F.col("p.matches")) & (F.col("p.id") < F.col("q.id"))))
         & (F.col("q.place") < F.col("q.shortest") + F.col("p.matches") - 1)
         & (high * F.col("p.n") >= low * F.col("q.n"))
         & (high * F.col("q.n") >= low * F.col("p.n"))
+        & ~F.arrays_overlap("p.sought", "q.sure")
+    )
+
+    def met(looking: DataFrame, found: DataFrame) -> DataFrame:
+        pairs = looking.drop("sure").alias("p").join(found.drop("sought").alias("q"), fits)
+        return pairs.select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b"))
+
+    # The sets of the cluster that has most of a token's are not led past one another.
+    pairs = met(prefixes.where("looks and not main"), prefixes).unionByName(
+        met(prefixes.where("looks and main"), prefixes.where("not main"))
     )
-    pairs = (
-        look.join(found, fits)
-        .select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b"))
-        .distinct()
-    )
+    pairs = pairs.distinct()
     kept = materialize(_enough_matches(grouped, pairs, threshold), "candidates")
     discard(prefixes, grouped)
     return kept
@@ -369,6 +403,80 @@ def _block_tasks(clusters: DataFrame, own: DataFrame, threshold: tuple[int, int]
     return blocks.select("task", "side", "id")
 
 
+def _stars(clusters: DataFrame) -> DataFrame:
+    """Tasks that compare the sets of a cluster with its smallest one: task, side, id."""
+    blocks = F.ceil(F.count("*") / BLOCK_SETS).cast("int")
+    counted = clusters.groupBy("cluster").agg(blocks.alias("blocks"))
+    block = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    sides = clusters.join(counted, "cluster").where("id != cluster").select(
+        F.concat_ws(":", F.lit("star"), "cluster", block).alias("task"), F.lit(1).alias("side"), "id"
+    )
+    centres = counted.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        F.concat_ws(":", F.lit("star"), "cluster", "block").alias("task"),
+        F.lit(0).alias("side"),
+        F.col("cluster").alias("id"),
+    )
+    return sides.unionByName(centres)
+
+
+def _ring_tasks(
+    clusters: DataFrame, own: DataFrame, stars: DataFrame, threshold: tuple[int, int]
+) -> DataFrame:
+    """What is left to compare of clusters whose sets were compared with their centre.
+
+    Sets linked with the centre are connected, so pairs of them are left out. One minus
+    the similarity is a metric: of linked sets the distances to the centre differ by no more
+    than the largest distance of a link. Rings are half as wide, so sets three rings
+    apart are not linked. Sizes are sorted into classes as in ``_block_tasks``.
+    """
+    low, high = threshold
+    step = float(np.log(1.01 * high / low))
+    member = clusters.join(own.select("id", "n"), "id").join(stars, "id", "left").select(
+        "cluster",
+        "id",
+        F.floor(F.log(F.col("n").cast("double")) / step).cast("int").alias("size_class"),
+        F.coalesce(high * F.col("common") >= low * F.col("union"), F.lit(True)).alias("linked"),
+        F.coalesce(F.expr(f"(2 * {high} * (union - common)) div ({high - low} * union)"), F.lit(0))
+        .cast("int").alias("ring"),
+    )
+    cell = ["cluster", "size_class", "linked", "ring"]
+    room = F.greatest(
+        F.lit(4.0),
+        F.least(F.lit(float(BLOCK_SETS)), BLOCK_SHINGLES / F.exp((F.col("size_class") + 1) * step)),
+    )
+    cells = member.groupBy(*cell).count().withColumn("blocks", F.ceil(F.col("count") / room).cast("int"))
+    cells = materialize(cells, "cells")
+    member = member.join(cells.drop("count"), cell)
+    member = member.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+
+    near = cells.withColumn("up", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
+        "out", F.explode(F.sequence(F.lit(-2), F.lit(2)))
+    )
+    near = near.select(
+        *cell, "blocks", (F.col("size_class") + F.col("up")).alias("class2"), (F.col("ring") + F.col("out")).alias("ring2")
+    )
+    others = cells.select(
+        "cluster", F.col("size_class").alias("class2"), F.col("ring").alias("ring2"),
+        F.col("linked").alias("linked2"), F.col("blocks").alias("blocks2"),
+    )
+    # Cells of one size class are paired once, in the order of ring and link.
+    once = (F.col("class2") > F.col("size_class")) | (F.struct("ring2", "linked2") >= F.struct("ring", "linked"))
+    paired = near.join(others, ["cluster", "class2", "ring2"]).where(once & ~(F.col("linked") & F.col("linked2")))
+    same = (F.col("class2") == F.col("size_class")) & (F.col("ring2") == F.col("ring")) & (F.col("linked2") == F.col("linked"))
+    paired = paired.withColumn("same", same).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    first = F.when(F.col("same"), F.col("i")).otherwise(0)
+    paired = paired.withColumn("j", F.explode(F.sequence(first, F.col("blocks2") - 1)))
+    paired = paired.withColumn(
+        "task", F.concat_ws(":", F.lit("ring"), *(F.col(c).cast("string") for c in (*cell, "i", "class2", "linked2", "ring2", "j")))
+    )
+    one = paired.select(*cell, F.col("i").alias("block"), "task", F.lit(0).alias("side"))
+    two = paired.where("not same or i != j").select(
+        "cluster", F.col("class2").alias("size_class"), F.col("linked2").alias("linked"),
+        F.col("ring2").alias("ring"), F.col("j").alias("block"), "task", F.lit(1).alias("side"),
+    )
+    return one.unionByName(two).join(member, [*cell, "block"]).select("task", "side", "id")
+
+
 def _wanted_texts(documents: DataFrame, ids: DataFrame, key: str, text: str) -> DataFrame:
     """Id and text of the wanted documents.
 
@@ -454,12 +562,21 @@ def _compare(
 
     ``give`` is "span" for links that span what is linked, "count" for those and, with a
     null for other, the number of documents each set is linked with, or "pairs" for all links.
+    "star" gives each set of side 1 with its common shingles with, and those of the union with,
+    the set of side 0.
     """
 
     def links(rows: list[tuple[int, int, int, str]]) -> list[tuple[int, int | None, int | None]]:
         if len(rows) < 2:
             return []
         found = [shingle_set(text or "", width) for *_, text in rows]
+        if give == "star":
+            centre = next(f for row, f in zip(rows, found, strict=True) if not row[0])
+            common = [len(np.intersect1d(centre, f, assume_unique=True)) for f in found]
+            return [
+                (row[1], k, len(centre) + len(f) - k)
+                for row, f, k in zip(rows, found, common, strict=True) if row[0]
+            ]
         ids = np.array([row[1] for row in rows])
         linked = linked_sets(found, np.array([row[0] for row in rows]), threshold)
         if give == "span":
@@ -523,14 +640,38 @@ def _join(
     pair_tasks = pair_tasks.unionByName(
         pairs.select(named.alias("task"), F.lit(1).alias("side"), F.col("b").alias("id"))
     )
-    tasks = materialize(_block_tasks(clusters, own, threshold).unionByName(pair_tasks), "tasks")
-    ids = materialize(tasks.select("id").distinct(), "wanted")
+    ids = clusters.select("id").unionByName(pair_tasks.select("id")).distinct()
+    ids = materialize(ids, "wanted")
     if give == "count":
         known = members.where("doc_id is not null and id is not null")
         ids = ids.join(known.groupBy("id").agg(F.count("*").alias("copies")), "id")
         ids = materialize(ids, "wanted-copies")
     wanted = _wanted_texts(documents, ids, key, text)
-    return members, wanted, _compare(tasks, wanted, threshold, width, give)
+    if give != "span":
+        tasks = materialize(_block_tasks(clusters, own, threshold).unionByName(pair_tasks), "tasks")
+        return members, wanted, _compare(tasks, wanted, threshold, width, give)
+
+    # A cluster of more than a block is compared with its centre first, unless an id
+    # of it stands for several texts: their distances say nothing about one another.
+    several = wanted.groupBy("id").agg(F.count_distinct(F.xxhash64("text")).alias("texts"))
+    sized = clusters.join(several, "id", "left").groupBy("cluster")
+    sized = sized.agg(((F.count("*") > BLOCK_SETS) & (F.max("texts") <= 1)).alias("large"))
+    sized = materialize(clusters.join(sized, "cluster"), "sized-clusters")
+    small, large = (sized.where(F.col("large") == flag).drop("large") for flag in (False, True))
+    tasks = _block_tasks(small, own, threshold).unionByName(pair_tasks)
+    if large.isEmpty():
+        return members, wanted, _compare(materialize(tasks, "tasks"), wanted, threshold, width, give)
+    stars = _compare(materialize(_stars(large), "star-tasks"), wanted, threshold, width, "star")
+    stars = stars.groupBy(F.col("node").alias("id")).agg(
+        F.max("other").alias("common"), F.max("links").alias("union")
+    )
+    stars = materialize(stars, "stars")
+    tasks = materialize(tasks.unionByName(_ring_tasks(large, own, stars, threshold)), "tasks")
+    low, high = threshold
+    to_centre = large.join(stars, "id").where(high * F.col("common") >= low * F.col("union")).select(
+        F.col("id").alias("node"), F.col("cluster").alias("other"), F.lit(None).cast("bigint").alias("links")
+    )
+    return members, wanted, _compare(tasks, wanted, threshold, width, give).unionByName(to_centre)
 
 
 def jaccard_components(
