@@ -34,7 +34,8 @@ DRUG_QUARTER = ("drug_year", "drug_quarter")
 CELL_KEYS = [*DEMO_QUARTER, *DRUG_QUARTER, "nda_number", "gender", "age_group"]
 CELLS = (
     "demo_year int, demo_quarter int, drug_year int, drug_quarter int, nda_number decimal(38,0), "
-    "gender string, age_group string, rows bigint, unparsed_doses bigint, youngest int"
+    "gender string, age_group string, rows bigint, unparsed_doses bigint, unread_numbers bigint, "
+    "unlikely_ages bigint, youngest int"
 )
 VERSIONS = "side string, src_year int, src_quarter int, version bigint"
 SIDES = {"demo": "demo_faers", "drug": "drug_faers"}
@@ -61,8 +62,8 @@ def joined_cells(
 ) -> DataFrame:
     """Rows of J1 counted by both quarters, application number, gender and age group.
 
-    Drugs are counted by their own keys first. ``unparsed_doses`` counts the rows that
-    violate T1, so the check costs no scan of its own.
+    Drugs are counted by their own keys first. The rows that violate T1 to T3 are counted
+    with them, so the checks cost no scan of their own.
     """
     age = reports.in_range("age_in_years")
     people = known(staging.clean_demo(demo_faers, keep=_quarter(DEMO_QUARTER)), "primary_id")
@@ -72,7 +73,9 @@ def joined_cells(
         staging.clean_drug(drug_faers, drug_key, keep=_quarter(DRUG_QUARTER)), "primary_id"
     )
     uses = drugs.groupBy("primary_id", "nda_number", *DRUG_QUARTER).agg(
-        F.count("*").alias("uses"), F.count_if(checks.dose_unparsed()).alias("unparsed")
+        F.count("*").alias("uses"),
+        F.count_if(checks.dose_unparsed()).alias("unparsed"),
+        F.count_if(checks.not_a_number()).alias("unread"),
     )
     return (
         reports_with_drugs(people, uses)
@@ -80,6 +83,8 @@ def joined_cells(
         .agg(
             F.sum("uses").alias("rows"),
             F.sum("unparsed").alias("unparsed_doses"),
+            F.sum("unread").alias("unread_numbers"),
+            F.sum(F.when(checks.age_out_of_range("age"), F.col("uses")).otherwise(0)).alias("unlikely_ages"),
             F.min("age").alias("youngest"),
         )
     )
@@ -113,6 +118,21 @@ def report_cells(cells: DataFrame, stg_openfda_drugs: DataFrame) -> DataFrame:
     return marts.cells_with_products(per_drug, stg_openfda_drugs)
 
 
+CELL_CHECKS = {
+    "dose_amount_is_numeric": "unparsed_doses",
+    "nda_number_is_numeric": "unread_numbers",
+    "age_is_realistic": "unlikely_ages",
+}
+
+
+def cell_checks(cells: DataFrame) -> DataFrame:
+    """T1-T3 on the rows of J1, a row for each check, from the counts in the cells."""
+    totals = cells.agg(
+        *[F.coalesce(F.sum(column), F.lit(0)).alias(name) for name, column in CELL_CHECKS.items()]
+    )
+    return totals.unpivot([], list(CELL_CHECKS), "check_name", "violations")
+
+
 def quarter_versions(spark: SparkSession, path: str) -> dict[Quarter, int]:
     """The version of each quarter below a folder of ``write_quarters``, from its listing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -186,16 +186,19 @@ def write_parquet(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").parquet(path)
 
 
-def write_quarters(frame: DataFrame, path: str) -> None:
+def write_quarters(
+    frame: DataFrame, path: str, watch: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
     """K2: one partition per quarter; only the quarters present are replaced.
 
     The rebalance hint gathers the rows of a quarter into files of even size
     and lets adaptive execution split a quarter that is much larger than the
-    others.
+    others. ``watch`` may observe the rows in the tasks that write them.
     """
     keys = ("src_year", "src_quarter")
+    rows = frame.hint("rebalance", *keys)
     (
-        frame.hint("rebalance", *keys)
+        (watch(rows) if watch else rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)

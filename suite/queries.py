@@ -24,6 +24,7 @@ from doselens.operators.flatten import flatten_studies, result_rows
 from doselens.plans import maintained, marts, staging
 from doselens.plans import reports as report_plans
 from doselens.sources import archives, documents, tables
+from doselens.streaming import refresh
 
 from . import bronze
 
@@ -324,6 +325,17 @@ def _check_summary(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _checks_at_write(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw checks by quarter, counted by the jobs that write the quarters."""
+    folder = f"{scratch(spark)}/checked_{uuid.uuid4().hex}"
+    sources = {"DEMO": bronze.demo_faers(spark, sf), "DRUG": bronze.drug_faers(spark, sf)}
+    for table, frame in sources.items():
+        quarters = {tuple(r) for r in frame.select("src_year", "src_quarter").distinct().collect()}
+        found = refresh.write_checked(frame, f"{folder}/{table.lower()}_faers", table, quarters)
+        refresh.record_checks(spark, folder, table, quarters, found)
+    return refresh.read_checks(spark, folder)
+
+
 def _selected_headline(spark: SparkSession, sf: str) -> DataFrame:
     return report_plans.headline(
         report_plans.select_faers(_age_counted(spark, sf), years=[1996, 1997], genders=["F"]),
@@ -499,6 +511,7 @@ def queries() -> dict[str, Query]:
         ),
         "t04_check_summary": _check_summary,
         "t05_raw_check_summary": _raw_check_summary,
+        "t06_checks_at_write": _checks_at_write,
         "f01_known_ages": lambda s, d: known(_ages(s, d), "age_in_years"),
         "f02_selected_reports": lambda s, d: report_plans.select_faers(
             _gender(s, d), years=[1996, 1998], genders=["M", "UNK"],
