@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from ..functions.census import BROAD_AGE_BANDS, POPULATION_COLUMNS
 from ..operators.distinct import member_cells
 from ..operators.filters import known
 from ..operators.joins import drugs_with_products, reports_with_drugs
+from ..operators.selection import selected_medians
 from .staging import clean_demo, clean_drug
 
 # The columns of the dimension tables, in order.
@@ -297,12 +301,19 @@ def trial_counts(dim_clinical_trials: DataFrame) -> DataFrame:
     return _trial_labels(counted)
 
 
-def rpt_clinical_trials(dim_clinical_trials: DataFrame) -> DataFrame:
+def _written(frame: DataFrame, folder: str) -> DataFrame:
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
+def rpt_clinical_trials(dim_clinical_trials: DataFrame, work: str | None = None) -> DataFrame:
     """Study counts and measures by nine keys.
 
     An exact median needs every different value of a group in one place. The
     values are therefore counted first, spread over all tasks, so that a group
-    with a large part of all studies arrives as its different values only.
+    with a large part of all studies arrives as its different values only. With
+    ``work``, a shared folder the counted values are written to, medians are selected
+    in rounds instead, and no task meets more of a group than the bins of a round.
     """
     keyed, keys = _trial_keys(dim_clinical_trials)
     values = (
@@ -310,6 +321,8 @@ def rpt_clinical_trials(dim_clinical_trials: DataFrame) -> DataFrame:
         .groupBy(*keys, "measure", "value")
         .agg(F.count("*").alias("studies"), F.sum("location_count").alias("locations"))
     )
+    if work is not None:
+        values = _written(values, f"{work}/trial_values_{uuid.uuid4().hex}")
     value, studies = F.col("value"), F.col("studies")
 
     def of(measure: str, column: Column) -> Column:
@@ -329,8 +342,18 @@ def rpt_clinical_trials(dim_clinical_trials: DataFrame) -> DataFrame:
         *[
             F.percentile(of(m, value), 0.5, studies).alias(f"median_{name}")
             for m, name in TRIAL_MEASURES.items()
+            if work is None
         ],
         F.sum(of(each_study, F.col("locations"))).alias("total_locations"),
     )
+    if work is not None:
+        selected = selected_medians(values, [*keys, "measure"], "value", "studies")
+        medians = selected.groupBy(*keys).agg(
+            *[F.max(of(m, F.col("median"))).alias(f"median_{name}") for m, name in TRIAL_MEASURES.items()]
+        )
+        # Null keys are groups too.
+        named = medians.select(*[F.col(k).alias(f"_{k}") for k in keys], *medians.columns[len(keys) :])
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        counted = counted.join(named, same, "left").drop(*[f"_{k}" for k in keys])
     drug_studies = F.when(F.col("has_drug_intervention"), F.col("study_count")).otherwise(0)
     return _trial_labels(counted.withColumn("drug_study_count", drug_studies))

@@ -500,6 +500,9 @@ def queries() -> dict[str, Query]:
         ),
         "m11_census_by_state": _population,
         "m12_trials_report": _trials,
+        "m12_trials_selected_medians": lambda s, d: marts.rpt_clinical_trials(
+            _dim_trials(s, d), scratch(s)
+        ),
         "t01_dose_check": lambda s, d: shown(checks.violations(
             _stg_faers(s, d), checks.dose_unparsed(), "dose_amount", "dose_amt_raw"
         )),
