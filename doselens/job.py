@@ -8,7 +8,8 @@ The package must be importable on the executors (``--py-files``), which unzip.
 documents), ``census`` (county matrices) and ``trials`` (study pages). ``SHARED``
 and ``TABLES`` are folders the whole cluster shares. ``BRONZE/load_status`` tells
 what became of every landed archive, ``BRONZE/rejected_pages`` and
-``BRONZE/rejected_studies`` what could not be read of the trials.
+``BRONZE/rejected_studies`` what could not be read of the trials, ``BRONZE/page_faults``
+which pages are missing where they are named by their token (``page-TOKEN.json``).
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ def ingest(spark: SparkSession, landing: str, bronze: str, work: str | None = No
     """Landed files to bronze; archives that were ingested before are left alone."""
     refresh_quarters(spark, f"{landing}/faers", FAERS_TABLES, bronze, work)
     pages = documents.read_study_pages(spark, f"{landing}/trials")
-    tables.write_parquet(documents.kept_studies(documents.parse_studies(pages)), f"{bronze}/studies")
+    parsed = documents.latest_studies(documents.parse_studies(pages))
+    tables.write_parquet(documents.kept_studies(parsed), f"{bronze}/studies")
     studies = tables.read_parquet(spark, f"{bronze}/studies")
     products = documents.read_product_document(spark, f"{landing}/drugs", work)
     frames = {
@@ -43,6 +45,7 @@ def ingest(spark: SparkSession, landing: str, bronze: str, work: str | None = No
         "clinical_trials": documents.clinical_trials(studies),
         "rejected_studies": documents.rejected_studies(studies),
         "rejected_pages": documents.rejected_pages(pages),
+        "page_faults": documents.chain_faults(documents.landed_pages(pages)),
     }
     for name, frame in frames.items():
         tables.write_parquet(frame, f"{bronze}/{name}")

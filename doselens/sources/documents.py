@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +86,78 @@ def read_study_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STUDY_PAGE).json(path, multiLine=True)
 
 
+PAGE_NAME = r"(?:^|/)page-([^/]*)\.json$"
+"""A landed page is named by the token it was asked for with; the first has none."""
+
+
+def landed_pages(pages: DataFrame) -> DataFrame:
+    """Path, own token and next token of pages that are named by their token (``PAGE_NAME``).
+
+    ``pages`` still has the file's ``_metadata``, as ``read_study_pages`` gives it.
+    """
+    path = F.url_decode(F.col("_metadata.file_path"))
+    token = F.regexp_extract(path, PAGE_NAME, 1)
+    return pages.select(
+        path.alias("path"), F.nullif(token, F.lit("")).alias("page_token"), "nextPageToken"
+    ).filter(F.col("path").rlike(PAGE_NAME))
+
+
+def chain_faults(pages: DataFrame) -> DataFrame:
+    """What is wrong with a chain of pages, a row for each fault: ``fault``, ``token``, ``pages``.
+
+    Each page but the first is named once by another's next token, one page has none, and
+    a page stands there once. A removed page is told as MISSING_PAGE with its token. A
+    page that cannot be read names no next one, so it counts among the last pages, and
+    the one after it is unnamed. ``pages`` has ``page_token`` and ``nextPageToken``; the
+    tokens are compared by joins, so a chain may have any length.
+    """
+    own = pages.groupBy(F.col("page_token").alias("token")).agg(F.count("*").alias("pages"))
+    named = pages.groupBy(F.col("nextPageToken").alias("token")).agg(F.count("*").alias("pages"))
+    known, pointers = own.filter("token is not null"), named.filter("token is not null")
+
+    def told(fault: str, rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit(fault).alias("fault"), "token", "pages")
+
+    ends = pages.agg(
+        F.count("*").alias("all_pages"),
+        F.count_if(F.col("page_token").isNull()).alias("first_pages"),
+        F.count_if(F.col("nextPageToken").isNull()).alias("last_pages"),
+    )
+    nothing = F.lit(None).cast("string").alias("token")
+    faults = [
+        told("MISSING_PAGE", pointers.join(known, "token", "left_anti")),
+        told("UNNAMED_PAGE", known.join(pointers, "token", "left_anti")),
+        told("REPEATED_PAGE", known.filter("pages > 1")),
+        told("REPEATED_POINTER", pointers.filter("pages > 1")),
+        *[
+            told(fault, ends.filter(test).select(nothing, F.col(count).alias("pages")))
+            for fault, count, test in (
+                ("NO_FIRST_PAGE", "first_pages", "all_pages > 0 and first_pages = 0"),
+                ("SEVERAL_FIRST_PAGES", "first_pages", "first_pages > 1"),
+                ("NO_LAST_PAGE", "last_pages", "all_pages > 0 and last_pages = 0"),
+                ("SEVERAL_LAST_PAGES", "last_pages", "last_pages > 1"),
+            )
+        ],
+    ]
+    return reduce(DataFrame.unionByName, faults)
+
+
+def latest_studies(parsed: DataFrame) -> DataFrame:
+    """One row for each study of ``parse_studies`` that several pages hold.
+
+    The one updated last is kept, an accepted one before a rejected one. Studies without
+    a readable id are kept as they are. Copies meet in the map tasks first.
+    """
+    identity = "identificationModule.nctId"
+    nct_id = F.try_variant_get("raw", f"$.protocolSection.{identity}", "string")
+    updated = F.col("study.protocolSection.statusModule.lastUpdatePostDateStruct.date")
+    rank = F.struct(~F.col("rejected"), updated, F.xxhash64(F.to_json("study")))
+    keyed = parsed.withColumn("nct_id", nct_id)
+    named = keyed.filter(F.col("nct_id").isNotNull()).groupBy("nct_id")
+    chosen = named.agg(F.max_by(F.struct("raw", "study", "rejected"), rank).alias("kept"))
+    return chosen.select("kept.*").unionByName(keyed.filter(F.col("nct_id").isNull()).drop("nct_id"))
+
+
 def malformed(raw: Column, study: Column) -> Column:
     """True where a part of the study is present but of the wrong kind.
 

@@ -7,7 +7,7 @@ from functools import reduce
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -150,8 +150,67 @@ def parquet_load_status(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return counted.select("file", status.alias("status"), "rows_parsed", "rows_loaded")
 
 
+def malformed_csv(schema: str, value: Column, **options: str) -> Column:
+    """A line of text that does not fit the columns of a schema."""
+    fields = F.from_csv(value, f"{schema}, _bad_line string", {**options, "columnNameOfCorruptRecord": "_bad_line"})
+    return fields["_bad_line"].isNotNull()
+
+
+def malformed_json(schema: str, value: Column) -> Column:
+    """A line that is not a JSON object whose fields fit a schema."""
+    fields = F.from_json(value, f"{schema}, _bad_line string", {"columnNameOfCorruptRecord": "_bad_line"})
+    return fields["_bad_line"].isNotNull()
+
+
+def bad_lines(
+    spark: SparkSession,
+    paths: Sequence[str],
+    bad: Callable[[Column], Column],
+    header: bool = False,
+) -> DataFrame:
+    """For each text file its lines, how many are bad, and the number of the first one.
+
+    Lines are numbered from 1, blank lines and a header included; a header is never bad.
+    A file is read in as many splits as it has. Each split counts its lines and finds the
+    place of its first bad one; what comes before it in the file is the sum over the splits
+    before, so nothing but a row for each split is put in order. Files without lines have
+    no row.
+    """
+    lines = spark.read.text(list(paths)).select(
+        _location(F.col("_metadata.file_path")).alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        # Within a split these go up by one from line to line.
+        F.monotonically_increasing_id().alias("row"),
+        "value",
+    )
+    flagged = lines.select("file", "split", "row", F.coalesce(bad(F.col("value")), F.lit(False)).alias("bad"))
+    first, first_bad = F.min("row"), F.min(F.when(F.col("bad"), F.col("row")))
+    if header:
+        opening = flagged.groupBy("file", "split").agg(first.alias("opening"))
+        flagged = flagged.join(opening, ["file", "split"]).withColumn(
+            "bad", F.col("bad") & ~((F.col("split") == 0) & (F.col("row") == F.col("opening")))
+        )
+    splits = flagged.groupBy("file", "split").agg(
+        F.count("*").alias("lines"),
+        F.count_if("bad").alias("bad"),
+        (first_bad - first + 1).alias("place"),
+    )
+    before = F.sum("lines").over(
+        Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    placed = splits.withColumn("place", F.col("place") + F.coalesce(before, F.lit(0)))
+    return placed.groupBy("file").agg(
+        F.sum("lines").alias("lines"),
+        F.sum("bad").alias("bad_lines"),
+        F.min("place").alias("first_bad_line"),
+    )
+
+
 def load_status(
-    rows: DataFrame, listed: DataFrame | None = None, corrupt: str = "_corrupt_record"
+    rows: DataFrame,
+    listed: DataFrame | None = None,
+    corrupt: str = "_corrupt_record",
+    places: DataFrame | None = None,
 ) -> DataFrame:
     """Status and row counts of each file of a tolerant read of text.
 
@@ -159,6 +218,7 @@ def load_status(
     whose rows count as not loaded. ``listed`` names the files by ``path``; one
     that gave no row is LOADED, with 0 rows, if its length is 0 and LOAD_FAILED
     otherwise. Rows are counted in the map tasks, so one large file is not one task.
+    With ``places``, as ``bad_lines`` gives them, there is ``first_bad_line`` too.
     """
     # Naming every column makes the reader parse, and so judge, all of them.
     fields = [F.col(name).cast("string") for name in rows.columns if name != corrupt]
@@ -178,7 +238,10 @@ def load_status(
         .when(F.col("rows_loaded") < F.col("rows_parsed"), "PARTIALLY_LOADED")
         .otherwise("LOADED")
     )
-    return counted.select("file", status.alias("status"), "rows_parsed", "rows_loaded")
+    told = counted.select("file", status.alias("status"), "rows_parsed", "rows_loaded")
+    if places is not None:
+        told = told.join(places.select("file", "first_bad_line"), "file", "left")
+    return told
 
 
 def write_parquet(frame: DataFrame, path: str) -> None:

@@ -210,6 +210,56 @@ def _read_studies(spark: SparkSession, sf: str) -> DataFrame:
     return documents.clinical_trials(documents.parse_studies(_study_pages(spark, sf)))
 
 
+def _page_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """A chain of pages over the orders from which some were taken away, and some are doubled."""
+    number = F.floor(F.col("o_orderkey") / 40).cast("bigint")
+    found = tables.read_parquet(spark, f"{sf}/orders.parquet").select(number.alias("page")).distinct()
+    last = found.agg(F.max("page")).first()[0]
+    token = lambda page: F.concat(F.lit("t"), page.cast("string"))
+    landed = found.filter((F.col("page") % 10 != 3)).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.when(F.col("page") % 25 == 4, 2).otherwise(1)))
+    )
+    return documents.chain_faults(landed.select(
+        F.when(F.col("page") > 0, token(F.col("page"))).alias("page_token"),
+        F.when(F.col("page") < last, token(F.col("page") + 1)).alias("nextPageToken"),
+    ))
+
+
+def _latest_studies(spark: SparkSession, sf: str) -> DataFrame:
+    """Studies of which every third stands on a second page, in an older form."""
+    study = F.col("study")
+    status = study["protocolSection"]["statusModule"]
+    older = study.withField("protocolSection.statusModule.lastUpdatePostDateStruct", F.struct(F.lit("1900-01-01").alias("date")))
+    key = F.substring("study.protocolSection.identificationModule.nctId", 4, 20).cast("bigint")
+    newer = study.withField("protocolSection.statusModule.lastUpdatePostDateStruct", F.struct(F.lit("2025-01-01").alias("date")))
+    studies = bronze.studies(spark, sf)
+    both = studies.select(newer.alias("study")).unionByName(
+        studies.filter((key % 3 == 0) & status.isNotNull()).select(older.alias("study"))
+    )
+    parsed = documents.latest_studies(documents.parse_studies(_pages_of(both, F.to_json("study"))))
+    return parsed.select(
+        F.col("study.protocolSection.identificationModule.nctId").alias("nct_id"),
+        F.col("study.protocolSection.statusModule.lastUpdatePostDateStruct.date").alias("updated"),
+    )
+
+
+def _first_bad_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of four text files in which some quantities are no numbers, and where the first is."""
+    lines = tables.read_parquet(spark, f"{sf}/lineitem.parquet")
+    quantity = F.when(F.col("l_partkey") % 97 == 5, "many").otherwise(F.col("l_quantity").cast("int").cast("string"))
+    text = F.concat_ws(",", "l_orderkey", "l_linenumber", quantity).alias("value")
+    folder = f"{scratch(spark)}/lines_{uuid.uuid4().hex}"
+    bucket = (F.col("l_orderkey") % 4).cast("int").alias("bucket")
+    order = ["l_orderkey", "l_linenumber", "l_partkey"]
+    placed = lines.select(bucket, *order, text).repartition(4, "bucket")
+    ordered = placed.sortWithinPartitions("bucket", *order)
+    ordered.select("bucket", "value").write.partitionBy("bucket").text(folder)
+    schema = "a bigint, b int, c int"
+    found = tables.bad_lines(spark, [folder], lambda value: tables.malformed_csv(schema, value))
+    name = F.regexp_extract("file", "bucket=([0-9]+)", 1).cast("int").alias("bucket")
+    return found.select(name, "lines", "bad_lines", "first_bad_line")
+
+
 def _rejected_studies(spark: SparkSession, sf: str) -> DataFrame:
     """Pages in which every fiftieth study is broken in one of three ways."""
     number = F.col("study.protocolSection.identificationModule.nctId")
@@ -465,10 +515,13 @@ def queries() -> dict[str, Query]:
         "s06_product_lines": lambda s, d: shown(_product_lines(s, d)),
         "s06_product_document": lambda s, d: shown(_product_document(s, d)),
         "s07_study_pages": _read_studies,
+        "s07_page_faults": _page_faults,
+        "s07_latest_studies": _latest_studies,
         "s08_census_matrix": _census_matrix,
         "s09_parquet_scan": lambda s, d: shown(tables.read_parquet(s, f"{d}/orders.parquet")),
         "s11_template_load": _template_load,
         "s12_load_status": _load_status,
+        "s12_first_bad_lines": _first_bad_lines,
         "s13_rejected_studies": _rejected_studies,
         "s14_table_by_name": _table_by_name,
         "u01_diagonal_union": _diagonal_union,

@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 import zipfile
 from types import SimpleNamespace
 
@@ -403,3 +404,75 @@ def test_marts_are_tables(spark, tmp_path):
     assert tables.read_parquet(spark, str(tmp_path / "age")).count() == age.count()
     again = build_marts({n: getattr(bronze, n)(spark, sf) for n in names}, "marts_test")
     assert again["dim_drug_faers"].count() == 1340
+
+
+def test_first_bad_lines_of_files_in_several_splits(spark, tmp_path):
+    rng = random.Random(8)
+    expected = {}
+    for name in ("a", "b", "c"):
+        bad = set(rng.sample(range(2, 400), 5)) if name != "c" else set()
+        lines = ["a,b", *["" if n % 50 == 0 and n not in bad else "x,oops" if n in bad else f"{n},{n * 7}" for n in range(2, 400)]]
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines) + ("\n" if name == "a" else ""))
+        expected[name] = (399, len(bad), min(bad, default=None))
+    (tmp_path / "empty.csv").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+        found = tables.bad_lines(spark, [str(tmp_path)], lambda v: (v != "") & tables.malformed_csv("a int, b int", v), header=True)
+        rows = {r.file.split("/")[-1][0]: (r.lines, r.bad_lines, r.first_bad_line) for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert rows == expected
+    read = spark.read.schema("a int, b int, _corrupt_record string").csv(str(tmp_path), header=True)
+    told = {r.file.split("/")[-1][0]: (r.status, r.first_bad_line) for r in tables.load_status(read, places=found).collect()}
+    assert told == {n: ("LOADED" if n == "c" else "PARTIALLY_LOADED", place) for n, (_, _, place) in expected.items()}
+    (tmp_path / "j.jsonl").write_text('{"a": 1}\n\n{"a": "x"}\n[\n')
+    places = tables.bad_lines(spark, [str(tmp_path / "j.jsonl")], lambda v: tables.malformed_json("a int", v)).first()
+    assert (places.lines, places.bad_lines, places.first_bad_line) == (4, 2, 3)
+
+
+def chain(spark, tmp_path, pages):
+    for token, following in pages:
+        body = {"studies": []} | ({"nextPageToken": following} if following else {})
+        (tmp_path / f"page-{token}.json").write_text(json.dumps(body))
+    found = documents.landed_pages(documents.read_study_pages(spark, str(tmp_path)))
+    return {(r.fault, r.token, r.pages) for r in documents.chain_faults(found).collect()}
+
+
+def test_a_whole_chain_of_pages_has_no_fault(spark, tmp_path):
+    assert chain(spark, tmp_path, [("", "A b"), ("A b", "C=="), ("C==", None)]) == set()
+
+
+def test_a_removed_page_is_told(spark, tmp_path):
+    faults = chain(spark, tmp_path, [("", "B"), ("B", "C"), ("D", "E"), ("E", None)])
+    assert faults == {("MISSING_PAGE", "C", 1), ("UNNAMED_PAGE", "D", 1)}
+
+
+def test_broken_chains(spark, tmp_path):
+    (tmp_path / "other.json").write_text('{"studies": []}')
+    faults = chain(spark, tmp_path, [("B", "C"), ("C", "D"), ("D", "C")])
+    assert faults == {("NO_FIRST_PAGE", None, 0), ("NO_LAST_PAGE", None, 0), ("UNNAMED_PAGE", "B", 1),
+                      ("REPEATED_POINTER", "C", 2)}
+    (tmp_path / "page-D.json").write_text('{"studies": [')
+    (tmp_path / "page-.json").write_text('{"nextPageToken": "B"}')
+    pages = documents.landed_pages(documents.read_study_pages(spark, str(tmp_path)))
+    assert documents.chain_faults(pages).count() == 0
+    both = pages.unionByName(pages.filter("page_token is null or page_token = 'D'"))
+    assert {r.fault for r in documents.chain_faults(both).collect()} == {
+        "SEVERAL_FIRST_PAGES", "SEVERAL_LAST_PAGES", "REPEATED_PAGE", "REPEATED_POINTER"}
+
+
+def test_studies_on_two_pages_are_kept_once(spark):
+    def study(key, day, extra=None):
+        body = {"identificationModule": {"nctId": key}, "statusModule": {"lastUpdatePostDateStruct": {"date": day}}}
+        return json.dumps({"protocolSection": body | (extra or {})})
+
+    texts = [study("N1", "2020-01-01"), study("N1", "2021-05-01"), study("N1", "2021-05-01"), study("N2", "2019-01-01"),
+             study("N2", "2022-01-01", {"designModule": None}), '{"protocolSection": {}}', '{"protocolSection": {}}']
+    frame = spark.createDataFrame([(t,) for t in texts], "value string").select(F.array(F.parse_json("value")).alias("studies"))
+    kept = documents.latest_studies(documents.parse_studies(frame))
+    assert kept.columns == ["raw", "study", "rejected"]
+    rows = documents.clinical_trials(kept).select("nct_id", "last_update_posted").collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, [("N1", "2021-05-01"), ("N2", "2019-01-01"), (None, None), (None, None)]))
