@@ -16,17 +16,18 @@ the slots in it are the main text, else those of the body.
 
 Text of the template goes also inside article or main, but for two cases: where it
 stands between slots, in a block of the same path as one of them (a line that all
-pages have among the paragraphs), and on pages without any text of their own there
-(copies of a page). Hosts of fewer than ``LEAST_PAGES`` pages tell too little and
-keep all text inside article or main.
+pages have among the paragraphs). Pages without any text of their own, and hosts of fewer than
+``LEAST_PAGES`` different pages, which tell too little, keep the template's text too.
 
 A name alone leaves nothing out: an element with the name of a menu, advert and so
 on is left out if it stands on several pages of its host, and does not hold the
 main element, the heading or most of the text of the host's pages.
 
-Null pages, and pages without text, give the empty text. Hosts with one page
-have no classes, and the page's own tags serve as the template. Repeated rows
-are extracted one by one. Pages keep their other columns out of the result.
+A host's pages are its different contents: copies, whatever their ids, count once, so a
+page is extracted in the same way however often the table has it. Null pages, and pages
+without text, give the empty text. Hosts with one page have no classes, and the page's
+own tags serve as the template. Each row is extracted, also repeated ones and those
+without id. Pages keep their other columns out of the result.
 """
 
 from __future__ import annotations
@@ -42,7 +43,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doselens.llm.common import BatchFunction, add_columns, materialize, texts
+from doselens.llm.common import (
+    BatchFunction,
+    add_columns,
+    filter_of,
+    materialize,
+    passes,
+    released,
+    texts,
+)
 
 SUPPORT = 0.9
 """Share of a host's pages on which the tokens of a template class stand."""
@@ -254,9 +263,11 @@ def main_text(
         kept.add(i)
         if i not in nested and not text.isspace():
             slots.append(i)
-    if not has_main:
+    if few or not slots:
+        pass
+    elif not has_main:
         kept -= nested
-    elif not few and slots:
+    else:
         around = {tokens[i][1].block for i in slots}
         kept -= {
             i
@@ -340,37 +351,57 @@ def host_of(url: Column) -> Column:
 def templates(pages: DataFrame, support: float = SUPPORT, least: int = LEAST_TOKENS) -> DataFrame:
     """For each host of several pages their number, and the template's tokens and the class of each.
 
-    ``pages`` has host, page_id and html. Only tokens on two pages or more go on
+    ``pages`` has host and html. Only tokens on two pages or more go on
     from the first aggregate, and only those on nearly all pages of a host are
     listed, which are at most a little more than a page has; so are the named elements
     that are left out, at most ten times what a page has, as a class without a vector.
     """
 
+    def tokens(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for start in range(0, batch.num_rows, 200):
+            part = batch.slice(start, 200)
+            both = [page_tokens(html) for html in texts(part, "html")]
+            found = [f for f, _ in both]
+            rows = pa.array(np.repeat(np.arange(part.num_rows), [len(f) for f in found]))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "host": part.column("host").take(rows),
+                    "content": part.column("content").take(rows),
+                    "token": pa.array([t for f in found for t in f], pa.int64()),
+                    "n": pa.array([n for f in found for n in f.values()], pa.int32()),
+                    "weight": pa.array([w[t] for f, w in both for t in f], pa.int64()),
+                }
+            )
+
+    hashed = pages.select("host", "html", F.xxhash64("host", "html").alias("content"))
+    repeated = hashed.groupBy("content").count().where("count > 1")
+    # A filter of fixed size: what it does not pass stands in the table once.
+    words = filter_of(repeated, "content")
+    shared = pages.sparkSession.sparkContext.broadcast(words)
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            copied = passes(shared.value, batch.column("content").to_numpy())
+            yield from tokens(batch.filter(pa.array(~copied)))
+
+    def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            copied = passes(shared.value, batch.column("content").to_numpy())
+            yield batch.filter(pa.array(copied))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
-                both = [page_tokens(html) for html in texts(part, "html")]
-                found = [f for f, _ in both]
-                index = np.repeat(np.arange(part.num_rows), [len(f) for f in found])
-                rows = pa.array(index)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "host": part.column("host").take(rows),
-                        "page_id": part.column("page_id").take(rows),
-                        "token": pa.array([t for f in found for t in f], pa.int64()),
-                        "n": pa.array([n for f in found for n in f.values()], pa.int32()),
-                        "weight": pa.array([w[t] for f, w in both for t in f], pa.int64()),
-                    }
-                )
-
-    schema = "host string, page_id bigint, token bigint, n int, weight bigint"
-    seen = pages.select("host", F.col("page_id").cast("bigint").alias("page_id"), "html")
+            yield from tokens(batch)
+
+    schema = "host string, content bigint, token bigint, n int, weight bigint"
+    seen = hashed.mapInArrow(released(once), schema)
+    if words.any():
+        different = hashed.mapInArrow(released(copies), hashed.schema).dropDuplicates(["host", "content"])
+        seen = seen.unionByName(different.mapInArrow(released(run), schema))
     vectors = (
-        seen.mapInArrow(run, schema)
-        .groupBy("host", "token")
+        seen.groupBy("host", "token")
         .agg(
-            F.bit_xor(F.xxhash64("page_id", "n")).alias("vector"),
+            F.bit_xor(F.xxhash64("content", "n")).alias("vector"),
             F.count("*").alias("pages"),
             F.sum("weight").alias("weight"),
         )
@@ -380,13 +411,13 @@ def templates(pages: DataFrame, support: float = SUPPORT, least: int = LEAST_TOK
     everywhere = vectors.where("token = 0").select(
         "host", F.col("pages").alias("host_pages"), F.col("weight").alias("host_weight")
     )
-    repeated = vectors.where("token != 0").join(everywhere, "host")
-    frequent = repeated.where(F.col("pages") >= support * F.col("host_pages"))
+    several = vectors.where("token != 0").join(everywhere, "host")
+    frequent = several.where(F.col("pages") >= support * F.col("host_pages"))
     classes = frequent.groupBy("host", "host_pages", "vector", "pages").agg(
         F.collect_list("token").alias("tokens")
     )
     valid = classes.where(F.size("tokens") >= least).select("host", "host_pages", "vector", "tokens")
-    named = repeated.where(
+    named = several.where(
         (F.col("token") % 2 == 1)
         & (F.col("pages") >= NAMED_SUPPORT * F.col("host_pages"))
         # Of all its pages, so that an element on a few of them is not taken for small.
