@@ -10,7 +10,8 @@ The difference of two digests sums the steps between the bucket codes (the step
 from the lowest to the highest quartile counts double), the difference of the
 lengths and of the spreads, each bounded. A digest of a text is the same each
 time; equal texts have equal digests. Null and empty texts have the digest of no
-triplets; it is at the largest difference from that of any text with some.
+triplets, as texts of one or two bytes have; it is at the largest difference from that of
+any text with some.
 Extra columns play no part.
 """
 
