@@ -276,22 +276,17 @@ def encode(
     text: str = "text",
     ids: str = "ids",
     drop_text: bool = False,
-    keep: bool = True,
     states: int = STATE_LIMIT,
     pieces: int = PIECE_LIMIT,
 ) -> DataFrame:
     """Adds the packed ids of a text column; ``vocabulary`` is a file on every executor.
 
-    A Python worker keeps its tables for its next tasks, which saves time, unless
-    ``keep`` is false, which leaves the memory to other stages. ``states`` and
-    ``pieces`` limit the tables.
+    A Python worker keeps its tables for its next tasks, which saves time; ``states`` and
+    ``pieces`` limit them.
     """
 
     def prepare() -> BatchFunction:
-        if keep:
-            own = encoder(vocabulary, pattern, states, pieces)
-        else:
-            own = Encoder(Transducer(read_ranks(vocabulary), states), pattern, pieces)
+        own = encoder(vocabulary, pattern, states, pieces)
 
         def run(batch: pa.RecordBatch) -> list[pa.Array]:
             gc.disable()  # states hold no cycles, and walking them costs a tenth of the time
@@ -305,6 +300,51 @@ def encode(
     return add_columns(frame, f"`{ids}` binary", prepare, [text] if drop_text else [])
 
 
+def encode_and_decode(
+    frame: DataFrame,
+    vocabulary: str,
+    pattern: str,
+    text: str = "text",
+    ids: str = "ids",
+    decoded: str = "decoded",
+    drop_text: bool = False,
+    states: int = STATE_LIMIT,
+    pieces: int = PIECE_LIMIT,
+) -> DataFrame:
+    """Adds the packed ids of a text column and the text decoded from them.
+
+    Both in one Python worker and with one table of the vocabulary, which goes with its
+    task: for jobs whose executors have other work too.
+    """
+
+    def prepare() -> BatchFunction:
+        own = Encoder(Transducer(read_ranks(vocabulary), states), pattern, pieces)
+        bytes_of = own.transducer.bytes_of
+
+        def run(batch: pa.RecordBatch) -> list[pa.Array]:
+            gc.disable()  # as in ``encode``
+            try:
+                packed = [own.encode(t) for t in texts(batch, text)]
+            finally:
+                gc.enable()
+            return [
+                pa.array(packed, pa.binary()),
+                pa.array([decoded_text(p, bytes_of) for p in packed], pa.string()),
+            ]
+
+        return run
+
+    fields = f"`{ids}` binary, `{decoded}` string"
+    return add_columns(frame, fields, prepare, [text] if drop_text else [])
+
+
+def decoded_text(packed_ids: bytes | None, bytes_of: dict[int, bytes]) -> str:
+    """The text of packed ids, which are decoded run by run."""
+    data = packed_ids or b""
+    runs = (data[i : i + 4 * RUN] for i in range(0, len(data), 4 * RUN))
+    return "".join(decode_stream(runs, bytes_of))
+
+
 def decode(
     frame: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded"
 ) -> DataFrame:
@@ -312,14 +352,8 @@ def decode(
 
     def prepare() -> BatchFunction:
         bytes_of = tokens(vocabulary)
-
-        def decoded(packed_ids: bytes | None) -> str:
-            data = packed_ids or b""
-            runs = (data[i : i + 4 * RUN] for i in range(0, len(data), 4 * RUN))
-            return "".join(decode_stream(runs, bytes_of))
-
         return lambda batch: [
-            pa.array([decoded(x) for x in batch.column(ids).to_pylist()], pa.string())
+            pa.array([decoded_text(x, bytes_of) for x in batch.column(ids).to_pylist()], pa.string())
         ]
 
     return add_columns(frame, f"`{text}` string", prepare)

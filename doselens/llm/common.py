@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -15,7 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 """A word: anything between ASCII white space."""
 
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
-"""Where checkpoints go when the cluster names no folder, as in tests."""
+"""Where checkpoints go when no folder is named and all runs on one machine, as in tests."""
 
 ROWS_AT_ONCE = 300
 """Rows of a batch that are worked on, and sent back, together."""
@@ -28,6 +30,8 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the cluster shares")
         folder = LOCAL_CHECKPOINTS
         context.setCheckpointDir(folder)
     return folder
@@ -60,6 +64,30 @@ def discard(*frames: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+ArrowFunction = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def released(run: ArrowFunction) -> ArrowFunction:
+    """The function, which at its end gives what it held back to the system.
+
+    Python workers live on for tasks of other stages, beside whose memory theirs counts.
+    """
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                # Only the GNU library has it.
+                pass
+
+    return own
+
+
 def add_columns(
     frame: DataFrame,
     fields: str | StructType,
@@ -91,7 +119,7 @@ def add_columns(
                 columns = [part.column(i) for i in places]
                 yield pa.RecordBatch.from_arrays([*columns, *function(part)], names=names)
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(released(run), schema)
 
 
 FILTER_WORDS = 1 << 20
@@ -124,7 +152,7 @@ def filter_of(values: DataFrame, name: str) -> np.ndarray:
         )
 
     chunked = found.withColumn("chunk", F.expr(f"word div {CHUNK_WORDS}")).repartition("chunk")
-    rows = chunked.select("word", "bits").mapInArrow(pack, "chunk int, packed binary").collect()
+    rows = chunked.select("word", "bits").mapInArrow(released(pack), "chunk int, packed binary").collect()
     filled = np.zeros((FILTER_WORDS // CHUNK_WORDS, CHUNK_WORDS), np.int64)
     for chunk, packed in rows:
         filled[chunk] = np.frombuffer(packed, np.int64)

@@ -43,7 +43,15 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doselens.llm.common import add_columns, discard, filter_of, materialize, passes, texts
+from doselens.llm.common import (
+    add_columns,
+    discard,
+    filter_of,
+    materialize,
+    passes,
+    released,
+    texts,
+)
 from doselens.llm.components import components
 from doselens.llm.shingles import WIDTH, mixed, shingle_set
 
@@ -138,7 +146,7 @@ def _sketch_tokens(sets: DataFrame, wanted: Broadcast | None = None) -> DataFram
                 )
 
     known = sets.where("doc_id is not null and n_shingles > 0").select("doc_id", "sketch")
-    return known.mapInArrow(run, "id bigint, place int, token bigint")
+    return known.mapInArrow(released(run), "id bigint, place int, token bigint")
 
 
 def _filtered(tokens: np.ndarray) -> np.ndarray:
@@ -255,7 +263,7 @@ def _prefixes(grouped: DataFrame, threshold: tuple[int, int]) -> DataFrame:
             )
 
     return grouped.mapInArrow(
-        run,
+        released(run),
         "token bigint, id bigint, cluster bigint, n bigint, matches int, place int, shortest int, "
         "looks boolean, main boolean, sought array<bigint>, sure array<bigint>",
     )
@@ -289,7 +297,7 @@ def _enough_matches(grouped: DataFrame, pairs: DataFrame, threshold: tuple[int,
         F.col("tokens").alias("tokens2"),
         F.col("places").alias("places2"),
     )
-    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a bigint, b bigint")
+    return pairs.join(one, "a").join(two, "b").mapInArrow(released(run), "a bigint, b bigint")
 
 
 def _candidates(
@@ -498,7 +506,7 @@ def _wanted_texts(documents: DataFrame, ids: DataFrame, key: str, text: str) ->
     given = documents.where(F.col(key).isNotNull()).select(
         F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")
     )
-    passed = given.withColumn("hash", spread).mapInArrow(run, "id bigint, text string")
+    passed = given.withColumn("hash", spread).mapInArrow(released(run), "id bigint, text string")
     return materialize(passed.join(ids, "id"), "wanted-texts")
 
 
@@ -612,7 +620,7 @@ def _compare(
     copies = F.col("copies") if "copies" in wanted.columns else F.lit(1).alias("copies")
     gathered = tasks.join(wanted, "id").select("task", "side", "id", copies, "text")
     ordered = gathered.repartition("task").sortWithinPartitions("task")
-    return ordered.mapInArrow(run, LINKS)
+    return ordered.mapInArrow(released(run), LINKS)
 
 
 def _join(

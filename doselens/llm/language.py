@@ -25,13 +25,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doselens.llm.common import ROWS_AT_ONCE, BatchFunction, add_columns
+from doselens.llm.common import ROWS_AT_ONCE, BatchFunction, add_columns, released
 from doselens.llm.letters import letter_runs
 
 DIMENSIONS = 1024
 SEED = 20
 GRAM_LIMIT = 16_000
 """Vectors of n-grams remembered at once in a task."""
+GRAMS_AT_ONCE = 2048
+"""N-grams whose vectors are added up together."""
 UNKNOWN = "und"
 
 
@@ -45,14 +47,15 @@ class Space:
 
     def _forget(self) -> None:
         self.row: dict[int, int] = {}
-        self.vectors = np.zeros((256, self.dimensions), np.float32)
+        # Single bytes: a worker keeps these beside whatever else its tasks hold.
+        self.vectors = np.zeros((256, self.dimensions), np.int8)
 
     def letter(self, point: int) -> np.ndarray:
         if point not in self.letters:
             if len(self.letters) > GRAM_LIMIT:
                 self.letters.clear()
             random = np.random.default_rng([self.seed, point])
-            self.letters[point] = random.integers(0, 2, self.dimensions).astype(np.float32) * 2 - 1
+            self.letters[point] = (random.integers(0, 2, self.dimensions) * 2 - 1).astype(np.int8)
         return self.letters[point]
 
     def _rows(self, grams: list[int]) -> list[int]:
@@ -61,7 +64,7 @@ class Space:
             self._forget()
         missing = [gram for gram in grams if gram not in self.row]
         if len(self.row) + len(missing) > len(self.vectors):
-            more = np.zeros((max(len(self.vectors), len(missing)), self.dimensions), np.float32)
+            more = np.zeros((max(len(self.vectors), len(missing)), self.dimensions), np.int8)
             self.vectors = np.concatenate([self.vectors, more])
         for gram in missing:
             one, two, three = gram >> 42, gram >> 21 & 0x1FFFFF, gram & 0x1FFFFF
@@ -74,10 +77,10 @@ class Space:
     def bundle(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The sum of the n-grams' vectors, each as often as counted."""
         total = np.zeros(self.dimensions)
-        for at in range(0, len(grams), GRAM_LIMIT // 2):
-            part = slice(at, at + GRAM_LIMIT // 2)
+        for at in range(0, len(grams), GRAMS_AT_ONCE):
+            part = slice(at, at + GRAMS_AT_ONCE)
             rows = self._rows(grams[part].tolist())
-            total += counts[part].astype(np.float32) @ self.vectors[rows]
+            total += counts[part].astype(np.float32) @ self.vectors[rows].astype(np.float32)
         return total
 
 
@@ -123,7 +126,7 @@ def learn(
             )
 
     taught = documents.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    parts = taught.select(lang, text).mapInArrow(run, "lang string, place int, value bigint")
+    parts = taught.select(lang, text).mapInArrow(released(run), "lang string, place int, value bigint")
     # One value for each language and dimension comes to the driver.
     sums = parts.groupBy("lang", "place").agg(F.sum("value").alias("value")).collect()
     bundles: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(dimensions))
