@@ -62,12 +62,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     chosen = docs.select(
         "doc_id", "source", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
     )
-    # Small tables that go with their task: the workers serve all the other stages too.
-    coded = bpe.encode(
-        chosen, vocabulary, public_tokenizers.PATTERN,
-        drop_text=True, keep=False, states=80_000, pieces=80_000,
-    )
-    decoded = bpe.decode(coded, vocabulary)
+    # One worker with small tables that go with their task: the executors did other stages before.
+    decoded = bpe.encode_and_decode(
+        chosen, vocabulary, public_tokenizers.PATTERN, drop_text=True, states=80_000, pieces=80_000
+    )
     return decoded.select(
         "doc_id",
         "source",
