@@ -157,7 +157,7 @@ def _path_access(spark: SparkSession, sf: str) -> DataFrame:
 
 def _ages(spark: SparkSession, sf: str) -> DataFrame:
     demo = staging.clean_demo(bronze.demo_faers(spark, sf))
-    return demo.select("primary_id", reports.in_range("age_in_years").alias("age_in_years"))
+    return shown(demo.select("primary_id", reports.in_range("age_in_years").alias("age_in_years")))
 
 
 # Sources.
