@@ -12,7 +12,7 @@ a manifest row for each shard gives its place in the whole sequence.
 
 Null texts are empty and hold the end id alone. Null document ids come first and
 are read back as null. Equal document ids keep one entry each, in the order of
-their texts. An empty table gives an empty manifest. Files are written beside
+a hash of their texts. An empty table gives an empty manifest. Files are written beside
 their place under a name of their own and renamed; the manifest names the files
 of the attempts that were committed, so a task that runs again does no harm.
 """
@@ -28,6 +28,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -42,7 +43,9 @@ SHARD_IDS = 8_000_000
 """A shard is closed when it holds so many ids."""
 REMEMBERED = 250_000
 """Pieces remembered before a new generation begins; the last one stays known."""
-MANIFEST = "path string, first_doc bigint, n_docs bigint, n_ids bigint"
+RUN = 4096
+"""Documents read from a shard at once."""
+MANIFEST = "path string, first_doc bigint, n_docs bigint, n_ids bigint, part int, place int"
 
 
 class EliasFano:
@@ -90,12 +93,27 @@ class EliasFano:
         window = int.from_bytes(self.low[first // 8 : (last + 7) // 8].tobytes(), "little")
         return window >> first % 8 & ((1 << self.low_bits) - 1)
 
-    def values(self) -> np.ndarray:
-        """All values at once."""
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        return (places - np.arange(self.n)) << self.low_bits | _unpack(
-            self.low, self.low_bits, self.n
-        )
+    def run(self, first: int, count: int) -> np.ndarray:
+        """The values from an index on: a select finds the first, its bits are read on from there."""
+        count = min(count, self.n - first)
+        if count <= 0:
+            return np.zeros(0, np.int64)
+        block = int(np.searchsorted(self.before, first, "right")) - 1
+        start, skipped = block * (SAMPLE // 8), first - int(self.before[block])
+        parts, found = [], 0
+        while found < skipped + count:
+            window = np.unpackbits(self.high[start : start + SAMPLE], bitorder="little")
+            ones = np.flatnonzero(window) + 8 * start
+            parts.append(ones)
+            found += len(ones)
+            start += SAMPLE
+        places = np.concatenate(parts)[skipped : skipped + count]
+        high = (places - np.arange(first, first + count)) << self.low_bits
+        # Whole bytes that hold the low bits of the run.
+        begin, end = first * self.low_bits, (first + count) * self.low_bits
+        held = np.unpackbits(self.low[begin // 8 : (end + 7) // 8], bitorder="little")
+        held = held[begin % 8 : begin % 8 + end - begin].reshape(count, self.low_bits)
+        return high | held.astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
 
     def to_bytes(self) -> bytes:
         head = np.array([self.n, self.low_bits, len(self.low), len(self.high)], "<i8")
@@ -115,13 +133,6 @@ def _pack(values: np.ndarray, width: int) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8).reshape(-1), bitorder="little")
 
 
-def _unpack(data: np.ndarray, width: int, n: int) -> np.ndarray:
-    if not width:
-        return np.zeros(n, np.int64)
-    bits = np.unpackbits(data, bitorder="little")[: n * width].reshape(n, width)
-    return bits.astype(np.int64) @ (1 << np.arange(width, dtype=np.int64))
-
-
 def shard_bytes(doc_ids: list[int | None], ends: np.ndarray, ids: np.ndarray) -> bytes:
     """A shard: header, packed document ids, packed boundaries, id array.
 
@@ -170,11 +181,14 @@ class Shard:
         """The ids of one document, found by two selects."""
         return self.ids[self.start(index) : self.bounds.select(index)]
 
-    def documents(self) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-        """Document ids, starts and ends of all documents."""
-        ends = self.bounds.values()
-        names = [None] * self.nulls + (self.names.values() + self.lowest).tolist()
-        return names, np.concatenate([[0], ends[:-1]]), ends
+    def documents(self, run: int = RUN) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
+        """Document ids, starts and ends, some documents at a time."""
+        for first in range(0, len(self), run):
+            ends = self.bounds.run(first, run)
+            starts = np.concatenate([[self.start(first)], ends[:-1]])
+            unnamed = max(0, min(len(ends), self.nulls - first))
+            names = self.names.run(first + unnamed - self.nulls, len(ends) - unnamed) + self.lowest
+            yield [None] * unnamed + names.tolist(), starts, ends
 
 
 class LibraryEncoder:
@@ -182,13 +196,14 @@ class LibraryEncoder:
 
     Such a tokenizer cuts a text by its pattern and encodes each piece by
     itself, so the pattern is applied here and each piece goes through the
-    library's model once for as long as it is remembered. Names of special
-    tokens in a text are ordinary text.
+    library's model once for as long as it is remembered. A text with the name of an
+    added token goes through the library as a whole, which gives that token its id.
     """
 
     def __init__(self, path: str, pattern: str) -> None:
         tokenizer = Tokenizer.from_file(path)
-        self.model = tokenizer.model
+        self.model, self.tokenizer = tokenizer.model, tokenizer
+        self.added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
         # Two bytes for each id where the vocabulary fits into them.
         size = tokenizer.get_vocab_size()
         self.id_type = "<u2" if size <= 1 << 16 else "<u4"
@@ -199,6 +214,9 @@ class LibraryEncoder:
 
     def encode(self, text: str) -> bytes:
         """The ids, packed as ``id_type``."""
+        if any(name in text for name in self.added):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return np.array(ids, self.id_type).tobytes()
         return b"".join(map(self.pieces.joined, cut(text, self.pattern)))
 
     def _library(self, piece: str) -> bytes:
@@ -285,9 +303,12 @@ def write_shards(
                     "first_doc": pa.array([first], pa.int64()),
                     "n_docs": pa.array([len(names)], pa.int64()),
                     "n_ids": pa.array([total], pa.int64()),
+                    "part": pa.array([part], pa.int32()),
+                    "place": pa.array([place], pa.int32()),
                 }
             )
 
+        part, place = TaskContext.get().partitionId(), 0
         for batch in batches:
             for name, value in zip(batch.column(0).to_pylist(), texts(batch, text), strict=True):
                 packed = encode(value) + end
@@ -298,16 +319,18 @@ def write_shards(
                 if total >= shard_ids:
                     yield close()
                     names, parts, ends, total = [], [], [], 0
+                    place += 1
         if names:
             yield close()
 
     chosen = documents.select(F.col(key).cast("bigint").alias(key), F.col(text).alias(text))
-    ordered = chosen.repartitionByRange(key).sortWithinPartitions(key, text)
+    # By a hash of the text too, so that one id on many rows is no one task.
+    hashed = chosen.withColumn("_hash", F.xxhash64(text))
+    ordered = hashed.repartitionByRange(key, "_hash").sortWithinPartitions(key, "_hash", text)
+    ordered = ordered.drop("_hash")
     manifest = materialize(ordered.mapInArrow(run, MANIFEST), "shard-manifest")
     # One row for each shard: shards hold millions of ids, so this window stays small.
-    before = Window.orderBy(F.col("first_doc").asc_nulls_first(), "path").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    before = Window.orderBy("part", "place").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("ids_before", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
@@ -318,17 +341,17 @@ def read_shards(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for path, before in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
                 shard = read_shard(path)
-                names, starts, ends = shard.documents()
-                pairs = zip(starts.tolist(), ends.tolist(), strict=True)
-                sums = [zlib.crc32(shard.ids[a:b].astype("<u4").tobytes()) for a, b in pairs]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": pa.array(names, pa.int64()),
-                        "start": pa.array(starts + before, pa.int64()),
-                        "n_tokens": pa.array(ends - starts, pa.int64()),
-                        "ids_crc32": pa.array(sums, pa.int64()),
-                    }
-                )
+                for names, starts, ends in shard.documents():
+                    pairs = zip(starts.tolist(), ends.tolist(), strict=True)
+                    sums = [zlib.crc32(shard.ids[a:b].astype("<u4").tobytes()) for a, b in pairs]
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "doc_id": pa.array(names, pa.int64()),
+                            "start": pa.array(starts + before, pa.int64()),
+                            "n_tokens": pa.array(ends - starts, pa.int64()),
+                            "ids_crc32": pa.array(sums, pa.int64()),
+                        }
+                    )
 
     # As many tasks as a shuffle has; small rows would else be joined into one task.
     tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))

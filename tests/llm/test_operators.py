@@ -238,7 +238,9 @@ def test_elias_fano_selects_every_value():
         packed = shards.EliasFano.build(np.array(values, np.int64))
         again, length = shards.EliasFano.from_bytes(memoryview(packed.to_bytes()))
         assert length == len(packed.to_bytes())
-        assert again.values().tolist() == values
+        assert again.run(0, len(values) + 9).tolist() == values
+        for first, count in ((0, 1), (1, 3), (len(values) // 2, 700), (len(values), 4)):
+            assert again.run(first, count).tolist() == values[first : first + count]
         for i in range(0, len(values), max(1, len(values) // 97)):
             assert again.select(i) == values[i]
         with pytest.raises(IndexError):
@@ -248,14 +250,13 @@ def test_elias_fano_selects_every_value():
 
 def test_id_files_round_trip(spark, tmp_path):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    texts = [*ODD[:-1], "<|endoftext|> a", *(random_text(i, 30) for i in range(50))]
+    texts = [*ODD[:-1], "hello <|endoftext|> world", "<|endoftext|><|endoftext|>", *(random_text(i, 30) for i in range(50))]
     frame = documents(spark, texts).withColumn("start", F.lit("clash"))
     manifest = shards.write_shards(
         frame, str(tmp_path / "ids"), lambda: shards.library_encoder(path, PATTERN), shard_ids=500
     )
     assert manifest.count() > 3
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     rows = {r.doc_id: r for r in shards.read_shards(manifest).collect()}
     before = 0
     for i, text in enumerate(texts):
@@ -268,6 +269,20 @@ def test_id_files_round_trip(spark, tmp_path):
     assert shard.document(4).tolist() == [*tokenizer.encode("a").ids, 0]
 
 
+def test_starts_of_equal_ids_are_the_same_on_reruns(spark, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    frame = documents(spark, [random_text(i, 9) for i in range(80)]).withColumn("doc_id", F.col("doc_id") % 2)
+    frame = frame.withColumn("doc_id", F.when(F.col("doc_id") == 1, F.col("doc_id")))
+    runs = []
+    for name in ("a", "b"):
+        manifest = shards.write_shards(
+            frame, f"file://{tmp_path}/{name}", lambda: shards.library_encoder(path, PATTERN), shard_ids=40
+        )
+        runs.append(sorted((r.start, r.n_tokens, r.ids_crc32) for r in shards.read_shards(manifest).collect()))
+    assert runs[0] == runs[1] and len(runs[0]) == 80
+    assert all(a[0] + a[1] == b[0] for a, b in zip(runs[0], runs[0][1:]))
+
+
 def test_id_files_of_null_ids_and_no_rows(spark, tmp_path):
     path = public_tokenizers.path("byte_bpe_50k.json")
     frame = documents(spark, ["a b", "c"]).withColumn("doc_id", F.when(F.col("doc_id") == 1, 7))
@@ -275,8 +290,12 @@ def test_id_files_of_null_ids_and_no_rows(spark, tmp_path):
         manifest = shards.write_shards(
             rows, f"file://{tmp_path}/{name}", lambda: shards.library_encoder(path, PATTERN)
         )
-        found = sorted((r.doc_id is not None, r.doc_id, r.start) for r in shards.read_shards(manifest).collect())
-        assert [f[1] for f in found] == ([None, None, 7, 7] if name == "a" else [])
+        found = sorted((r.doc_id is not None, r.doc_id or 0, r.start, r.doc_id) for r in shards.read_shards(manifest).collect())
+        assert [f[3] for f in found] == ([None, None, 7, 7] if name == "a" else [])
+    shard = shards.Shard(shards.shard_bytes([None, None, 3, 3, 9], np.array([1, 4, 4, 6, 7]), np.arange(7, dtype="<u2")))
+    for run in (1, 2, 3, 50):
+        read = [row for part in shard.documents(run) for row in zip(part[0], part[1].tolist(), part[2].tolist())]
+        assert read == [(None, 0, 1), (None, 1, 4), (3, 4, 4), (3, 4, 6), (9, 6, 7)]
     data = shards.shard_bytes([1], np.array([2]), np.array([70_000, 1], "<u4"))
     assert shards.Shard(data).ids.tolist() == [70_000, 1]
     with pytest.raises(ValueError):
