@@ -38,6 +38,8 @@ SEGMENTS = (16, 4)
 """Components of a segment, level by level."""
 GROUP_BYTES = 16 << 20
 """Bytes of the vectors of a group."""
+LEAST_ROWS = 1024
+"""Rows of a group, unless there are fewer; what tasks give grows with the number of groups."""
 ANCHORS_AT_ONCE = 512
 ROWS_AT_FIRST, ROWS_AT_ONCE = 256, 4096
 """Rows of the first block, and of the largest; early blocks set the marks for later ones."""
@@ -297,8 +299,9 @@ def mine(
     asked = vectors.where("is_anchor")
     held = max(1, GROUP_BYTES // (4 * width))
     anchor_groups = -(-asked.count() // held) or 1
-    # As many tasks as a shuffle has, and more where groups would be too large.
-    row_groups = max(-(-n // held), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # As many tasks as a shuffle has, fewer for few rows, and more where groups would be too large.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    row_groups = max(-(-n // held), min(tasks, -(-n // LEAST_ROWS)), 1)
 
     def dealt(frame: DataFrame, name: str, groups: int, other: str, times: int) -> DataFrame:
         own = F.pmod(F.xxhash64("id", F.lit(name)), F.lit(groups)).cast("int").alias(name)
