@@ -82,6 +82,21 @@ def test_reports_read_only_their_columns(spark):
     assert read_columns(text, "orders") == [2]
 
 
+def test_a_long_text_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registered, "LINES_PER_PART", 700)
+    monkeypatch.setattr(registered, "scratch", lambda spark: str(tmp_path))
+    found = QUERIES["s12_first_bad_lines"](spark, SF).collect()
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey").collect()
+    expected = set()
+    for bucket in range(4):
+        own = [line[2] % 97 == 5 for line in sorted(tuple(r) for r in lines if r[0] % 4 == bucket)]
+        expected.add((bucket, len(own), sum(own), own.index(True) + 1))
+    assert {tuple(r) for r in found} == expected
+    files = list(tmp_path.glob("lines_*/bucket=*/part-*.txt"))
+    longest = max(len(file.read_text().splitlines()) for file in files)
+    assert len(files) >= 9 and longest < 2100
+
+
 @pytest.mark.parametrize("name", ["j02_dim_drug_faers", "m09_age_distribution_preagg"])
 def test_joins_beyond_the_broadcast_limit(spark, name):
     expected = sorted(map(str, QUERIES[name](spark, SF).collect()))

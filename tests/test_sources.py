@@ -433,6 +433,17 @@ def test_first_bad_lines_of_files_in_several_splits(spark, tmp_path):
     assert (places.lines, places.bad_lines, places.first_bad_line) == (4, 2, 3)
 
 
+def test_bad_lines_of_texts_in_parts(spark, tmp_path):
+    """Parts count in the order of their numbers, also beyond five digits."""
+    for text, parts in {"a": {99_998: "1\n2\n", 99_999: "3\n", 100_000: "x\n5\nx\n"}, "b": {0: "", 2: "1\n", 10: "2\n"}}.items():
+        (tmp_path / text).mkdir()
+        for number, lines in parts.items():
+            (tmp_path / text / f"part-{number:05}-u.txt").write_text(lines)
+    found = tables.bad_lines(spark, [str(tmp_path / t) for t in "ab"], lambda v: v == "x", parts=True)
+    rows = {r.file.rpartition("/")[2]: (r.lines, r.bad_lines, r.first_bad_line) for r in found.collect()}
+    assert rows == {"a": (6, 2, 4), "b": (2, 0, None)}
+
+
 def chain(spark, tmp_path, pages):
     for token, following in pages:
         body = {"studies": []} | ({"nextPageToken": following} if following else {})
