@@ -146,16 +146,21 @@ def latest_studies(parsed: DataFrame) -> DataFrame:
     """One row for each study of ``parse_studies`` that several pages hold.
 
     The one updated last is kept, an accepted one before a rejected one. Studies without
-    a readable id are kept as they are. Copies meet in the map tasks first.
+    a readable id are kept as they are: equal ones meet and are counted, so pages are parsed
+    once for both kinds. Copies meet in the map tasks first.
     """
     identity = "identificationModule.nctId"
     nct_id = F.try_variant_get("raw", f"$.protocolSection.{identity}", "string")
     updated = F.col("study.protocolSection.statusModule.lastUpdatePostDateStruct.date")
     rank = F.struct(~F.col("rejected"), updated, F.xxhash64(F.to_json("study")))
-    keyed = parsed.withColumn("nct_id", nct_id)
-    named = keyed.filter(F.col("nct_id").isNotNull()).groupBy("nct_id")
-    chosen = named.agg(F.max_by(F.struct("raw", "study", "rejected"), rank).alias("kept"))
-    return chosen.select("kept.*").unionByName(keyed.filter(F.col("nct_id").isNull()).drop("nct_id"))
+    text = F.when(F.col("nct_id").isNull(), F.to_json("raw")).alias("text")
+    keyed = parsed.withColumn("nct_id", nct_id).select("*", text)
+    chosen = keyed.groupBy("nct_id", "text").agg(
+        F.max_by(F.struct("raw", "study", "rejected"), rank).alias("kept"),
+        F.when(F.col("nct_id").isNull(), F.count("*")).otherwise(1).cast("int").alias("copies"),
+    )
+    each = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return chosen.select("kept", each).select("kept.*")
 
 
 def malformed(raw: Column, study: Column) -> Column:

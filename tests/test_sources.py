@@ -487,3 +487,5 @@ def test_studies_on_two_pages_are_kept_once(spark):
     assert kept.columns == ["raw", "study", "rejected"]
     rows = documents.clinical_trials(kept).select("nct_id", "last_update_posted").collect()
     assert sorted(map(str, map(tuple, rows))) == sorted(map(str, [("N1", "2021-05-01"), ("N2", "2019-01-01"), (None, None), (None, None)]))
+    # The pages are parsed in one pass, for studies with and without an id.
+    assert kept._jdf.queryExecution().executedPlan().toString().count("Generate inline(") == 1
