@@ -179,7 +179,8 @@ def malformed(raw: Column, study: Column) -> Column:
         return column
 
     def unfit(path: str) -> Column:
-        return present(path) & typed(path).isNull()
+        # The typed part is at hand; the landed one is looked up only where that is null.
+        return typed(path).isNull() & present(path)
 
     def bad_texts(path: str) -> Column:
         kind = F.schema_of_variant(
@@ -199,7 +200,7 @@ def malformed(raw: Column, study: Column) -> Column:
     section = F.try_variant_get(raw, "$.protocolSection", "variant")
     tests = [
         study.isNull(),
-        section.isNotNull() & study["protocolSection"].isNull(),
+        study["protocolSection"].isNull() & section.isNotNull(),
         *[unfit(path) for path in (*STUDY_OBJECTS, *STUDY_RECORD_LISTS, *STUDY_TEXT_LISTS)],
         *[bad_texts(path) for path in STUDY_TEXT_LISTS],
         *[

@@ -82,6 +82,13 @@ def test_reports_read_only_their_columns(spark):
     assert read_columns(text, "orders") == [2]
 
 
+def test_landed_parts_are_looked_up_only_without_a_typed_one(spark):
+    with settings(spark, spark__sql__debug__maxToStringFields="1000"):
+        text = plan(QUERIES["s13_rejected_studies"](spark, SF))
+    assert "AND isnotnull(try_variant_get(" in text
+    assert "(isnotnull(try_variant_get(raw" not in text
+
+
 def test_a_long_text_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(registered, "LINES_PER_PART", 700)
     monkeypatch.setattr(registered, "scratch", lambda spark: str(tmp_path))
