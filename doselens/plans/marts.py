@@ -200,12 +200,18 @@ def rpt_faers_age_distribution(dim: DataFrame, ordered: bool = False) -> DataFra
     return age_report(report_cells(known(dim, "age_in_years")), ordered)
 
 
-def rpt_faers_gender(dim: DataFrame, distinct_reports: bool = False) -> DataFrame:
+def rpt_faers_gender(
+    dim: DataFrame, distinct_reports: bool = False, work: str | None = None
+) -> DataFrame:
     """Counts by gender, year, ingredient and brand.
 
     ``report_count`` counts rows of the dimension, not reports (Q9);
-    ``distinct_reports`` adds the number of different reports.
+    ``distinct_reports`` adds the number of different reports. With ``work``, a shared
+    folder the keys are written to, reports are told apart in tasks of their own, and no
+    task holds the different reports beside the rows it sorts for the joins.
     """
+    if work is not None:
+        dim = _written(dim.select(*REPORT_KEYS, "primary_id"), f"{work}/report_keys_{uuid.uuid4().hex}")
     measures = [F.count("*").alias("report_count")]
     if distinct_reports:
         measures.append(F.count_distinct("primary_id").alias("distinct_reports"))

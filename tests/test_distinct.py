@@ -51,6 +51,16 @@ def test_a_hot_cell_is_many_rows_of_bounded_size(spark, tmp_path):
     assert regrouped(cells, []) == {(): 120_000}
 
 
+def test_distinct_reports_are_counted_apart_from_the_joins(spark, tmp_path):
+    demo, drug, products = small_bronze(spark)
+    dim = marts.dim_drug_faers(staging.stg_faers(demo, drug), products)
+    report = marts.rpt_faers_gender(dim, distinct_reports=True, work=str(tmp_path))
+    assert "Join" not in report._jdf.queryExecution().executedPlan().toString()
+    expected = marts.rpt_faers_gender(dim, distinct_reports=True)
+    assert report.columns == expected.columns
+    assert sorted(map(str, report.collect())) == sorted(map(str, expected.collect()))
+
+
 def test_distinct_headline_under_filters(spark, tmp_path):
     demo, drug, products = small_bronze(spark)
     dim = marts.dim_drug_faers(staging.stg_faers(demo, drug), products)
