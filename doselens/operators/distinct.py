@@ -26,7 +26,12 @@ BUCKET, LISTED, BITS = "member_bucket", "members_listed", "members_bitmap"
 
 
 def _pairs(rows: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
-    return rows.filter(F.col(member).isNotNull()).select(*keys, F.col(member).alias("_member")).distinct()
+    """Members with their keys, as often as they come.
+
+    A report stands in a cell once or a few times, so taking out the others would hold
+    nearly every row of a task in memory. They meet in the lists of the buckets.
+    """
+    return rows.filter(F.col(member).isNotNull()).select(*keys, F.col(member).alias("_member"))
 
 
 def member_cells(rows: DataFrame, keys: Sequence[str], member: str, work: str) -> DataFrame:
@@ -50,7 +55,7 @@ def member_cells(rows: DataFrame, keys: Sequence[str], member: str, work: str) -
         F.bitmap_bucket_number("_number").alias(BUCKET),
         F.bitmap_bit_position("_number").cast("smallint").alias("_place"),
     )
-    listed = placed.groupBy(*keys, BUCKET).agg(F.collect_list("_place").alias(LISTED))
+    listed = placed.groupBy(*keys, BUCKET).agg(F.collect_set("_place").alias(LISTED))
     listed.write.parquet(f"{folder}/listed")
     listed = spark.read.parquet(f"{folder}/listed")
     few = listed.filter(F.size(LISTED) <= MOST_LISTED).withColumn(BITS, F.lit(None).cast("binary"))

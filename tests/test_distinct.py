@@ -51,6 +51,15 @@ def test_a_hot_cell_is_many_rows_of_bounded_size(spark, tmp_path):
     assert regrouped(cells, []) == {(): 120_000}
 
 
+def test_repeated_members_count_once_and_are_not_gathered_with_the_rows(spark, tmp_path):
+    rows = spark.range(0, 30_000, 1, 8).select((F.col("id") % 3).alias("cell"), (F.col("id") % 5_000).alias("m"))
+    plan = distinct._pairs(rows, ["cell"], "m")._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Exchange" not in plan
+    cells = distinct.member_cells(rows, ["cell"], "m", str(tmp_path))
+    assert regrouped(cells, ["cell"]) == {(0,): 5_000, (1,): 5_000, (2,): 5_000}
+    assert regrouped(cells, []) == {(): 5_000}
+
+
 def test_distinct_reports_are_counted_apart_from_the_joins(spark, tmp_path):
     demo, drug, products = small_bronze(spark)
     dim = marts.dim_drug_faers(staging.stg_faers(demo, drug), products)
