@@ -62,29 +62,37 @@ def joined_cells(
 ) -> DataFrame:
     """Rows of J1 counted by both quarters, application number, gender and age group.
 
-    Drugs are counted by their own keys first. The rows that violate T1 to T3 are counted
-    with them, so the checks cost no scan of their own.
+    Reports are counted by their own keys first, as they are far fewer than drugs, and the
+    counts multiply in the join. Drugs hardly repeat, so they are joined as they are: counting
+    them would hold nearly all of them in memory. A hot key's drugs are split by adaptive
+    execution. The rows that violate T1 to T3 are counted with them, so the checks cost no scan
+    of their own.
     """
     age = reports.in_range("age_in_years")
     people = known(staging.clean_demo(demo_faers, keep=_quarter(DEMO_QUARTER)), "primary_id")
     people = people.select("primary_id", *DEMO_QUARTER, "gender", age.cast("int").alias("age"))
+    people = people.groupBy(*people.columns).agg(F.count("*").alias("reports"))
     people = people.withColumn("age_group", reports.age_group("age"))
     drugs = known(
         staging.clean_drug(drug_faers, drug_key, keep=_quarter(DRUG_QUARTER)), "primary_id"
     )
-    uses = drugs.groupBy("primary_id", "nda_number", *DRUG_QUARTER).agg(
-        F.count("*").alias("uses"),
-        F.count_if(checks.dose_unparsed()).alias("unparsed"),
-        F.count_if(checks.not_a_number()).alias("unread"),
+    uses = drugs.select(
+        "primary_id", "nda_number", *DRUG_QUARTER,
+        checks.dose_unparsed().alias("unparsed"),
+        checks.not_a_number().alias("unread"),
     )
+
+    def total(check: Column) -> Column:
+        return F.sum(F.when(check, F.col("reports")).otherwise(0))
+
     return (
         reports_with_drugs(people, uses)
         .groupBy(*CELL_KEYS)
         .agg(
-            F.sum("uses").alias("rows"),
-            F.sum("unparsed").alias("unparsed_doses"),
-            F.sum("unread").alias("unread_numbers"),
-            F.sum(F.when(checks.age_out_of_range("age"), F.col("uses")).otherwise(0)).alias("unlikely_ages"),
+            F.sum("reports").alias("rows"),
+            total(F.col("unparsed")).alias("unparsed_doses"),
+            total(F.col("unread")).alias("unread_numbers"),
+            total(checks.age_out_of_range("age")).alias("unlikely_ages"),
             F.min("age").alias("youngest"),
         )
     )

@@ -136,3 +136,37 @@ def test_only_changed_quarters_of_the_changed_side_are_read(spark, folder):
     both = filters([(2012, 1)], [(2013, 1)])
     assert sorted("2012" in f for f in both["demo"]) == [False, True]
     assert sorted("NOT" in f for f in both["drug"]) == [False, True]
+
+
+def test_drugs_are_not_gathered_before_the_join(spark):
+    demo, drug, _ = deliveries(spark, 5)
+    cells = maintained.joined_cells(demo, drug)
+    text = cells._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in text and not re.search(r"Aggregate\(keys=\[primary_id#\d+, nda_number", text)
+    # A report and a drug of one key meet as often as both come.
+    hot = demo.filter("primaryid = '11'").count() * drug.filter("caseid = '1'").count()
+    assert cells.agg(F.sum("rows")).first()[0] >= hot > 400
+
+
+def test_a_hot_drug_key_is_split(spark):
+    demo, drug, _ = deliveries(spark, 5)
+    many = spark.range(0, 6000, 1, 16)
+    key = F.when(F.col("id") % 3 == 0, "1").otherwise(F.col("id").cast("string"))
+    wide = drug.limit(1).drop("caseid", "drug_seq", "nda_num").crossJoin(
+        many.select(key.alias("caseid"), F.lit("1").alias("drug_seq"), (F.col("id") % 900).cast("string").alias("nda_num")))
+    names = {"autoBroadcastJoinThreshold": "-1", "adaptive.autoBroadcastJoinThreshold": "-1", "adaptive.coalescePartitions.enabled": "false",
+             "adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB", "adaptive.advisoryPartitionSizeInBytes": "1KB",
+             "adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {name: spark.conf.get(f"spark.sql.{name}", None) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(f"spark.sql.{name}", value)
+        cells = maintained.joined_cells(demo, wide.select(*drug.columns))
+        rows = cells.collect()
+        assert "skew=true" in cells._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(f"spark.sql.{name}") if value is None else spark.conf.set(f"spark.sql.{name}", value)
+    reports = {r.primaryid: r["count"] for r in demo.groupBy("primaryid").count().collect()}
+    found = wide.select(F.concat("caseid", "drug_seq").alias("key")).collect()
+    assert sum(r.rows for r in rows) == sum(reports.get(r.key, 0) for r in found)
