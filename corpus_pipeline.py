@@ -14,9 +14,23 @@ from pyspark.sql import functions as F
 from doselens.llm import bpe, jaccard, language, mixing, toxicity
 from doselens.llm.common import held_out, materialize
 
+BATCH_ROWS = 600
+"""Rows of a batch that goes to a Python worker, in the stages that send whole texts.
+
+Spark's 10,000 hold all texts of a task, once more in the executor and once more in the worker.
+"""
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on batches hold few texts; a smaller limit that the session has stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
 
 def keep_recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; those without letters or likeness go."""
+    small_batches(spark)
     bundles = language.learn(docs.where(~held_out(F.col("doc_id"))))
     found = language.identify(docs, bundles)
     return found.where(language.recognised()).select(docs.columns)
@@ -24,6 +38,7 @@ def keep_recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not find toxic."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     model = toxicity.learn(docs, labels.where(~held_out(F.col("doc_id"))))
     return toxicity.add_scores(docs, model).where("predicted = 0").select(docs.columns)
@@ -58,6 +73,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, and whether decoding them gives the text again."""
+    small_batches(spark)
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
     chosen = docs.select(
         "doc_id", "source", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")

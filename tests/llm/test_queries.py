@@ -1,11 +1,12 @@
 """The registered queries on the given tables, and the pipeline against its operators."""
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from doselens.llm import jaccard, language, oracles, queries
+from doselens.llm import common, jaccard, language, oracles, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -91,3 +92,28 @@ def test_pipeline_runs_from_end_to_end(spark):
 def test_recognised_needs_a_language(spark):
     rows = spark.createDataFrame([("en", 0.5), ("en", 0.01), ("und", 0.9)], "lang_pred string, score double")
     assert rows.where(language.recognised()).count() == 1
+
+
+def test_pipeline_sends_texts_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = [(i, "a word of the text", "en", "s", i % 2) for i in range(1, 2001)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, toxic int")
+    folder = f"{common.new_folder(spark, 'batches')}"
+    docs.select("doc_id", "toxic").write.parquet(f"{folder}/labels.parquet")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    stages = dict(corpus_pipeline.STAGES)
+    before = spark.conf.get(name)
+    try:
+        for stage in ("language", "toxicity", "ids"):
+            for given, most in (("10000", 600), ("0", 600), ("50", 50)):
+                spark.conf.set(name, given)
+                stages[stage](spark, docs.drop("toxic"), folder)
+                found = docs.coalesce(1).mapInArrow(sizes, "n long").collect()
+                assert max(n for (n,) in found) == most
+                assert sum(n for (n,) in found) == 2000
+    finally:
+        spark.conf.set(name, before)
